@@ -8,7 +8,7 @@ these reproduce.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,6 +28,13 @@ _LINEAR_TRAILING_URL = (
 )
 
 _FLAGS_AND_SMILEYS = r"[\x{1F1E6}-\x{1F1FF}]{2}|[\x{1F600}-\x{1F64F}]+"
+# UTF-8 lead of every flag letter and smiley.
+_PLANE_ONE_LEAD = bytearray(b"\xf0\x9f")
+
+# White space in Java's own terms, which is looked up in one step per character;
+# the second class leaves out the plain space.
+_SPACE = r"\p{IsWhite_Space}\x1c-\x1f"
+_OTHER_SPACE = rf"[[\x09-\x1f\x{{85}}-\x{{3000}}]&&[{_SPACE}]]"
 
 # The span check in front keeps letters outside the emoji planes cheap.
 _EMOJI = (
@@ -42,6 +49,27 @@ _TITLE_CASE = (
 )
 
 
+def bind(text: Column, *steps: Callable[[Column], Column]) -> Column:
+    """Apply steps in turn, each to a value that is computed once.
+
+    A step may use its argument several times; written as plain nested
+    expressions, the chain would be repeated for each use.
+    """
+    held = F.array(text)
+    for step in steps:
+        held = F.transform(held, step)
+    return F.get(held, 0)
+
+
+def _only_with(mark: str, step: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """Run a step only on texts that hold a mark which everything it removes contains."""
+
+    def gated(text: Column) -> Column:
+        return F.when(F.contains(text, F.lit(mark)), step(text)).otherwise(text)
+
+    return gated
+
+
 def strip_whitespace(text: Column) -> Column:
     """Trim every Unicode white-space character at both ends."""
     return F.btrim(text, F.lit(fv.WHITESPACE))
@@ -49,7 +77,12 @@ def strip_whitespace(text: Column) -> Column:
 
 def collapse_spaces(text: Column) -> Column:
     """Runs of U+0020 become one space; then both ends are trimmed."""
-    return strip_whitespace(F.regexp_replace(text, " +", " "))
+    return strip_whitespace(bind(text, _only_with("  ", lambda t: F.regexp_replace(t, "  +", " "))))
+
+
+def has_whitespace(text: Column) -> Column:
+    """True where any Unicode white-space character occurs."""
+    return text.rlike(f"[{_SPACE}]")
 
 
 def last_clause(text: Column, agency: Column, ruled_agency: str = fv.LAST_CLAUSE_AGENCY) -> Column:
@@ -70,7 +103,7 @@ def join_fragments(fragments: Column) -> Column:
 
 def split_headline(text: Column, headline: Column) -> Column:
     """Put ``'. '`` after a headline whose first word is in title case."""
-    first_word = F.regexp_extract(headline, f"[^{fv.WHITESPACE_CLASS}]+", 0)
+    first_word = F.regexp_extract(headline, f"[^{_SPACE}]+", 0)
     closed = F.concat(F.rtrim(headline, F.lit(".")), F.lit(". "))
     return F.when(is_title_case(first_word), F.replace(text, headline, closed)).otherwise(text)
 
@@ -132,7 +165,12 @@ def order_phrases(phrases: Column) -> Column:
 
 def strip_flags_and_smileys(text: Column) -> Column:
     """Drop flag pairs and runs of emoticons."""
-    return F.regexp_replace(text, _FLAGS_AND_SMILEYS, "")
+
+    def strip(held: Column) -> Column:
+        present = F.contains(held.cast("binary"), F.lit(_PLANE_ONE_LEAD))
+        return F.when(present, F.regexp_replace(held, _FLAGS_AND_SMILEYS, "")).otherwise(held)
+
+    return bind(text, strip)
 
 
 def strip_leading_dots(text: Column) -> Column:
@@ -152,25 +190,33 @@ def strip_emoji(text: Column) -> Column:
 
 def blank_invisible(text: Column) -> Column:
     """Zero-width pairs, no-break and thin spaces, joiners, newlines and tabs become spaces."""
-    paired = F.replace(text, F.lit(fv.ZERO_WIDTH_SPACE_PAIR), F.lit(" "))
-    return F.translate(paired, fv.BLANKED_CHARACTERS, " " * len(fv.BLANKED_CHARACTERS))
+    for invisible in (fv.ZERO_WIDTH_SPACE_PAIR, *fv.BLANKED_CHARACTERS):
+        text = F.replace(text, F.lit(invisible), F.lit(" "))
+    return text
 
 
 def strip_trailing_url(text: Column) -> Column:
     """A link at the end becomes a space; then the same for a channel link."""
-    without_link = F.regexp_replace(text, _LINEAR_TRAILING_URL, " ")
-    return F.regexp_replace(without_link, "(?d)" + fv.TRAILING_CHANNEL_LINK.replace("*$", "*+$"), " ")
+
+    def strip(held: Column) -> Column:
+        without_link = F.regexp_replace(held, _LINEAR_TRAILING_URL, " ")
+        return F.regexp_replace(without_link, "(?d)" + fv.TRAILING_CHANNEL_LINK.replace("*$", "*+$"), " ")
+
+    return bind(text, _only_with("://", strip))
 
 
 def strip_site_links(text: Column) -> Column:
     """Short links of one site become spaces wherever they stand."""
-    return F.regexp_replace(text, "(?d)" + fv.SITE_LINK, " ")
+    return bind(text, _only_with("ru/", lambda held: F.regexp_replace(held, "(?d)" + fv.SITE_LINK, " ")))
 
 
 def strip_tags_mentions(text: Column) -> Column:
     """One trailing hashtag, then one trailing mention, becomes a space."""
-    without_tag = F.regexp_replace(text, "(?d)" + fv.TRAILING_HASHTAG, " ")
-    return F.regexp_replace(without_tag, "(?d)" + fv.TRAILING_MENTION, " ")
+    return bind(
+        text,
+        _only_with("#", lambda held: F.regexp_replace(held, "(?d)" + fv.TRAILING_HASHTAG, " ")),
+        _only_with("@", lambda held: F.regexp_replace(held, "(?d)" + fv.TRAILING_MENTION, " ")),
+    )
 
 
 def clean_text(
@@ -212,11 +258,15 @@ def truncate_tokens(text: Column, limit: int = fv.MODEL_INPUT_TOKENS) -> Column:
 
     Texts that fit are passed through with their inner spacing normalised.
     """
-    tokens = F.split(strip_whitespace(text), f"[{fv.WHITESPACE_CLASS}]+")
-    return F.array_join(F.slice(tokens, 1, limit), " ")
+    return bind(
+        strip_whitespace(text),
+        lambda held: F.regexp_replace(held, _OTHER_SPACE, " "),
+        _only_with("  ", lambda held: F.regexp_replace(held, "  +", " ")),
+        lambda held: F.substring_index(held, " ", limit),
+    )
 
 
 def sentences(text: Column) -> Column:
     """Sentences of a text: cut after ``.``, ``!``, ``?`` or ``…`` followed by white space."""
-    ends = f"(?<=[.!?…])[{fv.WHITESPACE_CLASS}]+"
+    ends = f"(?<=[.!?…])[{_SPACE}]+"
     return F.filter(F.split(strip_whitespace(text), ends), lambda sentence: sentence != "")

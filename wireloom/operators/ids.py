@@ -45,7 +45,10 @@ def id_lists(agencies: DataFrame, ids: DataFrame, per_chunk: int = IDS_PER_CHUNK
     them, however many rows an agency has.  An agency without ids gets one row
     with chunk NULL and empty arrays.
     """
-    counted = ids.groupBy("agency", "id").agg(F.count(F.lit(1)).alias("copies"))
+    names = _names(agencies)
+    counted = lookup_join(ids, names, "agency", "left_semi").groupBy("agency", "id").agg(
+        F.count(F.lit(1)).alias("copies")
+    )
     chunks = (
         counted.groupBy("agency", F.floor(F.col("id") / per_chunk).cast("int").alias("chunk"))
         .agg(F.array_sort(F.collect_list(F.struct("id", "copies"))).alias("entries"))
@@ -57,7 +60,7 @@ def id_lists(agencies: DataFrame, ids: DataFrame, per_chunk: int = IDS_PER_CHUNK
         )
     )
     empty = (F.array().cast("array<int>"), F.array().cast("array<bigint>"))
-    return _keep_all_agencies(agencies, chunks).select(
+    return chunks.unionByName(_without_rows(names, ids), allowMissingColumns=True).select(
         "agency",
         "chunk",
         F.coalesce("ids", empty[0]).alias("ids"),
@@ -70,31 +73,29 @@ def article_ids(agencies: DataFrame, news: DataFrame) -> DataFrame:
 
     An agency without articles gets one row with article_id NULL and 0 copies.
     """
+    names = _names(agencies)
     counted = (
-        news.select("agency", links.last_segment(F.col("url")).alias("article_id"))
-        .groupBy("agency", "article_id")
+        lookup_join(news.select("agency", "url"), names, "agency", "left_semi")
+        .groupBy("agency", links.last_segment(F.col("url")).alias("article_id"))
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    return _keep_all_agencies(agencies, counted).select(
+    return counted.unionByName(_without_rows(names, news), allowMissingColumns=True).select(
         "agency", "article_id", F.coalesce("copies", F.lit(0)).alias("copies")
     )
 
 
-def articles_of(articles: DataFrame, agency: str) -> DataFrame:
-    """The ids of one agency."""
-    return articles.filter(F.col("agency") == agency)
+def _names(agencies: DataFrame) -> DataFrame:
+    return agencies.select(F.col("telegram").alias("agency")).distinct()
 
 
-def _keep_all_agencies(agencies: DataFrame, rows: DataFrame) -> DataFrame:
-    """Agencies left-joined with many rows each.
+def _without_rows(names: DataFrame, rows: DataFrame) -> DataFrame:
+    """Agencies that have no row; both sides are reduced to distinct names first."""
+    return names.join(rows.select("agency").distinct(), "agency", "left_anti")
 
-    Rows of known agencies plus agencies without rows: both joins have the small
-    agency list (or the distinct agencies of the rows) as the lookup side.
-    """
-    names = agencies.select(F.col("telegram").alias("agency")).distinct()
-    matched = lookup_join(rows, names, "agency", "left_semi")
-    silent = lookup_join(names, rows.select("agency").distinct(), "agency", "left_anti")
-    return matched.unionByName(silent, allowMissingColumns=True)
+
+def articles_of(articles: DataFrame, agency: str) -> DataFrame:
+    """The ids of one agency."""
+    return articles.filter(F.col("agency") == agency)
 
 
 def latest_per_agency(news: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from wireloom.functions import dates
 from wireloom.functions import text as tx
 from wireloom.operators.enrich import summarize
 from wireloom.operators.joins import lookup_join
+from wireloom.session import checkpointed
 
 
 def missing_on_anniversaries(history: DataFrame, as_of: dt.date) -> DataFrame:
@@ -61,5 +62,10 @@ def resume_updates(
 def backfill_resumes(
     history: DataFrame, as_of: dt.date, resume: Callable[[Column], Column] = summarize
 ) -> DataFrame:
-    """The history with the missing summaries of a day's anniversaries filled in."""
-    return apply_updates(history, resume_updates(history, as_of, resume), "url", "resume")
+    """The history with the missing summaries of a day's anniversaries filled in.
+
+    The summaries are checkpointed: a model must not run again for the size check
+    or after a lost executor.
+    """
+    made = checkpointed(resume_updates(history, as_of, resume))
+    return apply_updates(history, made, "url", "resume")

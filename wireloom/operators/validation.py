@@ -33,7 +33,7 @@ def is_http_url(url: Column, max_length: int = fv.URL_MAX_LENGTH) -> Column:
     trimmed = tx.strip_whitespace(url)
     valid = (
         F.char_length(trimmed).between(1, max_length)
-        & ~trimmed.rlike(f"[{fv.WHITESPACE_CLASS}]")
+        & ~tx.has_whitespace(trimmed)
         & trimmed.rlike(HTTP_URL)
     )
     return F.coalesce(valid, F.lit(False))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from wireloom.operators.joins import lookup_join
 from wireloom.operators.updates import apply_updates
 from wireloom.schemas import conform, table_schema
-from wireloom.session import scratch_path
+from wireloom.session import checkpointed, scratch_path
 from wireloom.sources.tables import read_or_empty
 
 BATCH = "batch_id"
@@ -103,6 +103,7 @@ class NewsStore:
 
     def update(self, database: str, table: str, updates: DataFrame, key: str, column: str) -> list[str]:
         """Set a column by key; only batches that hold such a key are rewritten.  Returns their ids."""
+        updates = checkpointed(updates)
         rows = self.read(database, table)
         keys = updates.select(key).distinct()
         touched = lookup_join(rows.select(key, BATCH), keys, key, "left_semi").select(BATCH).distinct()
