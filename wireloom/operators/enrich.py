@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,16 +37,25 @@ def override_category(df: DataFrame, mono: DataFrame) -> DataFrame:
 
 
 def train_classifier(
-    labelled: DataFrame, text: str = "news", label: str = "label", features: int = 1 << 16, rounds: int = 10
+    labelled: DataFrame,
+    text: str = "news",
+    label: str = "label",
+    features: int = 1 << 16,
+    estimator: Estimator | None = None,
 ) -> PipelineModel:
-    """A linear bag-of-words topic classifier, trained on all labelled rows."""
+    """A linear bag-of-words topic classifier, trained on all labelled rows.
+
+    The default is multinomial naive Bayes: one distributed pass over the labelled
+    rows, and a model whose size depends on labels and features only.  Any Spark
+    ML classifier can take its place, for instance ``LogisticRegression``.
+    """
+    final = estimator.copy() if estimator is not None else NaiveBayes()
+    final.setLabelCol("_label").setFeaturesCol("_features").setPredictionCol("_prediction")
     stages = [
         StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc"),
         RegexTokenizer(inputCol=text, outputCol="_words", pattern="[^\\p{L}\\p{N}]+"),
         HashingTF(inputCol="_words", outputCol="_features", numFeatures=features),
-        LogisticRegression(
-            labelCol="_label", featuresCol="_features", predictionCol="_prediction", maxIter=rounds, regParam=0.001
-        ),
+        final,
     ]
     trained = Pipeline(stages=stages).fit(labelled.filter(F.col(label).isNotNull() & F.col(text).isNotNull()))
     names = IndexToString(inputCol="_prediction", outputCol="category", labels=trained.stages[0].labels)

@@ -282,13 +282,13 @@ def headline_split(spark, folder):
 
 @query
 def parse_message(spark, folder):
-    pages = fx.channel_pages(tables.table(spark, folder, "documents"))
+    pages = fx.channel_pages(fx.documents(spark, folder))
     return messages.parse_messages(pages)
 
 
 @query
 def parse_message_regular(spark, folder):
-    pages = fx.channel_pages(tables.table(spark, folder, "documents"))
+    pages = fx.channel_pages(fx.documents(spark, folder))
     return messages.parse_messages(pages, messages.read_regular_bubbles)
 
 
