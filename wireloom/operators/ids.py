@@ -141,6 +141,20 @@ def fresh(messages: DataFrame, seen: DataFrame) -> DataFrame:
     return messages.join(seen.select("agency", "id").distinct(), ["agency", "id"], "left_anti")
 
 
+def in_range_of(seen: DataFrame, messages: DataFrame) -> DataFrame:
+    """Seen ids that can matter for a batch: between its least and greatest id of the same agency.
+
+    Ids of a page lie close together, so this leaves a sliver of a seen table that
+    may be far larger than the batch, before anything is shuffled.
+    """
+    bounds = messages.groupBy("agency").agg(F.min("id").alias("_least"), F.max("id").alias("_greatest"))
+    return (
+        lookup_join(seen, bounds, "agency", "inner")
+        .filter(F.col("id").between(F.col("_least"), F.col("_greatest")))
+        .select("agency", "id")
+    )
+
+
 def first_copies(messages: DataFrame) -> DataFrame:
     """One message per (agency, id): the earliest by date, then by its text.
 

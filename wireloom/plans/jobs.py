@@ -26,10 +26,9 @@ HOME_GROUP = "russian"
 PUBLISHED = ("published", "news")
 FINAL = (HOME_GROUP, "final")
 ERRORS = ("error", "error_table")
+FINAL_REJECTS = ("error", "final_rejects")
 ARCHIVE = ("time_machine", "news")
 
-Rejects = DataFrame
-
 
 def group_of(language: Column, home_language: str) -> Column:
     """Which group a row is routed to."""
@@ -49,16 +48,28 @@ def id_sources(group: str) -> list[tuple[str, str]]:
 
 
 def seen_ids(store: NewsStore, group: str, batch_id: str) -> DataFrame:
-    """Known ids of a group, without the batch at hand: a repeated run sees what the first one saw."""
-    before = [store.read(*source).filter(F.col(BATCH) != batch_id) for source in id_sources(group)]
+    """Known ids of a group: staged and final rows not yet handed over, rejects, and published rows.
+
+    The batch at hand is left out, so a repeated run sees what the first one saw.
+    """
+    before = []
+    for source in id_sources(group):
+        if source in (news_table(HOME_GROUP), FINAL):
+            waiting = [batch for batch in store.pending_batches(*source) if batch != batch_id]
+            before.append(store.batch_rows(*source, waiting))
+        else:
+            before.append(store.read(*source).filter(F.col(BATCH) != batch_id))
     return ids.known_ids(*before)
 
 
-def staged_news(messages: DataFrame, seen: DataFrame) -> DataFrame:
-    """Messages (url, date, news, links, agency) that are new, one per id, with their broken rules."""
-    numbered = messages.withColumn("id", url_part_id(F.col("url")))
-    new = ids.fresh(ids.first_copies(numbered), seen).drop("id")
-    return validation.with_errors(new, validation.short_rules())
+def numbered(messages: DataFrame) -> DataFrame:
+    """Messages (url, date, news, links, agency) with their id, one per id."""
+    return ids.first_copies(messages.withColumn("id", url_part_id(F.col("url"))))
+
+
+def staged_news(unique: DataFrame, seen: DataFrame) -> DataFrame:
+    """Numbered messages that are new, with their broken rules."""
+    return validation.with_errors(ids.fresh(unique, seen).drop("id"), validation.short_rules())
 
 
 def collect(
@@ -67,17 +78,22 @@ def collect(
     """Stage the fresh messages of a group; returns how many were valid and how many were not.
 
     Rejected ids count as known afterwards.  Without ``agencies`` all are polled.
+    The distinct messages are kept for the run, because they are read for their id
+    ranges and then for themselves; the fresh ones, because they go to two tables.
     """
     if agencies is not None:
         polled = ag.agencies_of_group(agencies, group).select(F.col("telegram").alias("agency")).distinct()
         messages = lookup_join(messages, polled, "agency", "left_semi")
-    checked = staged_news(messages, seen_ids(store, group, batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+    unique = numbered(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    seen = ids.in_range_of(seen_ids(store, group, batch_id), unique)
+    checked = staged_news(unique, seen).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         store.append(*news_table(group), validation.valid_rows(checked), batch_id)
         store.append(*ERRORS, validation.rejects(checked), batch_id)
         counts = validation.validation_counts(checked).first()
     finally:
         checked.unpersist()
+        unique.unpersist()
     return counts["len_news"], counts["len_errors"]
 
 
@@ -99,13 +115,17 @@ def enrich(
     return taken
 
 
-def publish(store: NewsStore, batch_id: str) -> tuple[list[str], Rejects]:
-    """Publish the pending final rows that pass the rules; returns the batches taken and the rejects."""
+def publish(store: NewsStore, batch_id: str) -> list[str]:
+    """Publish the pending final rows that pass the rules; returns the batches taken.
+
+    The others are kept with their reasons, outside the tables whose ids count as known.
+    """
     taken = store.pending_batches(*FINAL)
-    checked = validation.with_errors(store.batch_rows(*FINAL, taken), validation.final_rules())
     if taken:
+        checked = validation.with_errors(store.batch_rows(*FINAL, taken), validation.final_rules())
+        store.append(*FINAL_REJECTS, validation.rejects(checked), batch_id)
         store.move(FINAL, PUBLISHED, validation.valid_rows(checked), batch_id, taken)
-    return taken, validation.rejects(checked)
+    return taken
 
 
 def backfill(

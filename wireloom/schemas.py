@@ -48,7 +48,12 @@ PAGES = T.StructType(
     ]
 )
 
-_BY_TABLE = {("russian", "news"): STAGED, ("published", "agencies"): AGENCIES, ("error", "error_table"): REJECTED}
+_BY_TABLE = {
+    ("russian", "news"): STAGED,
+    ("published", "agencies"): AGENCIES,
+    ("error", "error_table"): REJECTED,
+    ("error", "final_rejects"): REJECTED,
+}
 
 
 def table_schema(database: str, table: str) -> T.StructType:
