@@ -94,3 +94,10 @@ def test_fresh_and_first_copies(spark):
     new = ids.fresh(first, seen)
     assert {(row["agency"], row["id"]) for row in new.collect()} == {("a", 2), ("b", 1), ("hot", 1)}
     assert "LeftAnti" in plan(new)
+
+
+def test_rows_without_id_are_not_taken_for_copies(spark):
+    rows = [news_row("a", "x"), news_row("a", "y"), news_row("a", "y"), (None, None, "n", None, None), (None, None, "m", None, None),
+            ("https://t.me/z/1", None, "p", None, None), ("https://t.me/q/1", None, "p", None, None)]
+    numbered = frame(spark, rows).withColumn("id", F.split_part("url", F.lit("/"), F.lit(5)).try_cast("int"))
+    assert ids.first_copies(numbered).count() == 6

@@ -99,3 +99,13 @@ def test_many_pages_in_one_batch(spark):
     frame = spark.createDataFrame([("chan", html) for html in pages], "channel string, html string").coalesce(1)
     parsed = ms.read_bubbles(frame)
     assert parsed.count() == 3000 and parsed.select("own_url").distinct().count() == 3000
+
+
+def test_a_page_that_cannot_be_read_leaves_a_mark(spark, monkeypatch):
+    def fail(self, data):
+        raise AssertionError("unknown declaration")
+
+    html = page(bubble("one")) + "<!DOCTYPE x>"
+    rows = list(ms._page_rows("chan", html))
+    monkeypatch.setattr(ms._PageReader, "handle_decl", fail)
+    assert rows + [("chan", 1, None, None, "", None, [])] == list(ms._page_rows("chan", html))

@@ -95,6 +95,12 @@ def test_update_can_set_null(spark):
     assert got == {"u": None, "v": "old"}
 
 
+def test_several_updates_of_a_key_do_not_multiply_rows(spark):
+    target = spark.createDataFrame([("u", "old"), ("u", "old")], "url string, resume string")
+    changes = spark.createDataFrame([("u", "a"), ("u", "b")], "url string, resume string")
+    assert [row["resume"] for row in updates.apply_updates(target, changes, "url", "resume").collect()] == ["b", "b"]
+
+
 def test_last_update_per_key(spark):
     rows = [("u", "b", 1), ("u", "a", 2), (None, "x", 3)]
     got = updates.last_update_per_key(spark.createDataFrame(rows, "url string, r string, n int"), "url", "r", F.col("n"))

@@ -1,5 +1,8 @@
 from helpers import NEWS, news_row
+from test_messages import bubble, page
 
+from wireloom import schemas
+from wireloom.operators import messages
 from wireloom.plans import jobs
 from wireloom.sources import tables
 from wireloom.streaming.ingest import ingest, run_name
@@ -36,6 +39,18 @@ def test_stream_equals_batch_and_resumes(spark, store, tmp_path):
     assert log[-1] == (run_name("feed", 2), (1, 0))
 
 
+def test_a_stream_of_pages(spark, store, tmp_path):
+    folder = str(tmp_path)
+    for number in range(2):
+        html = page(*[bubble(f"text {i}", str(i)) for i in range(number * 5, number * 5 + 10)], bubble("bad", "x?single"))
+        rows = spark.createDataFrame([("chan", html)], schemas.PAGES)
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/pages.parquet")
+    pages = tables.table_stream(spark, folder, "pages", schemas.PAGES, maxFilesPerTrigger=1)
+    found = messages.well_formed(messages.parse_messages(pages)).drop("id")
+    ingest(found, store, "russian", str(tmp_path / "checkpoint"), "pages").awaitTermination()
+    assert sorted(row["news"] for row in store.read("russian", "news").collect()) == sorted(f"text {i}" for i in range(15))
+
+
 def test_a_replayed_micro_batch_changes_nothing(spark, store):
     rows = spark.createDataFrame([news_row("a", 1), news_row("a", 2, "")], NEWS)
     for _ in range(2):

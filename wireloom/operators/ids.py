@@ -159,13 +159,16 @@ def first_copies(messages: DataFrame) -> DataFrame:
     """One message per (agency, id): the earliest by date, then by its text.
 
     Copies are reduced before the shuffle, so a message that fills a third of the
-    input costs one row per task.
+    input costs one row per task.  Where agency or id is NULL, nothing says that
+    two rows are the same message; only rows that agree in every column are.
     """
-    rest = [name for name in messages.columns if name not in ("agency", "id")]
+    columns = messages.columns
+    rest = [name for name in columns if name not in ("agency", "id")]
     ordered = sorted(rest, key=lambda name: (name != "date", rest.index(name)))
-    first = F.min(F.struct(*ordered)).alias("first")
+    unnumbered = F.col("agency").isNull() | F.col("id").isNull()
+    whole_row = F.when(unnumbered, F.to_json(F.struct(*rest)))
     return (
-        messages.groupBy("agency", "id")
-        .agg(first)
-        .select(*[F.col(name) if name in ("agency", "id") else F.col(f"first.{name}") for name in messages.columns])
+        messages.groupBy("agency", "id", whole_row.alias("_whole_row"))
+        .agg(F.min(F.struct(*ordered)).alias("first"))
+        .select(*[F.col(name) if name in ("agency", "id") else F.col(f"first.{name}") for name in columns])
     )

@@ -133,13 +133,20 @@ class _PageReader(HTMLParser):
 
 
 def _page_rows(channel: str | None, html: str) -> Iterator[tuple]:
+    """Rows of a page; one without id stands for the rest of a page that cannot be read."""
     reader = _PageReader()
-    reader.feed(html)
-    reader.close()
+    broken = False
+    try:
+        reader.feed(html)
+        reader.close()
+    except (AssertionError, ValueError):
+        broken = True
     for number, bubble in enumerate(reader.bubbles):
         body = None if bubble.body is None else "".join(bubble.body)
         bold = ["".join(fragment) for fragment in bubble.bold]
         yield channel, number, bubble.own_url, bubble.published, body, bubble.href, bold
+    if broken:
+        yield channel, len(reader.bubbles), None, None, "", None, []
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,8 +31,12 @@ def last_update_per_key(updates: DataFrame, key: str, value: str, order: Column)
 
 
 def apply_updates(target: DataFrame, updates: DataFrame, key: str, column: str) -> DataFrame:
-    """Set a column on every row whose key has an update, whatever its other columns say."""
-    changes = updates.select(key, F.struct(F.col(column).alias("value")).alias("_change"))
+    """Set a column on every row whose key has an update, whatever its other columns say.
+
+    Of several values for one key the greatest counts; ``last_update_per_key``
+    picks by another order beforehand.
+    """
+    changes = updates.groupBy(key).agg(F.struct(F.max(column).alias("value")).alias("_change"))
     joined = lookup_join(target, changes, key, "left")
     return joined.select(
         *[
