@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wireloom import fixed_values as fv
 from wireloom.functions import text as tx
+from wireloom.operators.compute import with_value
 from wireloom.operators.joins import lookup_join
 
 SUMMARY_SENTENCES = 3
@@ -68,16 +69,28 @@ def classify(df: DataFrame, model: PipelineModel) -> DataFrame:
     return scored.select(*df.columns, tx.label_name(F.col("category")).alias("category"))
 
 
+def window_sentences(text: Column, window: int = fv.MODEL_INPUT_TOKENS) -> Column:
+    """The sentences within a model's input window, as an array."""
+    return tx.sentences(tx.truncate_tokens(text, window))
+
+
+def _summary_of(sentences: Column, count: int = SUMMARY_SENTENCES) -> Column:
+    return F.array_join(F.slice(F.array_distinct(sentences), 1, count), " ")
+
+
+def _headline_of(sentences: Column) -> Column:
+    first = F.coalesce(F.get(sentences, 0), F.lit(""))
+    return F.when(sentences.isNotNull(), F.rtrim(first, F.lit(".")))
+
+
 def summarize(text: Column, sentences: int = SUMMARY_SENTENCES, window: int = fv.MODEL_INPUT_TOKENS) -> Column:
     """Default summary: the first distinct sentences within the model's input window."""
-    distinct = F.array_distinct(tx.sentences(tx.truncate_tokens(text, window)))
-    return F.array_join(F.slice(distinct, 1, sentences), " ")
+    return _summary_of(window_sentences(text, window), sentences)
 
 
 def headline(text: Column, window: int = fv.MODEL_INPUT_TOKENS) -> Column:
     """Default headline: the first sentence within the input window, without its full stop."""
-    first = F.coalesce(F.get(tx.sentences(tx.truncate_tokens(text, window)), 0), F.lit(""))
-    return F.when(text.isNotNull(), F.rtrim(first, F.lit(".")))
+    return tx.bind(window_sentences(text, window), _headline_of)
 
 
 def batch_inference(load_model: Callable[[], BatchModel], batch_size: int = 32) -> Callable[[Column], Column]:
@@ -114,13 +127,22 @@ def batch_inference(load_model: Callable[[], BatchModel], batch_size: int = 32)
 def enrich(
     df: DataFrame,
     mono: DataFrame,
-    title: Callable[[Column], Column] = headline,
-    resume: Callable[[Column], Column] = summarize,
+    title: Callable[[Column], Column] | None = None,
+    resume: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Classified staged news to final news: filter, override, headline, summary.
 
     ``df`` carries the classifier's ``category``.  Headline and summary are both
-    made from the full news text.
+    made from the full news text; the defaults for both share one split into
+    sentences.
     """
     kept = override_category(drop_non_news(df), mono)
-    return kept.withColumns({"title": title(F.col("news")), "resume": resume(F.col("news"))})
+    news, sentences = F.col("news"), F.col("_sentences")
+    if title is None or resume is None:
+        kept = with_value(kept, "_sentences", window_sentences(news))
+    return kept.withColumns(
+        {
+            "title": title(news) if title else _headline_of(sentences),
+            "resume": resume(news) if resume else _summary_of(sentences),
+        }
+    ).drop("_sentences")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from wireloom import fixed_values as fv
 from wireloom.functions import dates, links, markup
 from wireloom.functions import text as tx
+from wireloom.operators.compute import with_value
 
 BUBBLE_SCHEMA = (
     "channel string, block_no int, own_url string, published string, body string, href string, bold array<string>"
@@ -186,7 +187,8 @@ def read_regular_bubbles(pages: DataFrame) -> DataFrame:
     bold and only the common character references.
     """
     block = F.col("block")
-    body = F.regexp_extract(block, f'(?s)<div class="{fv.TEXT_CLASS}"[^>]*>(.*?)</div>', 1)
+    opening, closing = f'<div class="{fv.TEXT_CLASS}"', "</div>"
+    body_html = F.regexp_extract(block, f"(?s){opening}[^>]*>(.*?){closing}", 1)
     bold = F.regexp_extract_all(F.col("body_html"), F.lit("(?s)<b>(.*?)</b>"), F.lit(1))
     link = F.regexp_extract(F.col("body_html"), '<a [^>]*?href="([^"]*)"', 1)
     own_url = F.regexp_extract(block, f'<a class="{fv.DATE_LINK_CLASS}"[^>]*? href="([^"]*)"', 1)
@@ -195,26 +197,19 @@ def read_regular_bubbles(pages: DataFrame) -> DataFrame:
     def text_of(html):
         return markup.unescape(markup.strip_tags(html))
 
-    opening = f'<div class="{fv.BUBBLE_CLASS}'
-    return (
-        usable_pages(pages)
-        .select("channel", F.posexplode(markup.blocks(F.col("html"), opening, "</section>")).alias("block_no", "block"))
-        .select(
-            "channel",
-            "block_no",
-            F.nullif(markup.unescape(own_url), F.lit("")).alias("own_url"),
-            F.nullif(published, F.lit("")).alias("published"),
-            F.when(F.contains(block, F.lit(f'<div class="{fv.TEXT_CLASS}"')), body).alias("body_html"),
-        )
-        .select(
-            "channel",
-            "block_no",
-            "own_url",
-            "published",
-            text_of(F.col("body_html")).alias("body"),
-            F.nullif(markup.unescape(link), F.lit("")).alias("href"),
-            F.coalesce(F.transform(bold, text_of), F.array().cast("array<string>")).alias("bold"),
-        )
+    found = usable_pages(pages).select(
+        "channel",
+        F.posexplode(markup.blocks(F.col("html"), f'<div class="{fv.BUBBLE_CLASS}', "</section>")).alias("block_no", "block"),
+    )
+    found = with_value(found, "body_html", F.when(F.contains(block, F.lit(opening)), body_html))
+    return with_value(found, "body", text_of(F.col("body_html"))).select(
+        "channel",
+        "block_no",
+        F.nullif(markup.unescape(own_url), F.lit("")).alias("own_url"),
+        F.nullif(published, F.lit("")).alias("published"),
+        "body",
+        F.nullif(markup.unescape(link), F.lit("")).alias("href"),
+        F.coalesce(F.transform(bold, text_of), F.array().cast("array<string>")).alias("bold"),
     )
 
 
@@ -226,15 +221,14 @@ def to_messages(bubbles: DataFrame) -> DataFrame:
     """
     own_url, agency = F.col("own_url"), F.col("agency")
     link = links.normalize_link(links.choose_link(F.col("href"), own_url), own_url)
-    news = tx.last_clause(F.col("body"), agency)
-    headline = tx.join_fragments(F.col("bold"))
+    split = tx.split_headline(tx.last_clause(F.col("body"), agency), tx.join_fragments(F.col("bold")))
+    with_text = bubbles.filter(F.col("body").isNotNull()).withColumnRenamed("channel", "agency")
     return (
-        bubbles.filter(F.col("body").isNotNull())
-        .withColumnRenamed("channel", "agency")
+        with_value(with_text, "news", tx.clean_text(split, agency))
         .select(
             own_url.alias("url"),
             dates.newsroom_time(F.col("published")).alias("date"),
-            tx.clean_text(tx.split_headline(news, headline), agency).alias("news"),
+            "news",
             link.alias("links"),
             "agency",
             links.message_id(own_url).alias("id"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wireloom import fixed_values as fv
 from wireloom.functions import text as tx
+from wireloom.operators.compute import with_value
 
 ERRORS = "errors"
 
@@ -61,11 +62,14 @@ def final_rules() -> dict[str, Column]:
 
 
 def with_errors(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Add the names of the broken rules as an array, in rule order; other columns stay as they are."""
+    """Add the names of the broken rules as an array, in rule order; other columns stay as they are.
+
+    The rules run once per row, also where valid rows and rejects are taken from it.
+    """
     broken = [
         F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()
     ]
-    return df.withColumn(ERRORS, F.array_compact(F.array(*broken)))
+    return with_value(df, ERRORS, F.array_compact(F.array(*broken)))
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:

@@ -102,8 +102,8 @@ def enrich(
     classify: Callable[[DataFrame], DataFrame],
     agencies: DataFrame,
     batch_id: str,
-    title: Callable[[Column], Column] = en.headline,
-    resume: Callable[[Column], Column] = en.summarize,
+    title: Callable[[Column], Column] | None = None,
+    resume: Callable[[Column], Column] | None = None,
 ) -> list[str]:
     """Enrich the pending staged rows of the home group; returns the batches taken."""
     source = news_table(HOME_GROUP)
