@@ -101,3 +101,17 @@ def test_rows_without_id_are_not_taken_for_copies(spark):
             ("https://t.me/z/1", None, "p", None, None), ("https://t.me/q/1", None, "p", None, None)]
     numbered = frame(spark, rows).withColumn("id", F.split_part("url", F.lit("/"), F.lit(5)).try_cast("int"))
     assert ids.first_copies(numbered).count() == 6
+
+
+def test_messages_move_once(spark):
+    rows = frame(spark, [news_row("a", i) for i in range(50)])
+    numbered = rows.withColumn("id", F.split_part("url", F.lit("/"), F.lit(5)).try_cast("int"))
+    seen = spark.createDataFrame([("a", 1), ("a", 2)], "agency string, id int").hint("shuffle_merge")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(ids.fresh_copies(ids.keyed_copies(numbered), seen))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One exchange each for the messages and the seen ids, plus the test's own repartition.
+    assert "LeftAnti" in text and text.count("\nArguments: hashpartitioning(") == 2
+    assert ids.fresh_copies(ids.keyed_copies(numbered), seen).count() == 48

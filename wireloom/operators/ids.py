@@ -12,6 +12,7 @@ from wireloom.functions import links
 from wireloom.operators.joins import lookup_join
 
 IDS_PER_CHUNK = 1024
+KEY_AGENCY, KEY_ID = "_key_agency", "_key_id"
 
 
 def table_ids(news: DataFrame, excluded_agency: str = fv.EXCLUDED_AGENCY) -> DataFrame:
@@ -155,20 +156,36 @@ def in_range_of(seen: DataFrame, messages: DataFrame) -> DataFrame:
     )
 
 
-def first_copies(messages: DataFrame) -> DataFrame:
-    """One message per (agency, id): the earliest by date, then by its text.
+def keyed_copies(messages: DataFrame) -> DataFrame:
+    """One row per message: the earliest by date, then by its text; with the two key columns in front.
 
     Copies are reduced before the shuffle, so a message that fills a third of the
     input costs one row per task.  Where agency or id is NULL, nothing says that
-    two rows are the same message; only rows that agree in every column are.
+    two rows are the same message: there the whole row is the key, next to a NULL
+    id, which no numbered message has.
     """
     columns = messages.columns
-    rest = [name for name in columns if name not in ("agency", "id")]
-    ordered = sorted(rest, key=lambda name: (name != "date", rest.index(name)))
-    unnumbered = F.col("agency").isNull() | F.col("id").isNull()
-    whole_row = F.when(unnumbered, F.to_json(F.struct(*rest)))
+    ordered = sorted(columns, key=lambda name: (name != "date", name in ("agency", "id"), columns.index(name)))
+    numbered = F.col("agency").isNotNull() & F.col("id").isNotNull()
+    whole_row = F.to_json(F.struct(*columns))
     return (
-        messages.groupBy("agency", "id", whole_row.alias("_whole_row"))
+        messages.select(
+            F.when(numbered, F.col("agency")).otherwise(whole_row).alias(KEY_AGENCY),
+            F.when(numbered, F.col("id")).alias(KEY_ID),
+            *columns,
+        )
+        .groupBy(KEY_AGENCY, KEY_ID)
         .agg(F.min(F.struct(*ordered)).alias("first"))
-        .select(*[F.col(name) if name in ("agency", "id") else F.col(f"first.{name}") for name in columns])
+        .select(KEY_AGENCY, KEY_ID, *[F.col(f"first.{name}") for name in columns])
     )
+
+
+def first_copies(messages: DataFrame) -> DataFrame:
+    """One row per message, in the columns of the input."""
+    return keyed_copies(messages).drop(KEY_AGENCY, KEY_ID)
+
+
+def fresh_copies(copies: DataFrame, seen: DataFrame) -> DataFrame:
+    """Keyed copies that have not been seen; they already lie where this join needs them."""
+    keys = seen.select(F.col("agency").alias(KEY_AGENCY), F.col("id").alias(KEY_ID)).distinct()
+    return copies.join(keys, [KEY_AGENCY, KEY_ID], "left_anti").drop(KEY_AGENCY, KEY_ID)

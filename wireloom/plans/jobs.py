@@ -62,14 +62,14 @@ def seen_ids(store: NewsStore, group: str, batch_id: str) -> DataFrame:
     return ids.known_ids(*before)
 
 
-def numbered(messages: DataFrame) -> DataFrame:
-    """Messages (url, date, news, links, agency) with their id, one per id."""
-    return ids.first_copies(messages.withColumn("id", url_part_id(F.col("url"))))
+def distinct_messages(messages: DataFrame) -> DataFrame:
+    """Messages (url, date, news, links, agency) with their id and keys, one per id."""
+    return ids.keyed_copies(messages.withColumn("id", url_part_id(F.col("url"))))
 
 
-def staged_news(unique: DataFrame, seen: DataFrame) -> DataFrame:
-    """Numbered messages that are new, with their broken rules."""
-    return validation.with_errors(ids.fresh(unique, seen).drop("id"), validation.short_rules())
+def staged_news(copies: DataFrame, seen: DataFrame) -> DataFrame:
+    """Distinct messages that are new, with their broken rules."""
+    return validation.with_errors(ids.fresh_copies(copies, seen).drop("id"), validation.short_rules())
 
 
 def collect(
@@ -84,7 +84,7 @@ def collect(
     if agencies is not None:
         polled = ag.agencies_of_group(agencies, group).select(F.col("telegram").alias("agency")).distinct()
         messages = lookup_join(messages, polled, "agency", "left_semi")
-    unique = numbered(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    unique = distinct_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
     seen = ids.in_range_of(seen_ids(store, group, batch_id), unique)
     checked = staged_news(unique, seen).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -467,7 +467,7 @@ def collect_slice(spark, folder):
     text = tx.clean_text(F.col("news"), F.col("agency"))
     rows = fx.news(docs).drop("lang").withColumn("news", text)
     seen = ids.known_ids(*[fx.quarter(_news(spark, folder), number) for number in (1, 2, 3)])
-    checked = jobs.staged_news(jobs.numbered(rows), seen)
+    checked = jobs.staged_news(jobs.distinct_messages(rows), seen)
     return checked.groupBy("agency").agg(
         F.count_if(F.size("errors") == 0).alias("news_amount"), F.count_if(F.size("errors") > 0).alias("rejects")
     )
