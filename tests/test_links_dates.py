@@ -74,6 +74,28 @@ def test_days_are_pushed_to_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate" in plan(found.select("o_orderkey"))
 
 
+def test_times_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    # 02:30 does not exist and 01:30 happens twice in this zone.
+    times = [dt.datetime(2023, 3, 12, 2, 30), dt.datetime(2023, 11, 5, 1, 30, 0, 7), dt.datetime(1969, 12, 31, 23, 59, 59, 1)]
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    days = [dt.date(1999, 3, 1), dt.date(1999, 10, 31)]
+    counts = []
+    try:
+        for name in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            epoch = dt.datetime(1970, 1, 1)
+            got = column(spark, times, dates.micros(F.col("x")), "timestamp_ntz")
+            assert got == [(time - epoch) // dt.timedelta(microseconds=1) for time in times]
+            start = F.lit("2023-03-11 12:00:00").cast("timestamp_ntz")
+            gap = column(spark, times[:1], dates.elapsed_seconds(start, F.col("x")), "timestamp_ntz")
+            assert gap == [14 * 3600 + 30 * 60]
+            counts.append(orders.filter(dates.on_days(F.col("o_orderdate"), days)).count())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert len(set(counts)) == 1
+
+
 def test_tomorrow(spark):
     day = spark.range(1).select(dates.tomorrow("Europe/Moscow").alias("d")).first()["d"]
     now = dt.datetime.now(dt.timezone(dt.timedelta(hours=3)))

@@ -54,12 +54,24 @@ def on_days(time: Column, days: list[dt.date]) -> Column:
     """
     hit = F.lit(False)
     for day in sorted(set(days)):
-        start = F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
-        end = F.lit(dt.datetime.combine(day + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+        # Text literals: a Python datetime would pass through the machine's own zone.
+        start = F.lit(day.isoformat()).cast("timestamp_ntz")
+        end = F.lit((day + dt.timedelta(days=1)).isoformat()).cast("timestamp_ntz")
         hit = hit | ((time >= start) & (time < end))
     return hit
 
 
+def micros(time: Column) -> Column:
+    """Microseconds of a zone-less timestamp since 1970, whatever the session's zone.
+
+    Put together from its fields; the built-in differences would first read it as
+    a local time, which daylight saving makes ambiguous.
+    """
+    minutes = (F.unix_date(F.to_date(time)).cast("bigint") * 24 + F.hour(time)) * 60 + F.minute(time)
+    seconds = F.date_part(F.lit("SECOND"), time)
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
+
+
 def elapsed_seconds(start: Column, end: Column) -> Column:
     """Whole seconds between two zone-less timestamps."""
-    return F.timestamp_diff("SECOND", start, end)
+    return F.floor((micros(end) - micros(start)) / 1_000_000)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wireloom import fixed_values as fv
-from wireloom.functions import links
+from wireloom.functions import dates, links
 from wireloom.operators.joins import lookup_join
 
 IDS_PER_CHUNK = 1024
@@ -126,8 +126,7 @@ def last_message_ids(agencies: DataFrame, news: DataFrame) -> DataFrame:
 
 def _recency(date: Column, message_id: Column) -> Column:
     """(date, id) as one fixed-width number, so that the newest row is found by a hash aggregate."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), date)
-    return micros.cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.coalesce(
+    return dates.micros(date).cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.coalesce(
         message_id, F.lit(-1)
     ).cast("decimal(10,0)")
 
