@@ -5,9 +5,10 @@ import pytest
 from helpers import plan
 
 import __spark_entry__ as entry_points
+from wireloom.plans.oracle import ORACLES
+from wireloom.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 ROWS_ONLY = {"classify_text"}
 
 
@@ -46,6 +47,10 @@ def test_classifier_learns(spark):
     assert right / total > 0.95
 
 
+def test_registered_queries_hold_these():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 

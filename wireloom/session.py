@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     known = spark.sparkContext.getCheckpointDir()
     if known:
         return known.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="wireloom-")
     spark.sparkContext.setCheckpointDir(folder)
