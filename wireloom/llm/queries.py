@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireloom.llm import packing, token_files
+from wireloom.llm import bpe, packing, token_files
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,8 +21,12 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, folder, "documents"), end_id=1)
 
 
+def op9_segment_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.bpe_digests(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    build.__name__: build for build in (op2_best_fit_packing, op8_token_files)
+    build.__name__: build for build in (op2_best_fit_packing, op8_token_files, op9_segment_tree_bpe)
 }
 
 ORACLES: dict[str, str] = {}
