@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireloom.llm import bpe, packing, token_files
+from wireloom.llm import bpe, packing, quality_mcd, token_files
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+def op3_quality_mcd(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_mcd.quality_rules(table(spark, folder, "documents"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, folder, "documents"), end_id=1)
 
@@ -26,7 +30,12 @@ def op9_segment_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    build.__name__: build for build in (op2_best_fit_packing, op8_token_files, op9_segment_tree_bpe)
+    build.__name__: build for build in (
+        op2_best_fit_packing,
+        op3_quality_mcd,
+        op8_token_files,
+        op9_segment_tree_bpe,
+    )
 }
 
 ORACLES: dict[str, str] = {}
