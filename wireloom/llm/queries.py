@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireloom.llm import bpe, packing, quality_mcd, token_files
+from wireloom.llm import bpe, minmax_dedup, packing, quality_mcd, token_files
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,12 +29,17 @@ def op9_segment_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, folder, "documents"))
 
 
+def op10_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: build for build in (
         op2_best_fit_packing,
         op3_quality_mcd,
         op8_token_files,
         op9_segment_tree_bpe,
+        op10_minmax_dedup,
     )
 }
 

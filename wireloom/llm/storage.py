@@ -50,3 +50,10 @@ def mapped(folder: str, name: str):
             return source.read_buffer()
     with place.open_input_file(full) as source:
         return source.read_buffer()
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing will read again."""
+    for file in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        place, path = filesystem(file)
+        place.delete_dir(path)
