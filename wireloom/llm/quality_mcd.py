@@ -234,11 +234,14 @@ def fit(vectors: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
 
 def judged(docs: DataFrame, columns: Sequence[str], *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", share: float = 0.75, cut: float = CUT, least: int = 50) -> DataFrame:
     """These columns with statistics, ``base_failed`` and ``kept``.  ``columns`` must not bear names of statistics."""
-    taken = docs.select(*columns, F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"))
-    found = with_statistics(taken, [*columns, "_lang", "_source"], "_text")
-    found = stored(found.withColumnsRenamed({"_lang": "_cell_lang", "_source": "_cell_source"}), "quality-statistics")
+    taken = docs.select(*columns, F.col(text_col).alias("_text"), F.col(lang_col).alias("_cell_lang"), F.col(source_col).alias("_cell_source"))
+    if text_col in columns:  # texts are not stored a second time; their statistics are taken once for the fit and once for the verdict
+        found = with_statistics(taken, [*columns, "_cell_lang", "_cell_source"], "_text")
+        fitted = stored(with_statistics(taken, ["_cell_lang", "_cell_source"], "_text"), "quality-statistics")
+    else:
+        found = fitted = stored(with_statistics(taken, [*columns, "_cell_lang", "_cell_source"], "_text"), "quality-statistics")
     found = found.withColumn("base_failed", base_failed())
-    slim = found.filter(~F.col("base_failed")).select(F.col("_cell_lang").alias("lang"), F.col("_cell_source").alias("source"), *components())
+    slim = fitted.filter(~base_failed()).select(F.col("_cell_lang").alias("lang"), F.col("_cell_source").alias("source"), *components())
     named = cells(slim, least)
     vectors = stored(join_cells(slim, named).drop("lang", "source"), "quality-vectors")
     estimate = named.join(fit(vectors, share), "cell").withColumnsRenamed({"lang": "_own_lang", "source": "_own_source"})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireloom.llm import bpe, minmax_dedup, packing, quality_mcd, token_files
+from wireloom.llm import bpe, markov_secrets, minmax_dedup, packing, quality_mcd, token_files
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_quality_mcd(spark: SparkSession, folder: str) -> DataFrame:
     return quality_mcd.quality_rules(table(spark, folder, "documents"))
 
 
+def op4_markov_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return markov_secrets.secret_scan(table(spark, folder, "documents"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, folder, "documents"), end_id=1)
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: build for build in (
         op2_best_fit_packing,
         op3_quality_mcd,
+        op4_markov_secrets,
         op8_token_files,
         op9_segment_tree_bpe,
         op10_minmax_dedup,
