@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireloom.llm import bpe, markov_secrets, minmax_dedup, packing, quality_mcd, token_files
+from wireloom.llm import block_extract, bpe, markov_secrets, minmax_dedup, order_minhash, packing, quality_mcd, token_files
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,14 @@ def op4_markov_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return markov_secrets.secret_scan(table(spark, folder, "documents"))
 
 
+def op5_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.order_minhash(table(spark, folder, "documents"))
+
+
+def op7_block_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return block_extract.extract_text(table(spark, folder, "pages"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, folder, "documents"), end_id=1)
 
@@ -42,6 +50,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_best_fit_packing,
         op3_quality_mcd,
         op4_markov_secrets,
+        op5_order_minhash,
+        op7_block_extract,
         op8_token_files,
         op9_segment_tree_bpe,
         op10_minmax_dedup,
