@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireloom.llm import block_extract, bpe, markov_secrets, minmax_dedup, order_minhash, packing, quality_mcd, token_files
+from wireloom.llm import block_extract, bpe, markov_secrets, minmax_dedup, order_minhash, packing, quality_mcd, token_files, warc_segments
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_segments.archive_round_trip(table(spark, folder, "pages"))
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
@@ -47,6 +51,7 @@ def op10_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: build for build in (
+        op1_warc_segments,
         op2_best_fit_packing,
         op3_quality_mcd,
         op4_markov_secrets,
