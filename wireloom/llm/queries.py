@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireloom.llm import block_extract, bpe, markov_secrets, minmax_dedup, order_minhash, packing, quality_mcd, token_files, warc_segments
+from wireloom.llm import block_extract, bpe, markov_secrets, minmax_dedup, oracle, order_minhash, packing, quality_mcd, token_files, url_equivalence, warc_segments
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op5_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.order_minhash(table(spark, folder, "documents"))
 
 
+def op6_url_equivalence(spark: SparkSession, folder: str) -> DataFrame:
+    return url_equivalence.judge_urls(table(spark, folder, "pages"))
+
+
 def op7_block_extract(spark: SparkSession, folder: str) -> DataFrame:
     return block_extract.extract_text(table(spark, folder, "pages"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_quality_mcd,
         op4_markov_secrets,
         op5_order_minhash,
+        op6_url_equivalence,
         op7_block_extract,
         op8_token_files,
         op9_segment_tree_bpe,
@@ -63,4 +68,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracle.ORACLES)
