@@ -9,7 +9,7 @@ from wireloom.plans.oracle import ORACLES
 from wireloom.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-ROWS_ONLY = {"classify_text"}
+ROWS_ONLY = set()
 
 
 @pytest.fixture(scope="module")

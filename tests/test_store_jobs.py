@@ -59,6 +59,108 @@ def test_failed_write_is_kept_aside_and_raised(spark, store):
         store.append(*STAGED, frame(spark, news_row("a", 1)), "1")
     store.path = working
     assert urls(store.dead_letters(*STAGED)) == ["a/1"] and urls(store.read(*STAGED)) == []
+    (failure,) = store.failures().collect()
+    assert failure["targets"] == ["russian/news/1"] and "unknown-scheme" in failure["error"]
+
+
+def test_a_failing_plan_leaves_the_old_batch(spark, store):
+    store.append(*STAGED, frame(spark, news_row("a", 1), news_row("a", 2)), "1")
+    failing = frame(spark, news_row("a", 3)).withColumn("news", F.raise_error(F.lit("broken plan")).cast("string"))
+    with pytest.raises(Exception, match="broken plan"):
+        store.move(STAGED, STAGED, failing, "1", ["0"])
+    assert urls(store.read(*STAGED)) == ["a/1", "a/2"] and store.consumed(*STAGED) == []
+    (failure,) = store.failures().collect()
+    assert failure["sources"] == ["russian/news/0"] and failure["targets"] == ["russian/news/1"]
+
+
+def test_both_groups_under_one_run_keep_their_rejects(spark, store):
+    home = frame(spark, news_row("a", 1, ""), news_row("a", 2, ""), news_row("a", 3))
+    foreign = frame(spark, news_row("f", 1, ""), news_row("f", 2, ""), news_row("f", 3, ""))
+    assert jobs.collect(store, home, "russian", "run-1") == (1, 2)
+    assert jobs.collect(store, foreign, "foreign", "run-1") == (0, 3)
+    assert len(urls(store.read(*jobs.ERRORS))) == 5
+    assert jobs.collect(store, home, "russian", "run-2") == (0, 0)
+
+
+def plain(rows):
+    return rows.withColumn("category", F.lit("society"))
+
+
+def test_a_retry_keeps_rows_when_new_batches_arrive(spark, store):
+    jobs.collect(store, frame(spark, news_row("a", 1), news_row("a", 2)), "russian", "c1")
+    assert jobs.enrich(store, plain, agencies(spark), "e1") == ["collect-russian-c1"]
+    jobs.collect(store, frame(spark, news_row("a", 3)), "russian", "c2")
+    assert jobs.enrich(store, plain, agencies(spark), "e1") == ["collect-russian-c1"]
+    assert urls(store.read(*jobs.FINAL)) == ["a/1", "a/2"] and urls(store.pending(*STAGED)) == ["a/3"]
+    assert jobs.enrich(store, plain, agencies(spark), "e2") == ["collect-russian-c2"]
+    assert jobs.collect(store, frame(spark, news_row("a", 1), news_row("a", 2)), "russian", "c1") == (2, 0)
+    assert urls(store.read(*STAGED)) == ["a/1", "a/2", "a/3"]
+
+
+@pytest.mark.parametrize("step", ["before", "after"])
+def test_a_crash_around_the_commit(spark, store, monkeypatch, step):
+    jobs.collect(store, frame(spark, news_row("a", 1), news_row("a", 2)), "russian", "c1")
+    jobs.collect(store, frame(spark, news_row("b", 3), news_row("b", 4)), "russian", "c2")
+    record = store._record
+
+    def crash(*told):
+        if step == "after":
+            record(*told)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(store, "_record", crash)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.enrich(store, plain, agencies(spark), "e1")
+    monkeypatch.setattr(store, "_record", record)
+    jobs.collect(store, frame(spark, news_row("c", 5)), "russian", "c3")
+    jobs.enrich(store, plain, agencies(spark), "e1")
+    assert urls(store.read(*jobs.FINAL)) == ["a/1", "a/2", "b/3", "b/4"]
+    assert urls(store.pending(*STAGED)) == ["c/5"]
+
+
+def test_a_failing_model_is_data(spark, store):
+    from wireloom.operators.enrich import batch_inference
+
+    def load():
+        def model(texts):
+            if any("bad" in text for text in texts):
+                raise ValueError("too bad")
+            return [text.upper() for text in texts]
+
+        return model
+
+    infer = batch_inference(load)
+    jobs.collect(store, frame(spark, news_row("a", 1, "good text"), news_row("a", 2, "bad text")), "russian", "c1")
+    jobs.enrich(store, plain, agencies(spark), "e1", title=infer, resume=infer)
+    (final,) = store.read(*jobs.FINAL).collect()
+    assert (final["title"], final["resume"]) == ("GOOD TEXT", "GOOD TEXT")
+    (failed,) = store.read(*jobs.MODEL_REJECTS).collect()
+    assert failed["url"].endswith("a/2") and failed["errors"] == ["title_error: ValueError: too bad", "resume_error: ValueError: too bad"]
+    rows = [(f"https://t.me/h/{i}", dt.datetime(2001, 3, 1, 13), text, "l", "h", None) for i, text in enumerate(["fine", "bad"])]
+    store.append(*jobs.ARCHIVE, spark.createDataFrame(rows, NEWS + ", resume string"), "1")
+    jobs.backfill(store, dt.date(2002, 3, 1), infer)
+    assert {row["news"]: row["resume"] for row in store.read(*jobs.ARCHIVE).collect()} == {"fine": "FINE", "bad": None}
+
+
+def test_known_ids_are_pruned_and_read_no_texts(spark, store):
+    from helpers import plan
+
+    store.append(*STAGED, frame(spark, news_row("a", 3_000_000_000), news_row("a", 7)), "1")
+    known = store.known_ids(*STAGED).filter(F.col("id").between(5, 9))
+    assert [tuple(row) for row in known.collect()] == [("a", 7)]
+    text = plan(known)
+    assert "GreaterThanOrEqual(id,5)" in text and "news:string" not in text and "url:string" not in text
+    assert jobs.collect(store, frame(spark, news_row("a", 3_000_000_000)), "russian", "c1") == (0, 0)
+
+
+def test_pages_to_both_groups(spark, store):
+    from test_messages import bubble, page
+
+    html = page(bubble("text one", "1"), bubble("text two", "2"), bubble("odd", "x?single"))
+    pages = spark.createDataFrame([("a", html), ("f", html), ("off", html)], "channel string, html string")
+    assert jobs.collect_pages(store, pages, agencies(spark), "p1") == {"russian": (2, 1), "foreign": (2, 1)}
+    assert jobs.collect_pages(store, pages, agencies(spark), "p2") == {"russian": (0, 0), "foreign": (0, 0)}
+    assert [row["errors"] for row in store.read(*jobs.ERRORS).collect()] == [["id"], ["id"]]
 
 
 def test_rows_that_arrive_during_a_move_stay_pending(spark, store):
@@ -77,7 +179,7 @@ def test_update_rewrites_only_touched_batches(spark, store):
     target = jobs.ARCHIVE
     store.append(*target, frame(spark, news_row("a", 1), news_row("a", 2), news_row("a", 1, minute=3)), "1")
     store.append(*target, frame(spark, news_row("b", 1)), "2")
-    untouched = sorted(os.listdir(f"{store.path(*target)}/batch_id=2"))
+    untouched = sorted(os.listdir(f"{store.path(*target)}/batch_id=2"))  # one attempt
     changes = spark.createDataFrame([("https://t.me/a/1", "new"), ("https://t.me/zzz/1", "x")], "url string, resume string")
     assert store.update(*target, changes, "url", "resume") == ["1"]
     got = sorted((row["url"], row["resume"]) for row in store.read(*target).collect())
@@ -129,13 +231,13 @@ def test_collect_enrich_publish(spark, store):
     def classify(rows):
         return rows.withColumn("category", F.when(F.col("news") == "Other.", "other").otherwise("society"))
 
-    assert jobs.enrich(store, classify, agencies(spark), "e1") == ["c1", "c2"]
+    assert jobs.enrich(store, classify, agencies(spark), "e1") == ["collect-russian-c1", "collect-russian-c2"]
     assert jobs.enrich(store, classify, agencies(spark), "e2") == []
     final = {row["url"]: (row["category"], row["title"]) for row in store.read(*jobs.FINAL).collect()}
     assert final == {"https://t.me/a/1": ("sports", "Good"), "https://t.me/b/4": ("society", "Fine")}
 
     store.append(*jobs.FINAL, frame(spark, news_row("b", 9)), "by-hand")
-    assert jobs.publish(store, "p1") == ["by-hand", "e1"]
+    assert jobs.publish(store, "p1") == ["by-hand", "enrich-e1"]
     assert [(row["url"], row["errors"]) for row in store.read(*jobs.FINAL_REJECTS).collect()] == [
         ("https://t.me/b/9", ["title", "resume", "category"])
     ]

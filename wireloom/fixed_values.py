@@ -87,6 +87,8 @@ VARIATION_SELECTOR = "\ufe0f"
 ZERO_WIDTH_SPACE_PAIR = "\u200b\u200b"
 # No-break space, zero-width joiner, thin space, newline and tab turn to a space.
 BLANKED_CHARACTERS = "\u00a0\u200d\u2009\n\t"
+# Flags of two letters, and runs of smileys.
+FLAGS_AND_SMILEYS = r"(\x{1F1F2}\x{1F1F4})|([\x{1F1E6}-\x{1F1FF}]{2})|([\x{1F600}-\x{1F64F}])+"
 # White space as Unicode text stripping understands it.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"

@@ -18,9 +18,10 @@ def newsroom_time(iso_text: Column, hours: int = fv.PUBLISH_OFFSET_HOURS) -> Col
     return iso_text.try_cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours))
 
 
-def tomorrow(zone: str = fv.NEWSROOM_TIME_ZONE) -> Column:
-    """The day after today in a zone."""
-    clock = F.convert_timezone(None, F.lit(zone), F.localtimestamp())
+def tomorrow(zone: str = fv.NEWSROOM_TIME_ZONE, utc: Column | None = None) -> Column:
+    """The day after today in a zone; ``utc`` is a clock without a zone that stands for now."""
+    source = None if utc is None else F.lit("UTC")
+    clock = F.convert_timezone(source, F.lit(zone), F.localtimestamp() if utc is None else utc)
     return F.date_add(F.to_date(clock), 1)
 
 

@@ -9,8 +9,8 @@ from wireloom import fixed_values as fv
 
 
 def url_part_id(url: Column) -> Column:
-    """The fifth ``/``-part of a message URL as int; NULL where it is not a number."""
-    return F.split_part(url, F.lit("/"), F.lit(5)).try_cast("int")
+    """The fifth ``/``-part of a message URL as a 64-bit number; NULL where it is not a number."""
+    return F.split_part(url, F.lit("/"), F.lit(5)).try_cast("bigint")
 
 
 def last_segment(url: Column) -> Column:
@@ -19,8 +19,8 @@ def last_segment(url: Column) -> Column:
 
 
 def message_id(url: Column) -> Column:
-    """The last URL segment as int; NULL where it is not a number."""
-    return last_segment(url).try_cast("int")
+    """The last URL segment as a 64-bit number; NULL where it is not a number."""
+    return last_segment(url).try_cast("bigint")
 
 
 def channel_page(agency: Column) -> Column:

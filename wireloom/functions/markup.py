@@ -21,6 +21,11 @@ _REFERENCES = (
 )
 
 
+# The href may stand anywhere in the tag.
+_ANCHOR = r'(?i)<a\s(?:[^>]*\s)?href\s*=\s*"([^"]*)"'
+_BOLD = r"(?s)<b>(.*?)(?:</b>|</?(?:p|div|br|li|h1|article)[ />]|\z)"
+
+
 def unescape(text: Column) -> Column:
     """Resolve the common character references."""
     for reference, character in _REFERENCES:
@@ -54,10 +59,10 @@ def blocks(html: Column, opening: str, *closings: str) -> Column:
 
 def first_link(html: Column) -> Column:
     """Target of the first anchor, NULL without one."""
-    return F.nullif(unescape(F.regexp_extract(html, '<a href="([^"]*)"', 1)), F.lit(""))
+    return F.nullif(unescape(F.regexp_extract(html, _ANCHOR, 1)), F.lit(""))
 
 
 def bold_fragments(html: Column) -> Column:
-    """Text that directly follows each ``<b>``."""
-    found = F.regexp_extract_all(html, F.lit("<b>([^<]*)"), F.lit(1))
-    return F.transform(found, unescape)
+    """Text of each ``<b>``, inner tags dropped; an unclosed one ends with its block."""
+    found = F.regexp_extract_all(html, F.lit(_BOLD), F.lit(1))
+    return F.transform(found, lambda part: unescape(strip_tags(part)))

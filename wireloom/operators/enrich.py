@@ -10,6 +10,7 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wireloom import fixed_values as fv
 from wireloom.functions import text as tx
@@ -18,6 +19,8 @@ from wireloom.operators.joins import lookup_join
 
 SUMMARY_SENTENCES = 3
 
+MODEL_ERRORS = ("title_error", "resume_error")
+
 BatchModel = Callable[[Sequence[str]], Sequence[str]]
 
 
@@ -69,6 +72,47 @@ def classify(df: DataFrame, model: PipelineModel) -> DataFrame:
     return scored.select(*df.columns, tx.label_name(F.col("category")).alias("category"))
 
 
+def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term, n): how often each word stands in each text; reduced before anything is shuffled by term."""
+    words = F.explode(F.array_remove(F.split(text, r"[ \n]+"), "")).alias("term")
+    return df.select(key, words).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _micro(value: Column) -> Column:
+    """A logarithm in whole millionths, so that sums are exact and ties are ties."""
+    return F.round(F.log(value) * 1_000_000).cast("bigint")
+
+
+def bayes_labels(labelled: DataFrame, rows: DataFrame, key: str = "doc_id", text: str = "news", label: str = "label") -> DataFrame:
+    """(key, category): the label that naive Bayes over exact words finds for each row; the least one on ties.
+
+    Every word of every labelled text counts; there is no bound on the vocabulary.  Counts are smoothed by one.  The
+    model is joined by word as one row per word with its labels' weights, so a word that is everywhere is split like any
+    skewed join; the labels are few.
+    """
+    known = labelled.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
+    counts = term_counts(known, label, text)
+    weights = F.collect_list(F.struct(F.col(label).alias("label"), _micro(F.col("n") + 1).alias("weight"))).alias("weights")
+    model = counts.groupBy("term").agg(weights)  # bounded by the number of labels
+    vocabulary = counts.select("term").distinct().count()
+    totals = counts.groupBy(F.col(label).alias("label")).agg(_micro(F.sum("n") + vocabulary).alias("total"))
+    priors = known.groupBy(F.col(label).alias("label")).agg(_micro(F.count(F.lit(1))).alias("prior"))
+    labels = [(r["label"], r["prior"], r["total"] or 0) for r in priors.join(totals, "label", "left").collect()]  # the labels are few
+    own = term_counts(rows, key, text)
+    met = own.join(model, "term").select(key, "n", F.explode("weights").alias("w")).groupBy(key, "w.label")
+    met = met.agg(F.sum(F.col("n") * F.col("w.weight")).alias("met"))
+    met = met.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("label", "met"))).alias("met"))
+    sizes = own.groupBy(key).agg(F.sum("n").alias("words"))
+    scored = rows.select(key).join(sizes, key, "left").join(met, key, "left")
+
+    def cost(name: str, prior: int, total: int) -> Column:
+        shared = F.coalesce(F.try_element_at("met", F.lit(name)), F.lit(0))
+        return F.struct((F.coalesce("words", F.lit(0)) * total - prior - shared).alias("cost"), F.lit(name).alias("label"))
+
+    found = F.array(*(cost(*row) for row in labels))
+    return scored.select(key, F.array_min(found)["label"].alias("category"))
+
+
 def window_sentences(text: Column, window: int = fv.MODEL_INPUT_TOKENS) -> Column:
     """The sentences within a model's input window, as an array."""
     return tx.sentences(tx.truncate_tokens(text, window))
@@ -134,15 +178,31 @@ def enrich(
 
     ``df`` carries the classifier's ``category``.  Headline and summary are both
     made from the full news text; the defaults for both share one split into
-    sentences.
+    sentences.  A plugged-in model gives a struct of ``value`` and ``error``, as
+    ``batch_inference`` does, or plain text; errors are kept as ``title_error``
+    and ``resume_error``.
     """
     kept = override_category(drop_non_news(df), mono)
     news, sentences = F.col("news"), F.col("_sentences")
     if title is None or resume is None:
         kept = with_value(kept, "_sentences", window_sentences(news))
-    return kept.withColumns(
+    made = kept.withColumns(
         {
             "title": title(news) if title else _headline_of(sentences),
             "resume": resume(news) if resume else _summary_of(sentences),
         }
     ).drop("_sentences")
+    return _split_errors(_split_errors(made, "title"), "resume")
+
+
+def _split_errors(df: DataFrame, column: str) -> DataFrame:
+    """Take value and error of a model's column apart."""
+    if not isinstance(df.schema[column].dataType, T.StructType):
+        return df
+    return df.withColumns({column: F.col(column)["value"], f"{column}_error": F.col(column)["error"]})
+
+
+def value_of(made: DataFrame, column: str) -> DataFrame:
+    """The frame with a model's column as plain text; rows that the model failed on are left out."""
+    split = _split_errors(made, column)
+    return split.filter(F.col(f"{column}_error").isNull()).drop(f"{column}_error") if f"{column}_error" in split.columns else split

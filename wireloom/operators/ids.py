@@ -51,7 +51,7 @@ def id_lists(agencies: DataFrame, ids: DataFrame, per_chunk: int = IDS_PER_CHUNK
         F.count(F.lit(1)).alias("copies")
     )
     chunks = (
-        counted.groupBy("agency", F.floor(F.col("id") / per_chunk).cast("int").alias("chunk"))
+        counted.groupBy("agency", F.expr(f"id div {per_chunk}").alias("chunk"))
         .agg(F.array_sort(F.collect_list(F.struct("id", "copies"))).alias("entries"))
         .select(
             "agency",
@@ -60,7 +60,7 @@ def id_lists(agencies: DataFrame, ids: DataFrame, per_chunk: int = IDS_PER_CHUNK
             F.col("entries.copies").alias("copies"),
         )
     )
-    empty = (F.array().cast("array<int>"), F.array().cast("array<bigint>"))
+    empty = (F.array().cast("array<bigint>"), F.array().cast("array<bigint>"))
     return chunks.unionByName(_without_rows(names, ids), allowMissingColumns=True).select(
         "agency",
         "chunk",
@@ -126,9 +126,9 @@ def last_message_ids(agencies: DataFrame, news: DataFrame) -> DataFrame:
 
 def _recency(date: Column, message_id: Column) -> Column:
     """(date, id) as one fixed-width number, so that the newest row is found by a hash aggregate."""
-    return dates.micros(date).cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.coalesce(
+    return dates.micros(date).cast("decimal(18,0)") * F.lit(2**63 - 1).cast("decimal(19,0)") + F.coalesce(
         message_id, F.lit(-1)
-    ).cast("decimal(10,0)")
+    ).cast("decimal(19,0)")
 
 
 def fresh(messages: DataFrame, seen: DataFrame) -> DataFrame:

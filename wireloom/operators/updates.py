@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wireloom.functions import dates
 from wireloom.functions import text as tx
-from wireloom.operators.enrich import summarize
+from wireloom.operators.enrich import summarize, value_of
 from wireloom.operators.joins import lookup_join
 from wireloom.session import checkpointed
 
@@ -54,11 +54,11 @@ def resume_updates(
     """(url, resume) for rows with a missing summary on the anniversaries of a day.
 
     Rows are taken newest first, so of several with one URL the oldest wins, and
-    of those on one date the least text.
+    of those on one date the least text.  Rows that a plugged-in model fails on are
+    left for the next time.
     """
-    missing = missing_on_anniversaries(history, as_of).select(
-        "url", "date", tx.sql_safe(resume(F.col("news"))).alias("resume")
-    )
+    made = missing_on_anniversaries(history, as_of).select("url", "date", resume(F.col("news")).alias("resume"))
+    missing = value_of(made, "resume").withColumn("resume", tx.sql_safe(F.col("resume")))
     ranked = missing.filter(F.col("url").isNotNull() & F.col("resume").isNotNull())
     return ranked.groupBy("url").agg(F.min(F.struct("date", "resume"))["resume"].alias("resume"))
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wireloom import fixed_values as fv
-from wireloom.session import spread
 from wireloom.sources.tables import table
 
 # Decorations of a text by doc_id % 12: what goes before it and what goes after it.
@@ -29,12 +28,11 @@ RULED_SOURCE = "src1"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents, spread over the cores when the file is small."""
-    return spread(table(spark, folder, "documents"), "doc_id")
+    return table(spark, folder, "documents")
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "pages"), "page_id")
+    return table(spark, folder, "pages")
 
 
 def minute_of(number: Column) -> Column:

@@ -1,6 +1,8 @@
-"""The four jobs, each over one batch and safe to run again.
+"""The jobs, each over one batch and safe to run again: a run that is done is not repeated, one that is not leaves no trace.
 
-collect:  messages → cleaned, fresh, valid rows; rejects with reasons
+pages:    channel pages → messages, for all groups
+
+collect:  messages → fresh, valid rows; rejects with reasons
 enrich:   staged rows → final rows
 publish:  final rows → published rows; rejects with reasons
 backfill: missing summaries of a day's anniversaries
@@ -9,17 +11,23 @@ backfill: missing summaries of a day's anniversaries
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from wireloom import fixed_values as fv
 from wireloom.functions.links import url_part_id
 from wireloom.operators import agencies as ag
 from wireloom.operators import enrich as en
 from wireloom.operators import ids, updates, validation
+from wireloom.operators import messages as messages_of
 from wireloom.operators.joins import lookup_join
+from wireloom.schemas import conform, table_schema
+from wireloom.session import checkpointed
 from wireloom.sources.store import BATCH, NewsStore
 
 HOME_GROUP = "russian"
@@ -27,6 +35,7 @@ PUBLISHED = ("published", "news")
 FINAL = (HOME_GROUP, "final")
 ERRORS = ("error", "error_table")
 FINAL_REJECTS = ("error", "final_rejects")
+MODEL_REJECTS = ("error", "model_rejects")
 ARCHIVE = ("time_machine", "news")
 
 
@@ -47,19 +56,18 @@ def id_sources(group: str) -> list[tuple[str, str]]:
     return [news_table(group), ERRORS]
 
 
-def seen_ids(store: NewsStore, group: str, batch_id: str) -> DataFrame:
+def batch_name(job: str, run: str, group: str = "") -> str:
+    """Batches are named by job, group and run, so that no two runs write the same one."""
+    return "-".join(part for part in (job, group, run) if part)
+
+
+def seen_ids(store: NewsStore, group: str, batch: str) -> DataFrame:
     """Known ids of a group: staged and final rows not yet handed over, rejects, and published rows.
 
-    The batch at hand is left out, so a repeated run sees what the first one saw.
+    The batch at hand is left out, so a repeated run sees what the first one saw.  Only (agency, id) is read.
     """
-    before = []
-    for source in id_sources(group):
-        if source in (news_table(HOME_GROUP), FINAL):
-            waiting = [batch for batch in store.pending_batches(*source) if batch != batch_id]
-            before.append(store.batch_rows(*source, waiting))
-        else:
-            before.append(store.read(*source).filter(F.col(BATCH) != batch_id))
-    return ids.known_ids(*before)
+    known = [store.known_ids(*source, pending=source in (news_table(HOME_GROUP), FINAL), but=batch) for source in id_sources(group)]
+    return reduce(DataFrame.unionByName, known).filter(F.col("agency") != fv.EXCLUDED_AGENCY)
 
 
 def distinct_messages(messages: DataFrame) -> DataFrame:
@@ -73,28 +81,66 @@ def staged_news(copies: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def collect(
-    store: NewsStore, messages: DataFrame, group: str, batch_id: str, agencies: DataFrame | None = None
+    store: NewsStore, messages: DataFrame, group: str, batch_id: str, agencies: DataFrame | None = None, broken: DataFrame | None = None
 ) -> tuple[int, int]:
     """Stage the fresh messages of a group; returns how many were valid and how many were not.
 
-    Rejected ids count as known afterwards.  Without ``agencies`` all are polled.
-    The distinct messages are kept for the run, because they are read for their id
-    ranges and then for themselves; the fresh ones, because they go to two tables.
+    Rejected ids count as known afterwards.  Without ``agencies`` all are polled.  ``broken`` are messages of the group
+    that could not be read, with their reasons; they go to the rejects.  A run that is done is not done again.  The
+    distinct messages are kept for the run, because they are read for their id ranges and then for themselves.
     """
+    run = batch_name("collect", batch_id, group)
+    done = store.committed(run)
+    if done is not None:
+        return tuple(json.loads(done))
     if agencies is not None:
         polled = ag.agencies_of_group(agencies, group).select(F.col("telegram").alias("agency")).distinct()
         messages = lookup_join(messages, polled, "agency", "left_semi")
+        broken = None if broken is None else lookup_join(broken, polled, "agency", "left_semi")
     unique = distinct_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
-    seen = ids.in_range_of(seen_ids(store, group, batch_id), unique)
-    checked = staged_news(unique, seen).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        store.append(*news_table(group), validation.valid_rows(checked), batch_id)
-        store.append(*ERRORS, validation.rejects(checked), batch_id)
+        least, most = unique.agg(F.min("id"), F.max("id")).first()
+        seen = ids.in_range_of(seen_ids(store, group, run).filter(F.col("id").between(least, most)), unique)
+        checked = staged_news(unique, seen).persist(StorageLevel.MEMORY_AND_DISK)
         counts = validation.validation_counts(checked).first()
+        rejected = validation.rejects(checked)
+        wrong = counts["len_errors"]
+        if broken is not None:
+            fitted = conform(broken, table_schema(*ERRORS)).distinct()
+            before = store.read(*ERRORS).select(*[F.col(name).alias(f"_{name}") for name in ("agency", "url", "news")]).distinct()
+            same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in ("agency", "url", "news")])
+            fitted = fitted.join(before, same, "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+            wrong += fitted.count()
+            rejected = conform(rejected, table_schema(*ERRORS)).unionByName(fitted)
+        store.commit(
+            run, [(news_table(group), run, validation.valid_rows(checked)), (ERRORS, run, rejected)], note=json.dumps([counts["len_news"], wrong])
+        )
     finally:
-        checked.unpersist()
         unique.unpersist()
-    return counts["len_news"], counts["len_errors"]
+    checked.unpersist()
+    return counts["len_news"], wrong
+
+
+def collect_pages(
+    store: NewsStore, pages: DataFrame, agencies: DataFrame, batch_id: str, groups: Sequence[str] = (HOME_GROUP, "foreign"), reader=None
+) -> dict[str, tuple[int, int]]:
+    """Channel pages (channel, html) to staged news of every group: parse, clean, drop known ids, check, route.
+
+    Messages without a number or a readable time go to the rejects with the reason.  Returns the counts of each group.
+    """
+    parsed = checkpointed(messages_of.parse_messages(pages, reader or messages_of.read_bubbles))  # pages are parsed once for all groups
+    sound = messages_of.well_formed(parsed).drop("id")
+    broken = messages_of.malformed(parsed).withColumn("errors", F.array("parse_error"))
+    return {group: collect(store, sound, group, batch_id, agencies, broken) for group in groups}
+
+
+def _parted(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows without and with model errors; the latter name the model and what it said."""
+    failed = [F.when(F.col(name).isNotNull(), F.concat(F.lit(f"{name}: "), F.col(name))) for name in en.MODEL_ERRORS if name in checked.columns]
+    if not failed:
+        return checked, checked.limit(0).withColumn("errors", F.array().cast("array<string>"))
+    told = checked.withColumn("errors", F.array_compact(F.array(*failed))).drop(*en.MODEL_ERRORS)
+    return told.filter(F.size("errors") == 0).drop("errors"), told.filter(F.size("errors") > 0)
 
 
 def enrich(
@@ -105,13 +151,19 @@ def enrich(
     title: Callable[[Column], Column] | None = None,
     resume: Callable[[Column], Column] | None = None,
 ) -> list[str]:
-    """Enrich the pending staged rows of the home group; returns the batches taken."""
-    source = news_table(HOME_GROUP)
-    taken = store.pending_batches(*source)
-    if taken:
+    """Enrich the pending staged rows of the home group; returns the batches taken.
+
+    Rows that a model fails on go to the model rejects with the model's message.
+    """
+    source, run = news_table(HOME_GROUP), batch_name("enrich", batch_id)
+    taken = store.take(run, *source)
+    if taken and store.committed(run) is None:
         classified = classify(store.batch_rows(*source, taken))
         final = en.enrich(classified, ag.mono_categories(agencies), title, resume)
-        store.move(source, FINAL, final, batch_id, taken)
+        if title or resume:
+            final = checkpointed(final)  # one pass of each model
+        sound, failed = _parted(final)
+        store.commit(run, [(FINAL, run, sound), (MODEL_REJECTS, run, failed)], [(source, batch) for batch in taken])
     return taken
 
 
@@ -120,11 +172,13 @@ def publish(store: NewsStore, batch_id: str) -> list[str]:
 
     The others are kept with their reasons, outside the tables whose ids count as known.
     """
-    taken = store.pending_batches(*FINAL)
-    if taken:
+    run = batch_name("publish", batch_id)
+    taken = store.take(run, *FINAL)
+    if taken and store.committed(run) is None:
         checked = validation.with_errors(store.batch_rows(*FINAL, taken), validation.final_rules())
-        store.append(*FINAL_REJECTS, validation.rejects(checked), batch_id)
-        store.move(FINAL, PUBLISHED, validation.valid_rows(checked), batch_id, taken)
+        store.commit(
+            run, [(PUBLISHED, run, validation.valid_rows(checked)), (FINAL_REJECTS, run, validation.rejects(checked))], [(FINAL, batch) for batch in taken]
+        )
     return taken
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from wireloom import fixed_values as fv
-from wireloom.operators.validation import HTTP_URL
 from wireloom.plans import fixtures as fx
 from wireloom.plans.queries import AS_OF, BULKY_PAGE_ADDRESS, HOME_LANGUAGE
 
@@ -45,7 +44,6 @@ def without_boilerplate(text: str, channel: str) -> str:
     return f"CASE {channel} {branches} ELSE {replace_phrases(text, common)} END"
 
 
-FLAGS_AND_SMILEYS = r"(\x{1F1F2}\x{1F1F4})|([\x{1F1E6}-\x{1F1FF}]{2})|([\x{1F600}-\x{1F64F}])+"
 EMOJI = f"[{fv.emoji_class()}]"
 WHITESPACE = quoted(fv.WHITESPACE)
 
@@ -67,7 +65,7 @@ def without_tags_mentions(text: str) -> str:
 
 
 def cleaned(text: str, channel: str) -> str:
-    text = substitute(without_boilerplate(text, channel), FLAGS_AND_SMILEYS, "")
+    text = substitute(without_boilerplate(text, channel), fv.FLAGS_AND_SMILEYS, "")
     text = f"ltrim(trim({text}, {quoted(fv.VARIATION_SELECTOR)}), '. ')"
     text = without_emoji(text)
     text = f"replace({text}, {quoted(fv.ZERO_WIDTH_SPACE_PAIR)}, ' ')"
@@ -141,7 +139,7 @@ LABELLED = f"""labelled AS (
   SELECT *, {case_of('doc_id', [quoted(label) for label in fx.LABELS])} AS category FROM news_v)"""
 
 KNOWN = """known AS (
-  SELECT agency, CAST(split_part(url, '/', 5) AS INT) AS id, doc_id % 4 AS part FROM news_v WHERE agency != 'src7')"""
+  SELECT agency, CAST(split_part(url, '/', 5) AS BIGINT) AS id, doc_id % 4 AS part FROM news_v WHERE agency != 'src7')"""
 
 CORRUPTED = f"""corrupted AS (
   SELECT doc_id,
@@ -158,11 +156,25 @@ CORRUPTED = f"""corrupted AS (
 
 
 def valid_address(url: str) -> str:
-    trimmed = f"trim({url}, {WHITESPACE})"
+    """The URL rule from its parts: scheme, user, host labels or address, port number."""
+    t = f"trim({url}, {WHITESPACE})"
+    authority = f"regexp_extract({t}, '^[^:]*://([^/?#]*)', 1)"
+    place = f"string_split({authority}, '@')[-1]"
+    bracketed = f"starts_with({place}, '[')"
+    port = f"CASE WHEN {bracketed} THEN string_split({place}, ']')[-1] WHEN contains({place}, ':') THEN ':' || string_split({place}, ':')[-1] ELSE '' END"
+    host = f"CASE WHEN {bracketed} THEN string_split({place}, ']')[1] || ']' ELSE string_split({place}, ':')[1] END"
+    labels = f"string_split(rtrim({host}, '.'), '.')"
+    label_ok = "length(x) BETWEEN 1 AND 63 AND NOT starts_with(x, '-') AND NOT ends_with(x, '-') AND regexp_matches(lower(x), '^[-_0-9a-z\\x{80}-\\x{40000}]+$')"
+    named = (
+        f"len({labels}) > 1 AND len(list_filter({labels}, lambda x: NOT ({label_ok}))) = 0 "
+        f"AND (regexp_matches({labels}[-1], '^[\\p{{L}}]{{2,63}}$') OR starts_with(lower({labels}[-1]), 'xn--'))"
+    )
+    numbers = f"len({labels}) = 4 AND len(list_filter({labels}, lambda x: try_cast(x AS INT) IS NULL OR length(x) > 3)) = 0"
+    sixes = f"{bracketed} AND regexp_matches(upper({host}), '^.[A-F0-9]*:[A-F0-9:]+.$')"
     return (
-        f"coalesce(length({trimmed}) BETWEEN 1 AND {fv.URL_MAX_LENGTH} "
-        f"AND NOT regexp_matches({trimmed}, {quoted(f'[{fv.WHITESPACE_CLASS}]')}) "
-        f"AND regexp_matches({trimmed}, {quoted(HTTP_URL)}), false)"
+        f"coalesce(length({t}) BETWEEN 1 AND {fv.URL_MAX_LENGTH} AND NOT regexp_matches({t}, {quoted(f'[{fv.WHITESPACE_CLASS}]')}) "
+        f"AND lower(string_split({t}, '://')[1]) IN ('http', 'https') AND contains({t}, '://') "
+        f"AND ({port} = '' OR coalesce(try_cast(substr({port}, 2) AS INT) BETWEEN 0 AND 65535, false)) AND (({sixes}) OR ({numbers}) OR ({named})), false)"
     )
 
 
@@ -253,7 +265,7 @@ chunks AS (
   SELECT agency, id // 1024 AS chunk, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids,
          string_agg(CAST(copies AS VARCHAR), ',' ORDER BY id) AS copies
   FROM counted GROUP BY 1, 2)
-SELECT telegram AS agency, CAST(chunk AS INT) AS chunk, coalesce(ids, '') AS ids, coalesce(copies, '') AS copies
+SELECT telegram AS agency, chunk, coalesce(ids, '') AS ids, coalesce(copies, '') AS copies
 FROM agencies LEFT JOIN chunks ON agency = telegram WHERE is_parsing IS TRUE
 """,
 )
@@ -275,10 +287,11 @@ register(
     "last_news_id",
     f"""
 WITH {AGENCIES}, {NEWS},
-t1 AS (SELECT DISTINCT agency, max(date) OVER (PARTITION BY agency) AS date FROM news_v),
-newest AS (
-  SELECT t1.agency, max(CAST(string_split(url, '/')[-1] AS INT)) AS last_id
-  FROM t1 JOIN news_v USING (date) WHERE t1.agency = news_v.agency GROUP BY 1)
+numbered AS (
+  SELECT agency, CAST(string_split(url, '/')[-1] AS BIGINT) AS message,
+         row_number() OVER (PARTITION BY agency ORDER BY date DESC, CAST(string_split(url, '/')[-1] AS BIGINT) DESC) AS place
+  FROM news_v WHERE date IS NOT NULL),
+newest AS (SELECT agency, message AS last_id FROM numbered WHERE place = 1)
 SELECT 'https://t.me/s/' || telegram AS channel_link, coalesce(last_id, 0) AS last_id
 FROM agencies LEFT JOIN newest ON agency = telegram WHERE is_parsing IS TRUE
 """,
@@ -286,7 +299,7 @@ FROM agencies LEFT JOIN newest ON agency = telegram WHERE is_parsing IS TRUE
 register(
     "fresh_anti_join",
     f"""
-WITH {NEWS}, numbered AS (SELECT *, CAST(split_part(url, '/', 5) AS INT) AS id FROM news_v)
+WITH {NEWS}, numbered AS (SELECT *, CAST(split_part(url, '/', 5) AS BIGINT) AS id FROM news_v)
 SELECT agency, id, url, date, news FROM numbered n
 WHERE NOT EXISTS (SELECT 1 FROM numbered k WHERE k.doc_id % 4 IN (2, 3) AND k.agency = n.agency AND k.id = n.id)
 """,
@@ -409,10 +422,10 @@ VISIBLE = resolved(
         "",
     )
 )
-BOLD = f"list_transform(regexp_extract_all(html, '<b>([^<]*)', 1), lambda b: {resolved('b')})"
+BOLD = f"list_transform(regexp_extract_all(html, '(?s)<b>(.*?)(?:</b>|</?(?:p|div|br|li|h1|article)[ />]|$)', 1), lambda b: {resolved("regexp_replace(b, '<[^>]*>', '', 'g')")})"
 register(
     "html_first_link",
-    f"""SELECT page_id, nullif({resolved("regexp_extract(html, '<a href=\"([^\"]*)\"', 1)")}, '') AS href FROM pages""",
+    f"""SELECT page_id, nullif({resolved("regexp_extract(html, '(?i)<a\\s(?:[^>]*\\s)?href\\s*=\\s*\"([^\"]*)\"', 1)")}, '') AS href FROM pages""",
 )
 register("html_text", f"SELECT page_id, {VISIBLE} AS text FROM pages")
 register("html_bold", f"SELECT page_id, array_to_string({BOLD}, '|') AS bold FROM pages")
@@ -461,7 +474,7 @@ SELECT url,
        {cleaned('closed', 'agency')} AS news,
        {case_of('doc_id', LINKS)} AS links,
        agency,
-       CASE WHEN doc_id % 50 <> 33 THEN CAST(doc_id AS INT) END AS id,
+       CASE WHEN doc_id % 50 <> 33 THEN doc_id END AS id,
        CASE doc_id % 50 WHEN 33 THEN 'id' WHEN 44 THEN 'date' END AS parse_error
 FROM h
 """
@@ -588,7 +601,53 @@ WITH x AS (
 SELECT event_type, items, round(seconds / 60, 2) AS minutes, round(seconds / (items + 0.000001), 2) AS sec_per_item FROM x
 """,
 )
-register("publish_roundtrip", ENRICHED)
+register(
+    "enrich_rate",
+    """
+WITH x AS (
+  SELECT event_type, count(*) AS items, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS seconds
+  FROM events GROUP BY event_type)
+SELECT event_type, items, round(seconds / 60, 2) AS minutes, round(seconds / (items + 0.01), 2) AS sec_per_item FROM x
+""",
+)
+register(
+    "tomorrow_in_zone",
+    "SELECT event_id, CAST(ts + INTERVAL 3 HOUR AS DATE) + 1 AS tomorrow FROM events",
+)
+register(
+    "classify_text",
+    """
+WITH words AS (SELECT doc_id, lang, unnest(list_filter(string_split_regex(text, '[ \\n]+'), lambda w: w <> '')) AS term FROM documents),
+own AS (SELECT doc_id, term, count(*) AS n FROM words GROUP BY ALL),
+model AS (SELECT lang AS label, term, CAST(round(ln(count(*) + 1) * 1000000) AS BIGINT) AS weight FROM words WHERE lang IS NOT NULL GROUP BY ALL),
+totals AS (
+  SELECT lang AS label, CAST(round(ln(count(*) + (SELECT count(DISTINCT term) FROM words WHERE lang IS NOT NULL)) * 1000000) AS BIGINT) AS total
+  FROM words WHERE lang IS NOT NULL GROUP BY 1),
+priors AS (SELECT lang AS label, CAST(round(ln(count(*)) * 1000000) AS BIGINT) AS prior FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY 1),
+met AS (SELECT doc_id, label, sum(n * weight) AS met FROM own JOIN model USING (term) GROUP BY ALL),
+sizes AS (SELECT doc_id, count(*) AS words FROM words GROUP BY 1),
+scores AS (
+  SELECT d.doc_id, p.label, prior + coalesce(met, 0) - coalesce(words, 0) * coalesce(total, 0) AS score
+  FROM documents d CROSS JOIN priors p LEFT JOIN totals t ON t.label = p.label
+  LEFT JOIN met m ON m.doc_id = d.doc_id AND m.label = p.label LEFT JOIN sizes s ON s.doc_id = d.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS place FROM scores)
+SELECT doc_id, label AS category FROM ranked WHERE place = 1
+""",
+)
+for name in ("publish_roundtrip", "publish_retry"):
+    register(name, ENRICHED)
+register(
+    "collect_both_groups",
+    f"""
+WITH {NEWS}
+SELECT url, CASE WHEN doc_id % 5 = 0 THEN 'error_table' WHEN doc_id % 2 = 0 THEN 'russian' ELSE 'foreign' END AS target FROM news_v
+""",
+)
+register("dead_letter", f"WITH {NEWS} SELECT url, news, agency FROM news_v WHERE doc_id % 4 = 0")
+register(
+    "backfill_store",
+    "SELECT * EXCLUDE (o_orderkey) FROM (" + ORACLES["resume_backfill"] + ")",
+)
 register(
     "stream_ingest",
     f"""

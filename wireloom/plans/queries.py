@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,10 +79,7 @@ def staged_scan(spark, folder):
 def limit_probe(spark, folder):
     rows = _news(spark, folder)
     probes = {"staged": fx.quarter(rows, 0), "final": fx.quarter(rows, 1), "empty": rows.filter("doc_id < 0")}
-    answers = [
-        probe.limit(1).agg((F.count(F.lit(1)) > 0).alias("non_empty")).select(F.lit(name).alias("name"), "non_empty")
-        for name, probe in probes.items()
-    ]
+    answers = [tables.non_empty(probe).select(F.lit(name).alias("name"), "non_empty") for name, probe in probes.items()]
     return answers[0].unionByName(answers[1]).unionByName(answers[2])
 
 
@@ -116,7 +114,7 @@ def known_ids_foreign(spark, folder):
 
 @query
 def agency_id_lists(spark, folder):
-    bag = _known(spark, folder).withColumn("id", F.floor(F.col("id") / 3).cast("int"))
+    bag = _known(spark, folder).withColumn("id", F.floor(F.col("id") / 3))
     lists = ids.id_lists(_active(spark, folder), bag)
     return lists.select(
         "agency", "chunk", F.array_join("ids", ",").alias("ids"), F.array_join("copies", ",").alias("copies")
@@ -325,9 +323,7 @@ def _checked(spark, folder, rules):
 def validate_short_split(spark, folder):
     checked = _checked(spark, folder, validation.short_rules())
     staged = [field.name for field in schemas.STAGED]
-    valid = validation.valid_rows(checked).select("doc_id", *staged).withColumn("errors", F.lit(""))
-    rejected = validation.rejects(checked).select("doc_id", *staged, F.array_join("errors", ",").alias("errors"))
-    return valid.unionByName(rejected)
+    return checked.select("doc_id", *staged, F.array_join("errors", ",").alias("errors"))
 
 
 @query
@@ -368,8 +364,7 @@ def category_override(spark, folder):
 @query
 def classify_text(spark, folder):
     docs = fx.documents(spark, folder).select("doc_id", F.col("text").alias("news"), F.col("lang").alias("label"))
-    model = enrich.train_classifier(docs)
-    return enrich.classify(docs.select("doc_id", "news"), model).select("doc_id", "category")
+    return enrich.bayes_labels(docs, docs)
 
 
 @query
@@ -427,26 +422,95 @@ def throughput_rate(spark, folder):
     return metrics.throughput(tables.table(spark, folder, "events"), "event_type", "ts")
 
 
+@query
+def enrich_rate(spark, folder):
+    return metrics.throughput(tables.table(spark, folder, "events"), "event_type", "ts", fv.PER_ITEM_EPSILON_ENRICH)
+
+
+@query
+def tomorrow_in_zone(spark, folder):
+    return tables.table(spark, folder, "events").select("event_id", dates.tomorrow(utc=F.col("ts")).alias("tomorrow"))
+
+
 # --- jobs --------------------------------------------------------------------
 
 
+def _derived_label(staged: DataFrame) -> DataFrame:
+    return _classified(staged.withColumn("doc_id", links.url_part_id(F.col("url"))))
+
+
 @query
 def publish_roundtrip(spark, folder):
     store = NewsStore(spark, scratch_path(spark, "store"))
     rows = fx.news(fx.documents(spark, folder))
     agencies = fx.agencies(spark, folder)
-
-    def derived_label(staged):
-        number = links.url_part_id(F.col("url"))
-        return _classified(staged.withColumn("doc_id", number))
-
     jobs.collect(store, rows, jobs.HOME_GROUP, "collect-1")
     for _ in range(2):
-        jobs.enrich(store, derived_label, agencies, "enrich-1")
+        jobs.enrich(store, _derived_label, agencies, "enrich-1")
         jobs.publish(store, "publish-1")
     return store.read(*jobs.PUBLISHED).drop("batch_id")
 
 
+@query
+def publish_retry(spark, folder):
+    """A run breaks off between writing and commit, new rows arrive, and it is repeated under its name."""
+    store = NewsStore(spark, scratch_path(spark, "store"))
+    rows = fx.news(fx.documents(spark, folder))
+    agencies = fx.agencies(spark, folder)
+    jobs.collect(store, rows.filter("doc_id % 3 = 0"), jobs.HOME_GROUP, "1")
+    record, store._record = store._record, _break_off
+    try:
+        jobs.enrich(store, _derived_label, agencies, "1")
+    except InterruptedError:
+        store._record = record
+    jobs.collect(store, rows.filter("doc_id % 3 = 1"), jobs.HOME_GROUP, "2")
+    jobs.enrich(store, _derived_label, agencies, "1")
+    jobs.collect(store, rows.filter("doc_id % 3 = 2"), jobs.HOME_GROUP, "3")
+    for run in ("1", "2", "2"):
+        jobs.enrich(store, _derived_label, agencies, run)
+        jobs.publish(store, run)
+    return store.read(*jobs.PUBLISHED).drop("batch_id")
+
+
+def _break_off(*told):
+    raise InterruptedError
+
+
+@query
+def collect_both_groups(spark, folder):
+    """Both groups under one run: no group's rejects replace the other's."""
+    store = NewsStore(spark, scratch_path(spark, "store"))
+    rows = fx.news(fx.documents(spark, folder))
+    rows = rows.withColumn("news", F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.col("news")))
+    for _ in range(2):
+        jobs.collect(store, rows.filter("doc_id % 2 = 0"), jobs.HOME_GROUP, "run-1")
+        jobs.collect(store, rows.filter("doc_id % 2 = 1"), "foreign", "run-1")
+    parts = {"russian": jobs.news_table(jobs.HOME_GROUP), "foreign": jobs.news_table("foreign"), "error_table": jobs.ERRORS}
+    return reduce(DataFrame.unionByName, [store.read(*place).select("url", F.lit(name).alias("target")) for name, place in parts.items()])
+
+
+@query
+def dead_letter(spark, folder):
+    """A sink that fails: the rows are kept aside, the table stays as it was."""
+    store = NewsStore(spark, scratch_path(spark, "store"))
+    working, store.path = store.path, lambda *names: "no-such-scheme://nowhere"
+    try:
+        store.append(*jobs.news_table(jobs.HOME_GROUP), fx.quarter(fx.news(fx.documents(spark, folder)), 0), "1")
+    except Exception:  # noqa: BLE001 - whatever the sink raises
+        store.path = working
+    kept = store.dead_letters(*jobs.news_table(jobs.HOME_GROUP)).select("url", "news", "agency")
+    return kept.unionByName(store.read(*jobs.news_table(jobs.HOME_GROUP)).select("url", "news", "agency"))
+
+
+@query
+def backfill_store(spark, folder):
+    """Missing summaries filled in through the store, in one write of the touched batches."""
+    store = NewsStore(spark, scratch_path(spark, "store"))
+    store.append(*jobs.ARCHIVE, fx.history(spark, folder), "archive")
+    jobs.backfill(store, AS_OF)
+    return store.read(*jobs.ARCHIVE).select("url", "date", "resume")
+
+
 @query
 def stream_ingest(spark, folder):
     store = NewsStore(spark, scratch_path(spark, "store"))

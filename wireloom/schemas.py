@@ -53,6 +53,7 @@ _BY_TABLE = {
     ("published", "agencies"): AGENCIES,
     ("error", "error_table"): REJECTED,
     ("error", "final_rejects"): REJECTED,
+    ("error", "model_rejects"): REJECTED,
 }
 
 

@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", app: str = "wireloom") -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.files.maxPartitionBytes", "8m")
+        .config("spark.sql.files.openCostInBytes", "1m")
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -58,13 +60,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
 
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan that fills only part of the cluster one task per core.
-
-    A scan of many files already has more splits than cores and stays as it is,
-    so this shuffles only inputs too small to matter.  Pass a scan or a
-    projection of one, keyed by columns that are close to unique.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df

@@ -1,25 +1,41 @@
 """The news store: databases of batch-partitioned Parquet tables in one shared folder.
 
-A batch is one directory ``batch_id=…`` and is always written whole, so writing
-it again replaces it.  Handing rows over does not delete anything: the source
-batches are marked as consumed, and rows that arrive meanwhile stay unread.
+Data is written first and counts later.  A run writes each of its batches into a directory of a new attempt; then one
+manifest row names these attempts, the source batches they use up, and a note.  Readers see what manifests name, so a
+run that ends half-way leaves everything as it was, and its repetition is a run like any other.  A later manifest for a
+batch replaces it; older attempts stay until nobody reads them.
+
+Rows are computed once, into a reliable checkpoint, before the first attempt is written.  If that fails, the failure
+names the run and its source batches; if a write fails, the rows are copied aside from the checkpoint.
+
+Next to each batch of news lie its (agency, id) pairs, sorted, so that known ids are looked up without texts or urls.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wireloom.functions.links import url_part_id
 from wireloom.operators.joins import lookup_join
 from wireloom.operators.updates import apply_updates
 from wireloom.schemas import conform, table_schema
-from wireloom.session import checkpointed, scratch_path
+from wireloom.session import checkpointed
 from wireloom.sources.tables import read_or_empty
 
-BATCH = "batch_id"
+BATCH, ATTEMPT = "batch_id", "attempt"
+
+#: One row per run: its place in time, what it wrote, what it used up.
+MANIFEST = "run string, seq long, writes array<struct<database:string,name:string,batch:string,attempt:string>>, uses array<struct<database:string,name:string,batch:string>>, note string"
+TAKEN = "run string, database string, name string, batch string"
+FAILURES = "run string, targets array<string>, sources array<string>, error string"
+IDS = T.StructType([T.StructField("agency", T.StringType()), T.StructField("id", T.LongType())])
+
+Table = tuple[str, str]
 
 
 class NewsStore:
@@ -32,88 +48,165 @@ class NewsStore:
     def path(self, database: str, table: str) -> str:
         return f"{self.root}/tables/{database}/{table}"
 
-    def read(self, database: str, table: str) -> DataFrame:
-        """Every row ever written, with its batch."""
-        schema = T.StructType([*table_schema(database, table), T.StructField(BATCH, T.StringType())])
-        return read_or_empty(self.spark, self.path(database, table), schema)
-
-    def append(self, database: str, table: str, rows: DataFrame, batch_id: str) -> None:
-        """Write one batch.  If that fails, keep the rows aside and raise."""
-        fitted = conform(rows, table_schema(database, table))
-        try:
-            fitted.write.mode("overwrite").parquet(f"{self.path(database, table)}/{BATCH}={batch_id}")
-        except Exception:
-            self._dead_letter(database, table, fitted, batch_id)
-            raise
-
-    def dead_letters(self, database: str, table: str) -> DataFrame:
-        """Rows of batches that could not be written."""
-        schema = T.StructType([*table_schema(database, table), T.StructField(BATCH, T.StringType())])
-        return read_or_empty(self.spark, f"{self.root}/dead_letter/{database}/{table}", schema)
+    def _ids_path(self, database: str, table: str) -> str:
+        return f"{self.root}/ids/{database}/{table}"
 
-    def _dead_letter(self, database: str, table: str, rows: DataFrame, batch_id: str) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/dead_letter/{database}/{table}/{BATCH}={batch_id}")
+    # --- what manifests say ---
 
-    def consumed(self, database: str, table: str) -> list[str]:
-        """Ids of the batches that have been handed over."""
-        return self._batch_names(self._marks(database, table))
+    def _manifests(self) -> list[Row]:
+        """The manifests: one small row per run, no data."""
+        return read_or_empty(self.spark, f"{self.root}/manifests", MANIFEST).collect()
 
-    def mark_consumed(self, database: str, table: str, batch_ids: Iterable[str]) -> None:
-        """Mark batches as handed over; marking twice changes nothing."""
-        for batch in batch_ids:
-            mark = self.spark.createDataFrame([(batch,)], "handed_over string")
-            mark.write.mode("overwrite").parquet(f"{self._marks(database, table)}/{BATCH}={batch}")
+    def committed(self, run: str) -> str | None:
+        """The note of a run that is done, else None."""
+        return next((row["note"] for row in self._manifests() if row["run"] == run), None)
 
-    def _marks(self, database: str, table: str) -> str:
-        return f"{self.root}/consumed/{database}/{table}"
+    def _attempts(self, database: str, table: str, pending: bool = False) -> dict[str, str]:
+        """Batch to attempt that counts; of all batches or of those that have not been handed over."""
+        live: dict[str, tuple[int, str]] = {}
+        used = set()
+        for row in self._manifests():
+            for w in row["writes"]:
+                if (w["database"], w["name"]) == (database, table):
+                    live[w["batch"]] = max(live.get(w["batch"], (0, "")), (row["seq"], w["attempt"]))
+            used.update(u["batch"] for u in row["uses"] if (u["database"], u["name"]) == (database, table))
+        return {batch: attempt for batch, (_, attempt) in sorted(live.items()) if not (pending and batch in used)}
 
     def batches(self, database: str, table: str) -> list[str]:
         """Ids of all batches."""
-        return self._batch_names(self.path(database, table))
-
-    def _batch_names(self, folder: str) -> list[str]:
-        """Batch directories of a folder: one directory listing, no file is opened."""
-        context = self.spark.sparkContext
-        place = context._jvm.org.apache.hadoop.fs.Path(folder)
-        files = place.getFileSystem(context._jsc.hadoopConfiguration())
-        if not files.exists(place):
-            return []
-        names = (status.getPath().getName() for status in files.listStatus(place))
-        return sorted(name.removeprefix(f"{BATCH}=") for name in names if name.startswith(f"{BATCH}="))
+        return list(self._attempts(database, table))
+
+    def consumed(self, database: str, table: str) -> list[str]:
+        """Ids of the batches that have been handed over."""
+        pending = self._attempts(database, table, pending=True)
+        return [batch for batch in self._attempts(database, table) if batch not in pending]
 
     def pending_batches(self, database: str, table: str) -> list[str]:
         """Ids of the batches that have not been handed over."""
-        done = set(self.consumed(database, table))
-        return [batch for batch in self.batches(database, table) if batch not in done]
+        return list(self._attempts(database, table, pending=True))
+
+    # --- reading ---
+
+    def _rows(self, path: str, schema: T.StructType, attempts: dict[str, str]) -> DataFrame:
+        """Rows of some attempts; the others are pruned by directory when the join runs."""
+        parts = [T.StructField(BATCH, T.StringType()), T.StructField(ATTEMPT, T.StringType())]
+        whole = T.StructType([*schema, *parts])
+        if not attempts:
+            return self.spark.createDataFrame([], whole).drop(ATTEMPT)
+        live = self.spark.createDataFrame(list(attempts.items()), T.StructType(parts))
+        rows = self.spark.read.schema(whole).parquet(path)
+        return rows.join(live, [BATCH, ATTEMPT], "left_semi").select(*schema.fieldNames(), BATCH)
+
+    def read(self, database: str, table: str) -> DataFrame:
+        """Every row of a table, with its batch."""
+        return self._rows(self.path(database, table), table_schema(database, table), self._attempts(database, table))
 
     def batch_rows(self, database: str, table: str, batch_ids: Iterable[str]) -> DataFrame:
-        """Rows of some batches; the others are pruned before the scan."""
-        return self.read(database, table).filter(F.col(BATCH).isin(*batch_ids)).drop(BATCH)
+        """Rows of some batches."""
+        wanted = set(batch_ids)
+        own = {batch: attempt for batch, attempt in self._attempts(database, table).items() if batch in wanted}
+        return self._rows(self.path(database, table), table_schema(database, table), own).drop(BATCH)
 
     def pending(self, database: str, table: str) -> DataFrame:
         """Rows that have not been handed over."""
-        return self.batch_rows(database, table, self.pending_batches(database, table))
+        own = self._attempts(database, table, pending=True)
+        return self._rows(self.path(database, table), table_schema(database, table), own).drop(BATCH)
 
-    def move(
-        self, source: tuple[str, str], target: tuple[str, str], rows: DataFrame, batch_id: str, taken: Iterable[str]
+    def known_ids(self, database: str, table: str, pending: bool = False, but: str | None = None) -> DataFrame:
+        """(agency, id) of the rows of a table, or of its pending batches, leaving out one batch; no other column is read."""
+        own = {batch: attempt for batch, attempt in self._attempts(database, table, pending).items() if batch != but}
+        return self._rows(self._ids_path(database, table), IDS, own).drop(BATCH)
+
+    # --- writing ---
+
+    def commit(
+        self, run: str, writes: Sequence[tuple[Table, str, DataFrame]], uses: Sequence[tuple[Table, str]] = (), note: str = ""
     ) -> None:
-        """Write ``rows`` to the target, then mark the source batches they were made from."""
-        self.append(*target, rows, batch_id)
-        self.mark_consumed(*source, taken)
+        """Write batches, then make them count, and their sources as used up, by one manifest row."""
+        attempt, sources = uuid.uuid4().hex, [f"{'/'.join(table)}/{batch}" for table, batch in uses]
+        targets = [f"{'/'.join(table)}/{batch}" for table, batch, _ in writes]
+        try:
+            made = [(table, batch, checkpointed(conform(rows, table_schema(*table)))) for table, batch, rows in writes]
+        except Exception as problem:
+            self._failed(run, targets, sources, problem)
+            raise
+        try:
+            for table, batch, rows in made:
+                place = f"{BATCH}={batch}/{ATTEMPT}={attempt}"
+                rows.write.parquet(f"{self.path(*table)}/{place}")
+                numbered = rows.select("agency", url_part_id(F.col("url")).alias("id")).filter("agency is not null and id is not null")
+                numbered.distinct().sortWithinPartitions("agency", "id").write.parquet(f"{self._ids_path(*table)}/{place}")
+        except Exception as problem:
+            for table, batch, rows in made:
+                rows.write.parquet(f"{self._dead_path(*table)}/{BATCH}={batch}/{ATTEMPT}={attempt}")
+            self._failed(run, targets, sources, problem)
+            raise
+        self._record(run, [(*table, batch, attempt) for table, batch, _ in made], [(*table, batch) for table, batch in uses], note)
+
+    def _record(self, run: str, writes: list[tuple], uses: list[tuple], note: str) -> None:
+        """One file, renamed into place by Spark's commit: it is there or it is not."""
+        seq = 1 + max((row["seq"] for row in self._manifests()), default=0)
+        row = self.spark.createDataFrame([(run, seq, writes, uses, note)], MANIFEST)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/manifests")
+
+    def append(self, database: str, table: str, rows: DataFrame, batch_id: str) -> None:
+        """Write one batch; writing it again replaces it."""
+        self.commit(f"append/{database}/{table}/{batch_id}", [((database, table), batch_id, rows)])
+
+    def mark_consumed(self, database: str, table: str, batch_ids: Iterable[str]) -> None:
+        """Mark batches as handed over; marking twice changes nothing."""
+        self._record(f"mark/{database}/{table}", [], [(database, table, batch) for batch in batch_ids], "")
+
+    def take(self, run: str, database: str, table: str) -> list[str]:
+        """The pending batches that a run works on: fixed when it first asks, the same on every retry."""
+        place = f"{self.root}/taken"
+        told = read_or_empty(self.spark, place, TAKEN).filter((F.col("run") == run) & (F.col("database") == database) & (F.col("name") == table))
+        found = sorted({row["batch"] for row in told.collect()})
+        if not found:
+            found = self.pending_batches(database, table)
+            if found:
+                rows = [(run, database, table, batch) for batch in found]
+                self.spark.createDataFrame(rows, TAKEN).coalesce(1).write.mode("append").parquet(place)
+        return found
+
+    def move(self, source: Table, target: Table, rows: DataFrame, batch_id: str, taken: Iterable[str]) -> None:
+        """Write ``rows`` to the target and use up the source batches they were made from, at once."""
+        self.commit(f"move/{'/'.join(target)}/{batch_id}", [(target, batch_id, rows)], [(source, batch) for batch in taken])
+
+    # --- failures ---
+
+    def _dead_path(self, database: str, table: str) -> str:
+        return f"{self.root}/dead_letter/{database}/{table}"
+
+    def dead_letters(self, database: str, table: str) -> DataFrame:
+        """Rows of batches that were computed and could not be written."""
+        schema = T.StructType([*table_schema(database, table), T.StructField(BATCH, T.StringType()), T.StructField(ATTEMPT, T.StringType())])
+        return read_or_empty(self.spark, self._dead_path(database, table), schema).drop(ATTEMPT)
+
+    def failures(self) -> DataFrame:
+        """Runs that failed, with their targets and source batches."""
+        return read_or_empty(self.spark, f"{self.root}/failures", FAILURES)
+
+    def _failed(self, run: str, targets: list[str], sources: list[str], problem: Exception) -> None:
+        row = self.spark.createDataFrame([(run, targets, sources, str(problem)[:2000])], FAILURES)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/failures")
+
+    # --- updates ---
 
     def update(self, database: str, table: str, updates: DataFrame, key: str, column: str) -> list[str]:
-        """Set a column by key; only batches that hold such a key are rewritten.  Returns their ids."""
+        """Set a column by key; only batches that hold such a key are rewritten, in one write.  Returns their ids."""
         updates = checkpointed(updates)
         rows = self.read(database, table)
         keys = updates.select(key).distinct()
-        touched = lookup_join(rows.select(key, BATCH), keys, key, "left_semi").select(BATCH).distinct()
-        batches = sorted(row[BATCH] for row in touched.collect())
+        touched = checkpointed(lookup_join(rows.select(key, BATCH), keys, key, "left_semi").select(BATCH).distinct())
+        batches = sorted(row[BATCH] for row in touched.collect())  # names for the manifest
         if batches:
-            changed = apply_updates(rows.filter(F.col(BATCH).isin(*batches)), updates, key, column)
-            staged = scratch_path(self.spark, f"update-{table}")
-            changed.write.partitionBy(BATCH).parquet(staged)
-            fresh = read_or_empty(self.spark, staged, rows.schema)
-            fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(
-                self.path(database, table)
-            )
+            attempt = uuid.uuid4().hex
+            changed = apply_updates(rows.join(touched, BATCH, "left_semi"), updates, key, column)
+            changed = changed.hint("rebalance", BATCH).withColumn(ATTEMPT, F.lit(attempt))
+            changed.write.mode("append").partitionBy(BATCH, ATTEMPT).parquet(self.path(database, table))
+            numbered = rows.join(touched, BATCH, "left_semi").select("agency", url_part_id(F.col("url")).alias("id"), BATCH)
+            numbered = numbered.filter("agency is not null and id is not null").distinct().hint("rebalance", BATCH).withColumn(ATTEMPT, F.lit(attempt))
+            numbered.write.mode("append").partitionBy(BATCH, ATTEMPT).parquet(self._ids_path(database, table))
+            self._record(f"update/{database}/{table}/{attempt}", [(database, table, batch, attempt) for batch in batches], [], "")
         return batches

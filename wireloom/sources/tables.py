@@ -6,6 +6,7 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -19,7 +20,7 @@ def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructTy
     return spark.readStream.schema(schema).options(**options).parquet(f"{folder}/{{{name}}}.parquet")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A Parquet directory under a fixed schema; no rows where nothing has been written yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -34,6 +35,11 @@ def run_query(spark: SparkSession, query: str, views: dict[str, DataFrame], **pa
     return spark.sql(query, args=parameters or None, **views)
 
 
+def non_empty(df: DataFrame) -> DataFrame:
+    """One row: whether a frame has a row; looks for one only."""
+    return df.limit(1).agg((F.count(F.lit(1)) > 0).alias("non_empty"))
+
+
 def is_not_empty(df: DataFrame) -> bool:
     """True where a frame has a row; stops at the first one."""
-    return not df.isEmpty()
+    return non_empty(df).first()["non_empty"]
