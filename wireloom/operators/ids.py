@@ -46,26 +46,15 @@ def id_lists(agencies: DataFrame, ids: DataFrame, per_chunk: int = IDS_PER_CHUNK
     them, however many rows an agency has.  An agency without ids gets one row
     with chunk NULL and empty arrays.
     """
-    names = _names(agencies)
-    counted = lookup_join(ids, names, "agency", "left_semi").groupBy("agency", "id").agg(
-        F.count(F.lit(1)).alias("copies")
-    )
+    counted = ids.groupBy("agency", "id").agg(F.count(F.lit(1)).alias("copies"))
     chunks = (
         counted.groupBy("agency", F.expr(f"id div {per_chunk}").alias("chunk"))
         .agg(F.array_sort(F.collect_list(F.struct("id", "copies"))).alias("entries"))
-        .select(
-            "agency",
-            "chunk",
-            F.col("entries.id").alias("ids"),
-            F.col("entries.copies").alias("copies"),
-        )
+        .select("agency", "chunk", F.col("entries.id").alias("ids"), F.col("entries.copies").alias("copies"))
     )
-    empty = (F.array().cast("array<bigint>"), F.array().cast("array<bigint>"))
-    return chunks.unionByName(_without_rows(names, ids), allowMissingColumns=True).select(
-        "agency",
-        "chunk",
-        F.coalesce("ids", empty[0]).alias("ids"),
-        F.coalesce("copies", empty[1]).alias("copies"),
+    empty = F.array().cast("array<bigint>")
+    return _names(agencies).join(chunks, "agency", "left").select(
+        "agency", "chunk", F.coalesce("ids", empty).alias("ids"), F.coalesce("copies", empty).alias("copies")
     )
 
 
@@ -74,26 +63,14 @@ def article_ids(agencies: DataFrame, news: DataFrame) -> DataFrame:
 
     An agency without articles gets one row with article_id NULL and 0 copies.
     """
-    names = _names(agencies)
-    counted = (
-        lookup_join(news.select("agency", "url"), names, "agency", "left_semi")
-        .groupBy("agency", links.last_segment(F.col("url")).alias("article_id"))
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    return counted.unionByName(_without_rows(names, news), allowMissingColumns=True).select(
-        "agency", "article_id", F.coalesce("copies", F.lit(0)).alias("copies")
-    )
+    counted = news.groupBy("agency", links.last_segment(F.col("url")).alias("article_id")).agg(F.count(F.lit(1)).alias("copies"))
+    return _names(agencies).join(counted, "agency", "left").select("agency", "article_id", F.coalesce("copies", F.lit(0)).alias("copies"))
 
 
 def _names(agencies: DataFrame) -> DataFrame:
     return agencies.select(F.col("telegram").alias("agency")).distinct()
 
 
-def _without_rows(names: DataFrame, rows: DataFrame) -> DataFrame:
-    """Agencies that have no row; both sides are reduced to distinct names first."""
-    return names.join(rows.select("agency").distinct(), "agency", "left_anti")
-
-
 def articles_of(articles: DataFrame, agency: str) -> DataFrame:
     """The ids of one agency."""
     return articles.filter(F.col("agency") == agency)
@@ -116,9 +93,7 @@ def last_message_ids(agencies: DataFrame, news: DataFrame) -> DataFrame:
         .groupBy("agency")
         .agg(F.max_by("id", "recency").alias("last_id"))
     )
-    return lookup_join(
-        agencies.select(F.col("telegram").alias("agency")), newest, "agency", "left"
-    ).select(
+    return agencies.select(F.col("telegram").alias("agency")).join(newest, "agency", "left").select(
         links.channel_page(F.col("agency")).alias("channel_link"),
         F.coalesce("last_id", F.lit(0)).alias("last_id"),
     )

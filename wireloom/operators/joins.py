@@ -21,15 +21,11 @@ def fits_broadcast(
 ) -> bool:
     """Measure a lookup table: True where rows and text bytes are within the bounds.
 
-    At most ``max_rows + 1`` rows are looked at, so the check is cheap for tables
-    that are far too large.
+    Both are summed where the rows are; a lookup that is to be measured should be a
+    scan or a stored table, not something that is costly to compute twice.
     """
     row_bytes = F.octet_length(F.to_json(F.struct(*lookup.columns)))
-    rows, size = (
-        lookup.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0)))
-        .first()
-    )
+    rows, size = lookup.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
