@@ -94,22 +94,25 @@ def test_whole_job(spark):
     assert all(sizes[i] == len(shingles(t)) for i, t in rows)
 
 
-def test_pivots_find_what_stars_miss(spark, monkeypatch):
-    """One band of one row puts nearly all documents into few buckets; links must still be whole."""
+def test_prefixes_find_what_middles_miss(spark):
+    """All documents in one bucket, of two versions, edits and cuts of a base; links must still be whole."""
     rng = random.Random(2)
-    base = rng.choices([f"w{i}" for i in range(80)], k=60)
-    rows = []
-    for i in range(60):
-        copy = list(base)
-        for j in range(0, 60, 3 + i % 5):
-            copy[j] = f"x{rng.randrange(4) if i % 2 else i}"
+    base = [f"w{i}" for i in range(160)]
+    second = [w if i % 40 else f"v{i}" for i, w in enumerate(base)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 150):
+        copy = list(second if i % 3 == 0 else base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 8])):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(6)}"
+        if i % 4 == 1:
+            copy = copy[: rng.choice([100, 110, 120, 130, 140, 150])]
         rows.append((i, " ".join(copy)))
-    monkeypatch.setattr(m, "band_names", lambda values: np.array([1, 2], np.int64))
     signed = m.signatures(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
     one_bucket = signed.selectExpr("doc_id", "n_shingles", "digest", "array(1L) bands")
     found = m.components(m.stored(one_bucket, "signed"), spark.createDataFrame(rows, "doc_id long, text string"))
     got = {r["doc_id"]: r["component_id"] for r in signed.join(found, signed["digest"] == found["own"]).collect()}
     assert got == brute(rows)
+    assert 5 < len(set(got.values())) < 140
 
 
 def test_no_rows(spark):

@@ -6,10 +6,13 @@ one of as many minima.  Bands of the signature name candidates; a candidate pair
 
 With 96 permutations, 192 values make 32 bands of six: a pair with similarity 0.85 is missed with probability 3e-7.
 
-Documents with equal word sequences form a class that is compared once.  Within a bucket members are compared with
-its least member, not with each other.  Where that leaves a bucket with members of several components, growing shares
-of its members are compared with those in other components, and at last all of them: members already connected are
-never compared again, and no link between candidates is lost.  Sets are rebuilt from the texts of candidates only.
+Documents with equal word sequences form a class that is compared once.  Members of a bucket are compared with its
+middle, the one that meets the most others, not with each other.  Where that leaves members of several components,
+two of them can still be linked; but then, beyond what the middle has, they share at least a computable number of
+shingles, so that prefixes of these meet (``own_prefixes``), or their sizes allow it without (``inner_pairs``).  Groups
+that share such a shingle are compared with one of their own, and what is still apart pair by pair.  So no link between
+candidates is lost, and a large group of copies whose far members are unlike costs a number of comparisons in
+proportion to its size.  Sets are rebuilt from the texts of candidates only.
 
 Nulls: documents without text or words are linked with nothing.  A null id stays null, in its class's component if
 another of the class has an id.  Rows with one id are one document with several texts.  Further columns are ignored.
@@ -30,10 +33,8 @@ SHINGLE = 5
 PERMUTATIONS = 96
 #: Values of the signature, two from each permutation, in a band.
 ROWS = 6
-#: Shares of a mixed bucket's members that are compared with its other components, as expected numbers of members.
-PIVOTS = (8, 128, None)
-
 SIGNATURE = "doc_id long, n_shingles long, digest binary, bands array<long>"
+COMPARED = "a long, b long, na long, nb long, both long"
 
 _rng = np.random.default_rng(20240611)
 _TIMES = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,8 +103,8 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, SIGNATURE)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have a similarity of at least ``percent`` per cent; ``texts`` has id and text."""
+def _sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the shingle sets of both (left, right); texts move once for each end of a pair."""
 
     def sets(batches):
         import pyarrow as pa
@@ -113,29 +114,69 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             kept = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(made, pa.binary())], [*kept.schema.names, "names"])
 
+    first = texts.join(pairs.select("a").distinct(), F.col("id") == F.col("a")).select("a", "text").mapInArrow(sets, "a long, names binary")
+    second = texts.join(pairs, F.col("id") == F.col("b")).select(F.col("a").alias("to"), "b", "text").mapInArrow(sets, "to long, b long, names binary")
+    joined = second.withColumnRenamed("names", "right").join(first.withColumnRenamed("names", "left"), F.col("to") == F.col("a"))
+    return joined.select("a", "b", "left", "right")
+
+
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of their sets (na, nb) and of the intersection (both); ``texts`` has id and text."""
+
     def compare(batches):
         import pyarrow as pa
 
         for batch in batches:
-            right = []
-            for one, other in zip(batch.column("names"), batch.column("others"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, other))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                right.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(right, pa.bool_()))
+            counts = []
+            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (left, right))
+                counts.append((len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
+            own = [pa.array(c, pa.int64()) for c in (zip(*counts, strict=True) if counts else [()] * 3)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *own], ["a", "b", "na", "nb", "both"])
+
+    return _sets(texts, pairs).mapInArrow(compare, COMPARED)
+
+
+def linked(percent: int) -> Column:
+    return 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
+
+
+def own_prefixes(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b, name): shingles of b that are not a's, as many as a partner of b that is not told by a's shingles must meet.
+
+    Let x and y be compared with c.  If they are linked, they share at least ``percent`` of the larger one, and of what
+    they share at most what x has in common with c lies in c.  So outside of c they share at least
+    ``need = percent of x - common of x and c``, the same holds for y, and of two sets in one order that share that much,
+    the first ``outside - need + 1`` names (all of them, if need is below one) have one in common.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            prefixes = []
+            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
+                c, x = (np.frombuffer(v.as_buffer(), np.uint64) for v in (left, right))
+                outside = np.setdiff1d(x, c, assume_unique=True)
+                need = max(1, -(-percent * len(x) // 100) - (len(x) - len(outside)))
+                prefixes.append(outside[: max(0, len(outside) - need + 1)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(prefixes, pa.list_(pa.int64()))], ["a", "b", "names"])
+
+    return _sets(texts, pairs).mapInArrow(run, "a long, b long, names array<long>").select("a", "b", F.explode("names").alias("name"))
 
-    first = texts.join(pairs.select("a").distinct(), F.col("id") == F.col("a")).select("a", "text").mapInArrow(sets, "a long, names binary")
-    second = texts.join(pairs, F.col("id") == F.col("b")).select(F.col("a").alias("to"), "b", "text").mapInArrow(sets, "to long, b long, names binary")
-    joined = second.withColumnRenamed("names", "others").join(first, F.col("to") == F.col("a")).select("a", "b", "names", "others")
-    return joined.mapInArrow(compare, "a long, b long").distinct()
 
+def inner_pairs(tests: DataFrame, percent: int) -> DataFrame:
+    """Pairs of what was compared with one a, that can be linked by shingles of a alone, from the sizes.
 
-def _pivot(share: int | None) -> Column:
-    """Whether a member of a bucket of ``size`` is one of about ``share`` that are compared with the rest."""
-    if share is None:
-        return F.lit(True)
-    drawn = F.pmod(F.xxhash64("id", "band"), F.lit(1 << 40)) / float(1 << 40)
-    return drawn * F.col("size") < share
+    They need ``common >= percent / (100 + percent) * (nx + ny)`` on both sides, so x names the sizes that y may have.
+    """
+    least = F.ceil(F.lit(percent) * F.col("nb") / 100).cast("long")
+    most = F.floor(F.col("both") * (100 + percent) / F.lit(percent)).cast("long") - F.col("nb")
+    x = tests.filter(~linked(percent) & (least <= most)).select("a", F.col("b").alias("x"), F.col("component").alias("cx"), F.explode(F.sequence(least, most)).alias("ny"))
+    y = tests.select("a", F.col("b").alias("y"), F.col("component").alias("cy"), F.col("nb").alias("ny"), F.col("both").alias("by"), F.lit(percent).alias("p"))
+    sizes = tests.select("a", F.col("b").alias("x"), F.col("nb").alias("nx"))
+    found = x.join(y, ["a", "ny"]).filter("cx <> cy").join(sizes, ["a", "x"]).filter("by * (100 + p) >= p * (nx + ny)")
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def components(signed: DataFrame, docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,29 +186,43 @@ def components(signed: DataFrame, docs: DataFrame, percent: int = 85, id_col: st
     of_class = classes.withColumnRenamed("digest", "own")
     bands = signed.join(of_class, (F.col("digest") == F.col("own")) & (F.col("doc_id") == F.col("id"))).select("id", F.explode("bands").alias("band"))
     buckets = bands.groupBy("band").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("size")).filter("least < most")
-    members = bands.join(buckets.select(F.col("band").alias("own"), "least", "size"), F.col("band") == F.col("own"))
-    members = stored(members.select("band", "id", "least", "size").distinct(), "members")
-    pairs = stored(members.filter("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    members = bands.join(buckets.select(F.col("band").alias("own"), "size"), F.col("band") == F.col("own"))
+    members = stored(members.select("band", "id", "size").distinct(), "members")
+    # The member that meets the most others stands nearest to the middle of a group.
+    meets = members.groupBy("id").agg(F.sum("size").alias("meets"))
+    middle = F.max(F.struct("meets", (-F.col("id")).alias("minus"))).alias("top")
+    middles = members.join(meets, "id").groupBy("band").agg(middle).select("band", (-F.col("top.minus")).alias("a"))
+    rays = stored(members.select("band", F.col("id").alias("b")).join(middles, "band"), "rays")
+    pairs = rays.filter("a <> b").select("a", "b").distinct()
     candidates = members.select(F.col("id").alias("candidate")).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     texts = stored(texts.join(candidates, F.col("id") == F.col("candidate"), "left_semi"), "candidates")
-    links = stored(confirmed(pairs, texts, percent), "links")
-    tested, found = pairs, connected_components(links, "a", "b")
-    for share in PIVOTS:
-        named = found.withColumnRenamed("node", "id")
-        label = stored(members.join(named, "id", "left").select("band", "id", "size", F.coalesce("component", "id").alias("component")), "labels")
-        several = label.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band")
-        rest = stored(label.join(several, "band", "left_semi"), "mixed-buckets")
-        discard(label)
-        if rest.isEmpty():
-            break
-        pivots = rest.filter(_pivot(share)).select("band", F.col("id").alias("pivot"), F.col("component").alias("its"))
-        crossing = pivots.join(rest, "band").filter("component <> its").select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
-        fresh = stored(crossing.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not fresh.isEmpty():
-            links = links.unionByName(stored(confirmed(fresh, texts, percent), "links"))
-            tested = tested.unionByName(fresh)
+    tests = stored(compared(pairs, texts), "tests")
+    links = tests.filter(linked(percent)).select("a", "b")
+    found = connected_components(links, "a", "b")
+
+    def labelled(rows: DataFrame, column: str) -> DataFrame:
+        """Rows with the component of the document in a column."""
+        return rows.join(found.withColumnRenamed("node", column), column, "left").withColumn("component", F.coalesce("component", column))
+
+    several = labelled(rays, "b").groupBy("band", "a").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = stored(several.filter("low < high").select("a").distinct(), "open-middles")
+    if not open_.isEmpty():
+        rest = stored(tests.join(open_, "a", "left_semi"), "open-tests")
+        groups = stored(own_prefixes(rest.select("a", "b").distinct(), texts, percent).distinct(), "prefixes")
+        for last in (False, True):
+            label = stored(labelled(groups, "b"), "labels")
+            mixed_ = label.groupBy("a", "name").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("b").alias("first")).filter("low < high")
+            own = label.join(mixed_.select("a", "name", "first"), ["a", "name"]).select("a", "name", "first", "b", "component")
+            if last:
+                other = own.select("a", "name", F.col("b").alias("y"), F.col("component").alias("cy"))
+                fresh = own.join(other, ["a", "name"]).filter("component < cy").select(F.least("b", "y").alias("a"), F.greatest("b", "y").alias("b"))
+            else:
+                fresh = own.filter("b > first").select(F.col("first").alias("a"), "b").unionByName(inner_pairs(labelled(rest, "b"), percent))
+            more = stored(compared(stored(fresh.distinct(), "pairs"), texts), "tests")
+            links = links.unionByName(more.filter(linked(percent)).select("a", "b"))
             found = connected_components(links, "a", "b")
+            discard(label)
     discard(texts)
     named = found.withColumnRenamed("node", "id")
     return classes.join(named, "id", "left").select(F.col("digest").alias("own"), F.coalesce("component", "id").alias("component_id"))
