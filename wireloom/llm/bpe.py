@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wireloom.llm.tokens import SPECIAL_MARK, default_vocabulary, parts
+from wireloom.llm.tokens import BYTE_SYMBOLS, SPECIAL_MARK, default_vocabulary, parts
 
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Words of a generation of the cache; a worker holds two, for words and for the pieces they are cut into.
@@ -38,13 +38,6 @@ WIDE = 64
 NONE = np.iinfo(np.int64).max
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = iter(range(256, 512))
-    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
-
-
 class Merges:
     """Ranks of pairs of symbol ids."""
 
@@ -147,8 +140,8 @@ class Codec:
         vocab, end = told["model"]["vocab"], told["model"]["end_of_word_suffix"]
         self.special = {token["content"]: token["id"] for token in told["added_tokens"]}
         self.tokens = {i: token for token, i in (vocab | self.special).items()}
-        self.inner = np.array([vocab[c] for c in byte_symbols()], np.int64)
-        self.last = np.array([vocab[c + end] for c in byte_symbols()], np.int64)
+        self.inner = np.array([vocab[c] for c in BYTE_SYMBOLS], np.int64)
+        self.last = np.array([vocab[c + end] for c in BYTE_SYMBOLS], np.int64)
         self.merges = Merges(vocab, told["model"]["merges"])
         self.split = regex.compile(told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")

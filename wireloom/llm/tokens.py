@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import re
 import string
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
 #: Words a generation of the cache holds; a worker holds two generations.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 #: Longer texts are encoded in parts of about so many bytes that end at white space.
 PART_BYTES = 1 << 20
 
@@ -23,6 +24,16 @@ SPECIAL_MARK = b"<|"
 WHITE = re.compile(rb"[\x20\x09-\x0D]")
 
 
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+
+BYTE_SYMBOLS = byte_symbols()
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -67,6 +78,9 @@ class WordIds(dict):
         text = word.decode()
         if word.isalpha() and word.islower():  # ASCII: normalising and byte mapping change nothing
             return packed([token.id for token in self.model.tokenize(text)])
+        lower = "".join(map(str.lower, text))
+        if lower.isalpha() and unicodedata.is_normalized("NFC", lower):
+            return packed([token.id for token in self.model.tokenize("".join(map(BYTE_SYMBOLS.__getitem__, lower.encode())))])
         body = text.rstrip(string.punctuation)
         if body != text and body.isalnum():  # a run of symbols after letters and digits is encoded by itself
             return self[body.encode()] + self[text[len(body) :].encode()]
