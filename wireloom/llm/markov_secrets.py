@@ -53,9 +53,12 @@ def random_strings(spark: SparkSession, many: int = RANDOM_STRINGS) -> DataFrame
 def identifiers(docs: DataFrame, text_col: str = "text", most: int = IDENTIFIER_DOCUMENTS) -> DataFrame:
     """Labelled ordinary identifiers (``token``): distinct words of a bounded sample of documents, alone and joined by underscores.
 
-    The sample holds the documents with the least hashes, so it does not depend on how the table is split.
+    The sample holds the texts with the least hashes (copies of a text count once towards the bound), so it does not
+    depend on how the table is split.
     """
-    sample = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t")).orderBy(F.xxhash64("t")).limit(most)
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
+    last = texts.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]  # hashes alone meet in one task
+    sample = texts.filter(F.col("h") <= F.lit(last).cast("bigint"))
     words = sample.select(F.explode(F.split("t", r"[^A-Za-z0-9_]+")).alias("token")).filter("token rlike '^[A-Za-z_]+$'").distinct()
     joined = words.select(F.concat("token", F.lit("_"), F.reverse("token"), F.lit("_"), F.lower("token")).alias("token"))
     named = words.select(F.concat(F.initcap("token"), F.initcap(F.reverse("token"))).alias("token"))
