@@ -1,7 +1,7 @@
 """Connected components of a graph in DataFrames, by alternating large and small stars.
 
 A round links every node to the least node next to it: large stars move the larger neighbours of a node to its least
-neighbour, small stars the smaller ones.  Rounds go on until the edges stay; their number grows with the logarithm of
+neighbour, small stars the smaller ones.  Rounds go on until only stars around least nodes are left; their number grows with the logarithm of
 the longest path.  Each round is aggregates by key and joins, so a node with very many neighbours is split like any
 skewed join, and each round's edges are written to the shared folder.
 """
@@ -27,8 +27,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select(F.col("m").alias("a"), F.col("c").alias("b")))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether edges (a < b) are stars around their least nodes: no b is met twice or is an a as well."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(0).alias("below")).unionByName(edges.select(F.col("b").alias("n"), F.lit(1).alias("below")))
+    met = ends.groupBy("n").agg(F.sum("below").alias("below"), F.count("*").alias("ends"))
+    return met.filter("below > 1 or (below = 1 and ends > 1)").isEmpty()
 
 
 def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
@@ -38,14 +41,10 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """
     first = edges.select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b"), F.col(left).isNotNull() & F.col(right).isNotNull())
     now = stored(first.filter(first[2]).filter("a <> b").select("a", "b").distinct(), "edges")
-    state = _state(now)
-    while state[0]:
-        then = stored(_small_star(stored_stars := stored(_large_star(now).distinct(), "edges")).distinct(), "edges")
-        discard(stored_stars)
-        before, state = state, _state(then)
+    while not _settled(now):
+        stars = stored(_large_star(now).distinct(), "edges")
         discard(now)
-        now = then
-        if state == before:
-            break
+        now = stored(_small_star(stars).distinct(), "edges")
+        discard(stars)
     members = now.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return members.unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
