@@ -40,9 +40,9 @@ def test_normalize_link(spark):
 
 
 def test_ids(spark):
-    urls = ["https://t.me/a/12", "https://t.me/a/12?single", "https://t.me/a", "https://t.me/a/b/7", "https://t.me/a/99999999999"]
-    assert column(spark, urls, links.url_part_id(F.col("x"))) == [12, None, None, None, None]
-    assert column(spark, urls, links.message_id(F.col("x"))) == [12, None, None, 7, None]
+    urls = ["https://t.me/a/12", "https://t.me/a/12?single", "https://t.me/a", "https://t.me/a/b/7", "https://t.me/a/99999999999", "https://t.me/a/99999999999999999999"]
+    assert column(spark, urls, links.url_part_id(F.col("x"))) == [12, None, None, None, 99999999999, None]
+    assert column(spark, urls, links.message_id(F.col("x"))) == [12, None, None, 7, 99999999999, None]
 
 
 def test_newsroom_time(spark):
