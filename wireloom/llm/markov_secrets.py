@@ -1,7 +1,8 @@
 """Secrets in texts: fixed forms, and tokens that a Markov model finds more like random strings than like identifiers.
 
-Three kinds have fixed forms (assigned secrets, access keys, long hexadecimal runs).  A fourth kind, ``markov``, is any
-other token of ``LEAST`` characters or more whose log-likelihood ratio a character beats the threshold: transition
+Three kinds have fixed forms (assigned secrets, access keys, long hexadecimal runs).  These are cut out of the text; a
+fourth kind, ``markov``, is any token of ``LEAST`` characters or more in what is left whose log-likelihood ratio a
+character beats the threshold, or else each stretch of ``LEAST`` characters or more of it that does: transition
 probabilities of one model come from labelled random strings, those of the other from labelled ordinary identifiers.
 Both models are counts of character pairs with add-one smoothing, taken in one aggregate each; at most 128 x 128 pairs
 reach the driver, whatever the size of the samples.
@@ -31,6 +32,12 @@ TOKEN = "[A-Za-z0-9+/_=-]"
 LEAST = 20
 #: Log-likelihood ratio a character, in favour of random strings, from which a token is a secret.
 THRESHOLD = 1.0
+#: Characters between the words of a path or name; inside a stretch they speak for neither model.
+SEPARATORS = "/=_-+"
+#: Most that one character of a stretch counts for random strings: a date in a path is no secret.
+CLIP = 5.0
+#: Words at the edge of a stretch are left out if the ratios beyond the threshold of their characters add up to less than minus this.
+EDGE = 4.0
 #: Random strings that are made for training, half of them over letters and digits, half in hexadecimal.
 RANDOM_STRINGS = 20_000
 #: Ordinary identifiers that are taken for training at most: distinct words of as many documents.
@@ -110,6 +117,106 @@ def ratio(token: Column, model: str | Column) -> Column:
     return step["sum"] / F.length(token)
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _edge(excess: Column, threshold: float) -> Column:
+    """Characters before the place, next after a separator, where the sum so far is least and far enough below zero."""
+    state = F.struct(F.lit(0).alias("at"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("low"), F.lit(0).alias("best"))
+
+    def step(acc: Column, x: Column) -> Column:
+        total = acc["sum"] + F.coalesce(x, F.lit(-threshold))
+        lower = x.isNull() & (total <= acc["low"] - EDGE)
+        return F.struct(
+            (acc["at"] + 1).alias("at"),
+            total.alias("sum"),
+            F.when(lower, total).otherwise(acc["low"]).alias("low"),
+            F.when(lower, acc["at"] + 1).otherwise(acc["best"]).alias("best"),
+        )
+
+    return F.aggregate(excess, state, step, lambda acc: acc["best"])
+
+
+def stretches(token: Column, model: Column, threshold: float) -> Column:
+    """Stretches (start, end) of a token: its windows of ``LEAST`` characters that beat the threshold, joined, without words at their edges."""
+    apart = [ord(c) for c in SEPARATORS]
+    codes = F.transform(F.split(token, ""), _code)
+
+    def excesses(c: Column) -> Column:
+        """What each character is beyond the threshold; null for separators."""
+        before = F.concat(F.array(F.lit(START)), F.slice(c, 1, F.size(c) - 1))
+        last = lambda a: F.when(a.isin(apart), F.lit(START)).otherwise(a)
+        return F.zip_with(before, c, lambda a, b: F.when(~b.isin(apart), F.least(F.lit(CLIP), F.element_at(model, last(a) * SYMBOLS + b + 1)) - threshold))
+
+    def windows(x: Column) -> Column:
+        # The sum of a window gains its last character and loses the one before its first.
+        values = F.transform(x, lambda e: F.coalesce(e, F.lit(-threshold)))
+        change = _let(values, lambda v: F.zip_with(v, F.concat(F.array_repeat(F.lit(0.0), LEAST), F.slice(v, 1, F.size(v) - LEAST)), lambda new, old: new - old))
+        state = F.struct(
+            F.lit(0).alias("at"),
+            F.lit(0.0).alias("sum"),
+            F.lit(0).alias("start"),
+            F.lit(0).alias("end"),
+            F.array().cast("array<struct<start:int,end:int>>").alias("out"),
+        )
+        open_one = lambda acc: F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))
+
+        def step(acc: Column, d: Column) -> Column:
+            at, total = acc["at"] + 1, acc["sum"] + d
+            hit = (at >= LEAST) & (total >= 0)
+            new = hit & (at - LEAST > acc["end"]) | hit & (acc["end"] == 0)
+            return F.struct(
+                at.alias("at"),
+                total.alias("sum"),
+                F.when(new, at - LEAST).otherwise(acc["start"]).alias("start"),
+                F.when(hit, at).otherwise(acc["end"]).alias("end"),
+                F.when(new & (acc["end"] > 0), F.concat(acc["out"], open_one(acc))).otherwise(acc["out"]).alias("out"),
+            )
+
+        return F.aggregate(change, state, step, lambda acc: F.when(acc["end"] > 0, F.concat(acc["out"], open_one(acc))).otherwise(acc["out"]))
+
+    def trimmed(x: Column, w: Column) -> Column:
+        start = w["start"] + _edge(F.slice(x, w["start"] + 1, F.lit(LEAST)), threshold)
+        end = w["end"] - _edge(F.reverse(F.slice(x, w["end"] - LEAST + 1, F.lit(LEAST))), threshold)
+        cut = F.struct(start.alias("start"), end.alias("end"))
+        return _let(cut, lambda s: F.when(s["start"] < s["end"], s).otherwise(w))
+
+    return _let(_let(codes, excesses), lambda x: F.transform(windows(x), lambda w: trimmed(x, w)))
+
+
+def likely(token: Column, model: Column, threshold: float) -> Column:
+    """Spans of kind ``markov`` in a token (start, end, kind, match) of a text: the whole of it, or its stretches."""
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.length(token["match"]).alias("end")))
+    found = F.when(ratio(token["match"], model) >= threshold, whole).otherwise(stretches(token["match"], model, threshold))
+    return F.transform(
+        found,
+        lambda s: F.struct(
+            (token["start"] + s["start"]).alias("start"),
+            (token["start"] + s["end"]).alias("end"),
+            F.lit(3).alias("kind"),
+            token["match"].substr(s["start"] + 1, s["end"] - s["start"]).alias("match"),
+        ),
+    )
+
+
+def blanked(text: Column, found: Column) -> Column:
+    """A text with spaces in place of these ordered spans, so that places stay."""
+    done = F.aggregate(
+        found,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.concat(
+                acc["out"],
+                F.array(text.substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(acc["at"], s["start"]), F.lit(0)))),
+            ).alias("out"),
+        ),
+    )
+    return _let(done, lambda d: F.concat(F.array_join(d["out"], ""), text.substr(d["at"] + 1, F.length(text))))
+
+
 def spans(text: Column, pattern: str, kind: int, keep) -> Column:
     """Spans (start, end, kind, match) of a pattern's leftmost matches that do not overlap; ``keep`` tests a match.
 
@@ -166,13 +273,11 @@ def with_spans(docs: DataFrame, model: list[float], text_col: str = "text", thre
         _where(has_access, spans(text, ACCESS, 1, lambda m: F.length(m) >= LEAST_ACCESS)),
         _where(has_hex, spans(text, HEX_LONG, 2, lambda m: F.length(m) >= LEAST_HEX)),
     )
-    judged = docs.withColumn("_base", base).withColumn("_tokens", _where(has_token, spans(text, TOKEN_LONG, 3, lambda m: F.length(m) >= LEAST)))
+    judged = docs.withColumn("_base", F.array_sort(base))
+    left = F.when(F.size("_base") > 0, blanked(text, F.col("_base"))).otherwise(text)
+    judged = judged.withColumn("_tokens", _where(has_token, _let(left, lambda t: spans(t, TOKEN_LONG, 3, lambda m: F.length(m) >= LEAST))))
     table = model_array(model)
-    likely = F.filter(
-        "_tokens",
-        lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])) & (ratio(t["match"], table) >= threshold),
-    )
-    added = F.when(F.size("_tokens") > 0, likely).otherwise(_none())
+    added = F.when(F.size("_tokens") > 0, F.flatten(F.transform("_tokens", lambda t: likely(t, table, threshold)))).otherwise(_none())
     return judged.withColumn(out, F.array_sort(F.concat("_base", added))).drop("_base", "_tokens")
 
 
