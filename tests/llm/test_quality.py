@@ -70,6 +70,17 @@ def test_outliers(spark, corpus):
         assert r["kept"] == (not r["base_failed"] and not (doc_id and 2000 <= doc_id < 3000)), doc_id
 
 
+@pytest.mark.parametrize("part", [0.3, 0.45])
+def test_cells_with_much_junk(spark, part):
+    """Junk of one kind is rejected as long as it is less than half of a cell."""
+    rng = random.Random(9)
+    bad = int(1000 * part)
+    rows = [(i, prose(rng, rng.choice([60, 120, 200, 400])), "en", "s", 7, "x") for i in range(1000 - bad)]
+    rows += [(5000 + i, "".join(w + "###" + " " for w in prose(rng, rng.choice([60, 120, 200, 400])).split()), "en", "s", 7, "x") for i in range(bad)]
+    got = q.quality_rules(spark.createDataFrame(rows, DOCS).repartition(4)).collect()
+    assert all(r["kept"] == (r["doc_id"] < 5000) for r in got if not r["base_failed"])
+
+
 def test_no_rows(spark):
     assert q.quality_rules(spark.createDataFrame([], DOCS)).collect() == []
 

@@ -2,8 +2,9 @@
 
 Each document becomes a vector of transformed statistics.  Per cell (language and source) the minimum-covariance-
 determinant estimate is found by concentration steps over all documents of the cell: order by Mahalanobis distance,
-take the half-and-more nearest, estimate mean and covariance from these, again.  The first order comes from medians and
-quartile ranges.  A document is rejected if its distance from its cell's estimate is beyond ``cut``.
+take the nearest half, estimate mean and covariance from these, again, until the determinant of the covariance stops
+falling.  This is done from three first orders side by side (around the medians, lower and upper quartiles, each by the
+median absolute deviations, which hold until half of a cell is of another kind); the least determinant wins.  A document is rejected if its distance from its cell's estimate is beyond ``cut``.
 
 A step is one pass that sums counts, components and products per cell and distance bin before anything is shuffled;
 the bins up to the needed share then give the new estimate.  So a cell may hold any part of the rows.  Components are
@@ -19,8 +20,10 @@ are judged alike.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement, count
 
 import numpy as np
@@ -43,6 +46,8 @@ PAIRS = list(combinations_with_replacement(range(len(FLOORS)), 2))
 CUT = 30.86
 #: Median of the squared distance of normal data in five dimensions.
 MEDIAN = 4.351
+#: A determinant has stopped falling if a step takes off less than this part of it.
+STILL = 1e-6
 #: Bins of distance for each factor of e.
 FINE = 64
 
@@ -184,6 +189,52 @@ def _concentrated(frames):
         yield frame.assign(mean=means, inverse=inverses)[["cell", "mean", "inverse"]]
 
 
+def first_estimates(vectors: DataFrame) -> DataFrame:
+    """Three starts of each cell: around medians, lower and upper quartiles, all by median absolute deviations."""
+    p = len(FLOORS)
+    values = vectors.select("cell", F.posexplode(F.array(*(f"x{j}" for j in range(p)))).alias("j", "x"))
+    counts = stored(values.groupBy("cell", "j", "x").agg(F.count("*").alias("n")), "quality-values")
+    each = Window.partitionBy("cell", "j")  # one row per value
+
+    def quantiles(of: DataFrame, **wanted: float) -> DataFrame:
+        ranked = of.withColumns({"upto": F.sum("n").over(each.orderBy("x")), "total": F.sum("n").over(each)})
+        found = [F.min(F.when(F.col("upto") >= F.col("total") * q, F.col("x"))).alias(name) for name, q in wanted.items()]
+        return ranked.groupBy("cell", "j").agg(*found)
+
+    middles = quantiles(counts, at0=0.5, at1=0.25, at2=0.75)
+    away = counts.join(middles.select("cell", "j", "at0"), ["cell", "j"]).select("cell", "j", F.abs(F.col("x") - F.col("at0")).alias("x"), "n")
+    spread = quantiles(away.groupBy("cell", "j", "x").agg(F.sum("n").alias("n")), mad=0.5)
+
+    def vector(name: str) -> Column:
+        return F.array(*(F.max(F.when(F.col("j") == j, F.col(name))).cast("double") for j in range(p)))
+
+    whole = middles.join(spread, ["cell", "j"]).groupBy("cell").agg(*(vector(name).alias(name) for name in ("at0", "at1", "at2", "mad")))  # one row per component
+    starts = whole.select("cell", "mad", F.posexplode(F.array("at0", "at1", "at2")).alias("start", "mean"))
+    return starts.mapInPandas(_started, ESTIMATE)
+
+
+ESTIMATE = "cell string, start int, mean array<double>, inverse array<double>, logdet double"
+
+
+def _started(frames):
+    for frame in frames:
+        inverse = [_inverse(np.diag((np.array(m) * 1.4826) ** 2)) for m in frame["mad"]]
+        yield frame.assign(inverse=inverse, logdet=np.inf)[["cell", "start", "mean", "inverse", "logdet"]]
+
+
+def _with_determinants(frames):
+    """Estimates from sums, with the logarithms of the determinants of their covariances."""
+    for frame in frames:
+        rows = next(_concentrated([frame]))
+        logdets = []
+        for inverse in rows["inverse"]:
+            matrix = np.zeros((len(FLOORS), len(FLOORS)))
+            for (i, j), x in zip(PAIRS, inverse, strict=True):
+                matrix[i, j] = matrix[j, i] = x if i == j else x / 2
+            logdets.append(-float(np.linalg.slogdet(matrix)[1]))
+        yield rows.assign(start=frame["start"], logdet=logdets)[["cell", "start", "mean", "inverse", "logdet"]]
+
+
 def squared_distance() -> Column:
     """Of components from ``mean`` by ``inverse``."""
     apart = [F.col(f"x{j}") - F.col("mean")[j] for j in range(len(FLOORS))]
@@ -194,25 +245,29 @@ def squared_distance() -> Column:
     return total
 
 
-def _binned(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
+def _binned(vectors: DataFrame, estimate: DataFrame, keys: Sequence[str] = ("cell",)) -> DataFrame:
     step = F.floor(F.log1p(F.greatest(squared_distance(), F.lit(0.0))) * FINE).alias("bin")
-    return vectors.join(estimate, "cell").select("cell", step, *(f"x{j}" for j in range(len(FLOORS))))
+    return vectors.join(estimate, "cell").select(*keys, step, *(f"x{j}" for j in range(len(FLOORS))))
 
 
-def concentrate(vectors: DataFrame, estimate: DataFrame, share: float) -> DataFrame:
-    """One concentration step: the estimate from the ``share`` of each cell that is nearest to the one before."""
+def nearest(vectors: DataFrame, estimate: DataFrame, share: float, keys: Sequence[str] = ("cell",)) -> DataFrame:
+    """Counts, sums and products of the ``share`` of each cell that is nearest to each of its estimates."""
     sums = [F.sum(f"x{j}").alias(f"s{j}") for j in range(len(FLOORS))]
     products = [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}{j}") for i, j in PAIRS]
-    binned = _binned(vectors, estimate).groupBy("cell", "bin").agg(F.count("*").alias("n"), *sums, *products)
-    each = Window.partitionBy("cell")  # one row per bin
+    binned = _binned(vectors, estimate, keys).groupBy(*keys, "bin").agg(F.count("*").alias("n"), *sums, *products)
+    each = Window.partitionBy(*keys)  # one row per bin
     near = binned.withColumns({"upto": F.sum("n").over(each.orderBy("bin")), "total": F.sum("n").over(each)})
     near = near.filter(F.col("upto") - F.col("n") < F.ceil(F.col("total") * share))
-    whole = near.groupBy("cell").agg(
+    return near.groupBy(*keys).agg(
         F.sum("n").alias("n"),
         F.array(*(F.sum(f"s{j}").cast("double") for j in range(len(FLOORS)))).alias("sums"),
         F.array(*(F.sum(f"p{i}{j}").cast("double") for i, j in PAIRS)).alias("products"),
     )
-    return whole.mapInPandas(_concentrated, "cell string, mean array<double>, inverse array<double>")
+
+
+def concentrate(vectors: DataFrame, estimate: DataFrame, share: float) -> DataFrame:
+    """One concentration step: the estimate from the ``share`` of each cell that is nearest to the one before."""
+    return nearest(vectors, estimate, share).mapInPandas(_concentrated, "cell string, mean array<double>, inverse array<double>")
 
 
 def scales(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
@@ -225,14 +280,33 @@ def scales(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
 
 
 def fit(vectors: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
-    """Estimates (cell, mean, inverse, scale) of all cells; ``vectors`` has cell and x0...; store it first."""
+    """Estimates (cell, mean, inverse, scale) of all cells from one start by a fixed number of steps; ``vectors`` has cell and x0...; store it first."""
     estimate = stored(first_estimate(vectors), "quality-estimate")
     for _ in range(steps):
         estimate = stored(concentrate(vectors, estimate, share), "quality-estimate")
     return stored(estimate.join(scales(vectors, estimate), "cell"), "quality-estimate")
 
 
-def judged(docs: DataFrame, columns: Sequence[str], *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", share: float = 0.75, cut: float = CUT, least: int = 50) -> DataFrame:
+def least_determinant(vectors: DataFrame, share: float = 0.5) -> DataFrame:
+    """Estimates (cell, mean, inverse, scale) of least determinant over all starts of each cell, each stepped until its determinant stops falling."""
+    active = stored(first_estimates(vectors), "quality-estimate")
+    done: list[DataFrame] = []
+    while not active.isEmpty():
+        sums = nearest(vectors, active, share, ("cell", "start"))
+        made = sums.mapInPandas(_with_determinants, ESTIMATE)
+        before = active.select("cell", "start", F.col("logdet").alias("was"))
+        made = stored(made.join(before, ["cell", "start"]).withColumn("falls", F.col("logdet") < F.col("was") + math.log1p(-STILL)), "quality-estimate")
+        done.append(made.drop("was", "falls"))
+        active = made.filter("falls").drop("was", "falls")
+    if not done:
+        return stored(fit(vectors, share, 0), "quality-estimate")
+    every = reduce(DataFrame.unionByName, done)
+    best = every.groupBy("cell").agg(F.min_by(F.struct("mean", "inverse"), F.struct("logdet", "start")).alias("m")).select("cell", "m.mean", "m.inverse")
+    best = stored(best, "quality-estimate")
+    return stored(best.join(scales(vectors, best), "cell"), "quality-estimate")
+
+
+def judged(docs: DataFrame, columns: Sequence[str], *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", share: float = 0.5, cut: float = CUT, least: int = 50) -> DataFrame:
     """These columns with statistics, ``base_failed`` and ``kept``.  ``columns`` must not bear names of statistics."""
     taken = docs.select(*columns, F.col(text_col).alias("_text"), F.col(lang_col).alias("_cell_lang"), F.col(source_col).alias("_cell_source"))
     if text_col in columns:  # texts are not stored a second time; their statistics are taken once for the fit and once for the verdict
@@ -244,7 +318,7 @@ def judged(docs: DataFrame, columns: Sequence[str], *, text_col: str = "text", l
     slim = fitted.filter(~base_failed()).select(F.col("_cell_lang").alias("lang"), F.col("_cell_source").alias("source"), *components())
     named = cells(slim, least)
     vectors = stored(join_cells(slim, named).drop("lang", "source"), "quality-vectors")
-    estimate = named.join(fit(vectors, share), "cell").withColumnsRenamed({"lang": "_own_lang", "source": "_own_source"})
+    estimate = named.join(least_determinant(vectors, share), "cell").withColumnsRenamed({"lang": "_own_lang", "source": "_own_source"})
     estimate = stored(estimate, "quality-model")
     same = found["_cell_lang"].eqNullSafe(estimate["_own_lang"]) & found["_cell_source"].eqNullSafe(estimate["_own_source"])
     rows = found.select("*", *components()).join(estimate, same, "left")
