@@ -79,6 +79,30 @@ def test_built_pages():
         assert b.main_text(page) == " ".join(paragraphs)
 
 
+@pytest.mark.parametrize("many", [3, 199, 5000])
+def test_elements_without_end_tags(many):
+    """What follows a list, table or choice is read, however many items it leaves open."""
+    rest = f"<article><p>{PROSE}</article>"
+    for page in ("<select>" + "<option>Land" * many + "</select>", "<nav><ul>" + "<li>x" * many + "</ul></nav>", "<nav>" + "<li>x" * many + "</nav>", "<datalist>" + "<option>x" * many + "</datalist>"):
+        assert b.main_text(page + rest) == PROSE.strip()
+        assert b.main_text(page + f"<p>{PROSE}</p>") == PROSE.strip()
+    for box in ("<aside>", "<div class='ad'>"):
+        page = box + "<table>" + "<tr><td>x<th>y" * many + "</table>" + box.replace("<", "</").split(" ")[0].rstrip(">") + ">"
+        assert b.main_text(page + f"<p>{PROSE}</p>") == PROSE.strip()
+        assert b.main_text(box + "<span><div>" * many + box.replace("<", "</").split(" ")[0].rstrip(">") + ">" + rest) == PROSE.strip()
+    nested = "<nav>" + "<ul><li>a<ul><li>b<li>c</ul><li>d</ul>" * many + "</nav>"
+    assert b.main_text(nested + f"<p>{PROSE}</p>") == PROSE.strip()
+    # A marked item ends where the next begins.
+    assert b.main_text(f"<ul><li class='ad'>{RARE}<li>{PROSE}</ul>") == PROSE.strip()
+
+
+def test_open_elements_in_linear_time():
+    started = time.process_time()
+    for page in ("<li>" * 100_000, "<select>" + "<option>" * 100_000 + "</select>", "<div>" * 100_000 + "</li>" * 100_000, "<table><tr><td>" * 50_000 + "</table>" * 50_000):
+        b.main_text(page)
+    assert time.process_time() - started < 20
+
+
 def test_odd_rows_and_time(spark):
     rows = [(1, None, None, "t"), (None, "u", "", "t"), (2, "v", "<article>x", "t"), (2, "v", "<article>x", "t")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string").repartition(2)

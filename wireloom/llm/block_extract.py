@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 # Fixed values.
 #: Elements whose content is never shown as text.
-HIDDEN = frozenset("head title script style noscript template textarea select option button svg math iframe object canvas audio video".split())
+HIDDEN = frozenset("head title script style noscript template textarea select option datalist button svg math iframe object canvas audio video".split())
 #: Hidden elements that hold raw text up to their own end tag.
 RAW = frozenset("script style textarea title noscript iframe".split())
 #: Elements that never hold main text.
@@ -39,6 +39,22 @@ BLOCK = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that an opening block-level tag closes.
 IMPLIED = frozenset("p".split())
+#: Elements with optional end tags: what an opening tag closes, and the elements beyond which it closes nothing.
+_CELLS, _ROWS, _TERMS = frozenset("td th".split()), frozenset("tr td th".split()), frozenset("dd dt".split())
+_STOPS = BLOCK - frozenset("address div p br hr h1 h2 h3 h4 h5 h6 pre legend html body li dd dt".split())
+_GROUPS, _TABLE = frozenset("thead tbody tfoot tr td th".split()), frozenset(["table"])
+OWN_KIND = {
+    "li": (frozenset(["li"]), _STOPS | _TERMS),
+    "option": (frozenset(["option"]), frozenset("select".split())),
+    "dd": (_TERMS, _STOPS | {"li"}),
+    "dt": (_TERMS, _STOPS | {"li"}),
+    "td": (_CELLS, frozenset("tr table".split())),
+    "th": (_CELLS, frozenset("tr table".split())),
+    "tr": (_ROWS, frozenset("thead tbody tfoot table".split())),
+    "thead": (_GROUPS, _TABLE),
+    "tbody": (_GROUPS, _TABLE),
+    "tfoot": (_GROUPS, _TABLE),
+}
 #: Words of class and id that mark boilerplate.
 MARKS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies disqus footer header masthead menu nav navbar "
@@ -83,6 +99,7 @@ class _Reader:
     blocks: list[Block] = field(default_factory=list)
     parts: list[tuple[str, bool]] = field(default_factory=list)
     stack: list[_Open] = field(default_factory=lambda: [_Open("", "open", 0, False)])
+    places: dict[str, list[int]] = field(default_factory=dict)  # where in the stack the elements of a tag stand
     sections: int = 0
     anchors: int = 0
 
@@ -101,11 +118,25 @@ class _Reader:
             self.blocks.append(Block(whole, min(1.0, linked / len(whole)), top.section, top.kind))
         self.parts = []
 
+    def leave(self, at: int) -> None:
+        """Take the elements from this place on off the stack; each leaves it once."""
+        while len(self.stack) > at:
+            self.places[self.stack.pop().tag].pop()
+
+    def last(self, tags: frozenset[str]) -> int:
+        """The last place in the stack of an element with one of these tags, or -1."""
+        return max((found[-1] for tag in tags if (found := self.places.get(tag))), default=-1)
+
     def open(self, tag: str, attributes: str) -> None:
         if tag in BLOCK:
             self.cut()
             if self.stack[-1].tag in IMPLIED:
-                self.stack.pop()
+                self.leave(len(self.stack) - 1)
+        if tag in OWN_KIND:
+            closed, bounds = OWN_KIND[tag]
+            bound = self.last(bounds)
+            while (at := self.last(closed)) > bound:
+                self.leave(at)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             return
         if tag == "a":
@@ -120,6 +151,7 @@ class _Reader:
         if now and now != kind:
             self.sections += 1
             kind, section = now, self.sections
+        self.places.setdefault(tag, []).append(len(self.stack))
         self.stack.append(_Open(tag, kind, section, top.hidden or tag in HIDDEN))
 
     def close(self, tag: str) -> None:
@@ -130,10 +162,8 @@ class _Reader:
             return
         if tag not in BLOCK and tag not in HIDDEN:
             return
-        for at in range(len(self.stack) - 1, max(0, len(self.stack) - 200), -1):
-            if self.stack[at].tag == tag:
-                del self.stack[at:]
-                return
+        if found := self.places.get(tag):
+            self.leave(found[-1])
 
 
 def blocks_of(page: str) -> list[Block]:
