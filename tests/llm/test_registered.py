@@ -1,19 +1,24 @@
 """Every registered query over the whole smallest tables, against SQL or a brute-force version."""
 
+import hashlib
+
 import duckdb
 import numpy as np
 import pytest
 from test_bpe import digest
 from test_dedup import brute as components
 from test_dedup import shingles
+from test_divergence import brute as divergence
 from test_fingerprints import edited
+from test_personal import base as personal, written
 from test_quality import brute as statistics
 from test_secrets import base, digest as span_digest
 from test_tokens import check_packing, library
+from test_trie import brute as trie
 from test_warc import expected
 
 import __spark_entry__ as entry_points
-from wireloom.llm import block_extract, packing
+from wireloom.llm import block_extract, packing, skip_chain_crf
 from wireloom.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -34,7 +39,7 @@ def rows(spark, name):
 
 
 def test_names():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
@@ -104,3 +109,22 @@ def test_op10(spark, docs):
     want = components(list(docs.items()))
     for r in rows(spark, "op10_minmax_dedup"):
         assert r["component_id"] == want[r["doc_id"]] and r["n_shingles"] == len(shingles(docs[r["doc_id"]]))
+
+
+def test_op11(spark, docs):
+    for r in rows(spark, "op11_skip_chain_crf"):
+        own = personal(docs[r["doc_id"]])
+        assert [r[f"n_{kind}"] for kind in skip_chain_crf.KINDS] == [sum(s[0] == k for s in own) for k in range(4)]
+        told = written(own)
+        assert r["base_sha256"] == hashlib.sha256(told.encode()).hexdigest()
+        assert set(filter(None, told.split(","))) <= set(r["spans"].split(","))
+
+
+def test_op12(spark):
+    turns = duckdb.sql(f"SELECT conv_id, turn, role, text FROM '{FOLDER}/conversations.parquet'").fetchall()
+    assert sorted(tuple(r) for r in rows(spark, "op12_prefix_trie")) == trie(turns)
+
+
+def test_op13(spark):
+    told = duckdb.sql(f"SELECT text, lang, source FROM '{FOLDER}/documents.parquet'").fetchall()
+    assert sorted(tuple(r) for r in rows(spark, "op13_source_skyband")) == divergence(told)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wireloom.llm import block_extract, bpe, markov_secrets, minmax_dedup, oracle, order_minhash, packing, quality_mcd, token_files, url_equivalence, warc_segments
+from wireloom.llm import block_extract, bpe, markov_secrets, minmax_dedup, oracle, order_minhash, packing, prefix_trie, quality_mcd, skip_chain_crf, source_skyband, token_files, url_equivalence, warc_segments
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,6 +53,18 @@ def op10_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_skip_chain_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return skip_chain_crf.personal_data_scan(table(spark, folder, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op13_source_skyband(spark: SparkSession, folder: str) -> DataFrame:
+    return source_skyband.divergence(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: build for build in (
         op1_warc_segments,
@@ -65,6 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_files,
         op9_segment_tree_bpe,
         op10_minmax_dedup,
+        op11_skip_chain_crf,
+        op12_prefix_trie,
+        op13_source_skyband,
     )
 }
 
