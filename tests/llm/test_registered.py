@@ -84,7 +84,8 @@ def test_op5(spark, docs):
 def test_sql(spark, name):
     frame = QUERIES[name](spark, FOLDER)
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{FOLDER}/pages.parquet'")
+    for table in ("pages", "documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     assert sorted(map(tuple, frame.collect())) == sorted(con.execute(f"SELECT {', '.join(frame.columns)} FROM ({ORACLES[name]})").fetchall())
 
 

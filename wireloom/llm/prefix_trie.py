@@ -212,14 +212,12 @@ def subtree_totals(nodes: DataFrame, paths: DataFrame, small: int = SMALL) -> Da
     """(conv, depth, leaves, saved) of every node, summed over its subtree, by centroid decomposition."""
     top = ["top", "top_depth"]
     columns = [*top, *NODE, "parent", *VALUES, "weight"]
-    # The trie is one component at first; its top has no parent.
-    active = nodes.withColumns({"top": F.lit(None).cast("long"), "top_depth": F.lit(0).cast("long")}).select(columns)
+    same = (F.col("top") == F.col("_top")) & (F.col("top_depth") == F.col("_top_depth"))
+    # The trie is one component at first: that of the root, which all conversations pass.
+    root = nodes.filter("depth = 0").select("conv", "weight").first() or (0, 0)
+    sized = nodes.withColumns({"top": F.lit(root[0]).cast("long"), "top_depth": F.lit(0).cast("long"), "total": F.lit(root[1]).cast("long")}).select(*columns, "total")
     finished, added = [], []
     while True:
-        totals = active.groupBy(*top).agg(F.max("weight").alias("total"))
-        same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in top]
-        totals = totals.select(*[F.col(name).alias(f"_{name}") for name in top], "total")
-        sized = stored(active.join(totals, same[0] & same[1]).select(*columns, "total"), "components")
         finished.append(sized.filter(F.col("total") <= small).select(columns))
         large = sized.filter(F.col("total") > small)
         if large.isEmpty():
@@ -227,7 +225,7 @@ def subtree_totals(nodes: DataFrame, paths: DataFrame, small: int = SMALL) -> Da
         # The nodes with half of the weight below them are a path that ends at the centroid.
         centroids = large.filter("2 * weight >= total").groupBy(*top).agg(F.max_by(F.struct("conv", "weight"), "depth").alias("c"), F.max("depth").alias("c_depth"))
         centroids = centroids.select(*[F.col(name).alias(f"_{name}") for name in top], F.col("c.conv").alias("c_conv"), F.col("c.weight").alias("c_weight"), "c_depth")
-        near = large.join(centroids, same[0] & same[1]).drop("_top", "_top_depth")
+        near = large.join(centroids, same).drop("_top", "_top_depth")
         # A node at the centroid's depth or deeper asks for its own ancestor there, a higher one for the centroid's ancestor at its depth.
         deep = F.col("depth") >= F.col("c_depth")
         asked = near.withColumns({"_member": F.when(deep, F.col("conv")).otherwise(F.col("c_conv")), "_depth": F.least("depth", "c_depth")})
@@ -238,11 +236,14 @@ def subtree_totals(nodes: DataFrame, paths: DataFrame, small: int = SMALL) -> Da
         marked = stored(asked.join(_at(paths, "branch"), ["_member", "_depth"], "left").drop("_member", "_depth"), "split")
         hanging = marked.filter("below").groupBy(*top).agg(*[F.sum(name).alias(name) for name in VALUES])
         hanging = hanging.select(*[F.col(name).alias(f"_{name}") for name in top], *VALUES)
-        given = marked.filter("on_path or is_centroid").select(*top, *NODE).join(hanging, same[0] & same[1])
+        given = marked.filter("on_path or is_centroid").select(*top, *NODE).join(hanging, same)
         added.append(stored(given.select(*NODE, *VALUES), "added"))
         upper = marked.filter("not below").withColumn("weight", F.expr("weight - if(on_path, c_weight, 0L)"))
         lower = marked.filter("below and not is_centroid").withColumns({"top": F.col("branch"), "top_depth": F.col("c_depth") + 1})
         active = upper.select(columns).unionByName(lower.select(columns))
+        totals = active.groupBy(*top).agg(F.max("weight").alias("total"))
+        totals = totals.select(*[F.col(name).alias(f"_{name}") for name in top], "total")
+        sized = stored(active.join(totals, same).select(*columns, "total"), "components")
     rest = finished[0]
     for more in finished[1:]:
         rest = rest.unionByName(more)

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import re
 import string
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
-
-#: Words a generation of the cache holds; a worker holds two generations.
-CACHED_WORDS = 100_000
+#: Bytes a generation of the cache holds, about (half a million words); a worker holds two generations.
+CACHED_BYTES = 96 << 20
+#: Bytes that an entry of the cache takes besides the word and its ids.
+ENTRY_BYTES = 170
 #: Longer texts are encoded in parts of about so many bytes that end at white space.
 PART_BYTES = 1 << 20
 
@@ -53,13 +54,16 @@ def parts(text: bytes, size: int = PART_BYTES) -> Iterator[bytes]:
 
 
 class WordIds(dict):
-    """Word (bytes) to its ids as little-endian unsigned 32-bit numbers; fills itself."""
+    """Word (bytes) to its ids as little-endian unsigned 32-bit numbers; fills itself.
+
+    A full generation becomes the older one; words that are met again move from there to the new one.
+    """
 
-    def __init__(self, vocabulary: str, most: int = CACHED_WORDS):
+    def __init__(self, vocabulary: str, most: int = CACHED_BYTES):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.most, self.older = Tokenizer.from_file(vocabulary), most, {}
+        self.tokenizer, self.most, self.held, self.older = Tokenizer.from_file(vocabulary), most, 0, {}
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
@@ -68,9 +72,10 @@ class WordIds(dict):
         ids = self.older.get(word)
         if ids is None:
             ids = self.fresh(word)
-        if len(self) >= self.most:
-            self.older = dict(self)
+        if self.held >= self.most:
+            self.older, self.held = dict(self), 0
             self.clear()
+        self.held += len(word) + len(ids) + ENTRY_BYTES
         self[word] = ids
         return ids
 
@@ -96,7 +101,7 @@ class WordIds(dict):
 
 
 def packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
