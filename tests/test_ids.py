@@ -91,7 +91,7 @@ def test_fresh_and_first_copies(spark):
         ("a", 1, "a"), ("a", 2, "text"), ("b", 1, "text"), ("hot", 1, "t0"),
     }
     seen = spark.createDataFrame([("a", 1), ("a", 1), ("b", 9)], "agency string, id int")
-    new = ids.fresh(first, seen)
+    new = ids.fresh(first, ids.words(seen))
     assert {(row["agency"], row["id"]) for row in new.collect()} == {("a", 2), ("b", 1), ("hot", 1)}
     assert "LeftAnti" in plan(new)
 
@@ -105,8 +105,8 @@ def test_rows_without_id_are_not_taken_for_copies(spark):
 
 def test_messages_move_once(spark):
     rows = frame(spark, [news_row("a", i) for i in range(50)])
-    numbered = rows.withColumn("id", F.split_part("url", F.lit("/"), F.lit(5)).try_cast("int"))
-    seen = spark.createDataFrame([("a", 1), ("a", 2)], "agency string, id int").hint("shuffle_merge")
+    numbered = rows.withColumn("id", F.split_part("url", F.lit("/"), F.lit(5)).try_cast("bigint"))
+    seen = spark.createDataFrame([("a", 0, 0b110)], "agency string, word long, mask long").hint("shuffle_merge")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         text = plan(ids.fresh_copies(ids.keyed_copies(numbered), seen))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wireloom import fixed_values as fv
 from wireloom.functions import dates, links
@@ -14,6 +16,10 @@ from wireloom.operators.joins import lookup_join
 IDS_PER_CHUNK = 1024
 KEY_AGENCY, KEY_ID = "_key_agency", "_key_id"
 
+#: Seen ids: a word stands for this many consecutive ids of an agency (two to the power of the shift), a bit of its mask for one.
+WORD_SHIFT = 6
+WORDS = T.StructType([T.StructField("agency", T.StringType()), T.StructField("word", T.LongType()), T.StructField("mask", T.LongType())])
+
 
 def table_ids(news: DataFrame, excluded_agency: str = fv.EXCLUDED_AGENCY) -> DataFrame:
     """(agency, id) of every row of one news table.
@@ -106,39 +112,67 @@ def _recency(date: Column, message_id: Column) -> Column:
     ).cast("decimal(19,0)")
 
 
-def fresh(messages: DataFrame, seen: DataFrame) -> DataFrame:
-    """Messages whose (agency, id) has not been seen.
+def words(seen: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Ids (agency, id) as (agency, word, mask), one row per word; ``within`` are further key columns."""
+    numbered = seen.filter(F.col("agency").isNotNull() & F.col("id").isNotNull())
+    return (
+        numbered.groupBy(*within, "agency", F.shiftright("id", WORD_SHIFT).alias("word"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _place("id"))).alias("mask"))
+    )
+
+
+def merged_words(seen: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Words of several runs, one row per word."""
+    return seen.groupBy(*within, "agency", "word").agg(F.bit_or("mask").alias("mask"))
+
+
+def _place(number: str) -> Column:
+    """The bit of an id within its word."""
+    return F.col(number).bitwiseAND(F.lit((1 << WORD_SHIFT) - 1).cast("long")).cast("int")
 
-    The seen table grows without bound, so it is reduced to its distinct keys and
-    shuffled, not broadcast; adaptive execution still broadcasts it where it turns
-    out small, and splits partitions that one hot key of the messages fills.
+
+def ids_of_words(seen: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """(agency, id) of words."""
+    one = F.lit(1).cast("long")
+    numbers = F.filter(F.sequence(F.lit(0), F.lit((1 << WORD_SHIFT) - 1)), lambda place: F.call_function("shiftrightunsigned", F.col("mask"), place).bitwiseAND(one) == one)
+    return seen.select(*within, "agency", "word", F.explode(numbers).alias("place")).select(*within, "agency", (F.shiftleft("word", WORD_SHIFT) + F.col("place")).alias("id"))
+
+
+def fresh(messages: DataFrame, seen: DataFrame, within: Sequence[str] = (), agency: str = "agency", number: str = "id") -> DataFrame:
+    """Messages whose (agency, id) has not been seen; ``seen`` are words.
+
+    Seen ids grow without bound, so they are shuffled, not broadcast; adaptive execution still broadcasts them where they
+    turn out small, and splits partitions that one hot key of the messages fills.  The join is by agency and id, by which
+    keyed copies already lie.
     """
-    return messages.join(seen.select("agency", "id").distinct(), ["agency", "id"], "left_anti")
+    known = ids_of_words(seen, within).select(*[F.col(name).alias(f"_seen_{name}") for name in (*within, "agency", "id")])
+    same = [F.col(name) == F.col(f"_seen_{name}") for name in within]
+    same += [F.col(agency) == F.col("_seen_agency"), F.col(number) == F.col("_seen_id")]
+    return messages.join(known, reduce(Column.__and__, same), "left_anti")
 
 
 def in_range_of(seen: DataFrame, messages: DataFrame) -> DataFrame:
-    """Seen ids that can matter for a batch: between its least and greatest id of the same agency.
+    """Seen words that can matter for a batch: between its least and greatest id of the same agency.
 
     Ids of a page lie close together, so this leaves a sliver of a seen table that
     may be far larger than the batch, before anything is shuffled.
     """
-    bounds = messages.groupBy("agency").agg(F.min("id").alias("_least"), F.max("id").alias("_greatest"))
-    return (
-        lookup_join(seen, bounds, "agency", "inner")
-        .filter(F.col("id").between(F.col("_least"), F.col("_greatest")))
-        .select("agency", "id")
-    )
+    least, greatest = (F.shiftright(of("id"), WORD_SHIFT) for of in (F.min, F.max))
+    bounds = messages.groupBy("agency").agg(least.alias("_least"), greatest.alias("_greatest"))
+    return lookup_join(seen, bounds, "agency", "inner").filter(F.col("word").between(F.col("_least"), F.col("_greatest"))).select(seen.columns)
 
 
-def keyed_copies(messages: DataFrame) -> DataFrame:
+def keyed_copies(messages: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """One row per message: the earliest by date, then by its text; with the two key columns in front.
 
+    ``within`` are further key columns: a message may occur once in each.
+
     Copies are reduced before the shuffle, so a message that fills a third of the
     input costs one row per task.  Where agency or id is NULL, nothing says that
     two rows are the same message: there the whole row is the key, next to a NULL
     id, which no numbered message has.
     """
-    columns = messages.columns
+    columns = [name for name in messages.columns if name not in within]
     ordered = sorted(columns, key=lambda name: (name != "date", name in ("agency", "id"), columns.index(name)))
     numbered = F.col("agency").isNotNull() & F.col("id").isNotNull()
     whole_row = F.to_json(F.struct(*columns))
@@ -146,11 +180,12 @@ def keyed_copies(messages: DataFrame) -> DataFrame:
         messages.select(
             F.when(numbered, F.col("agency")).otherwise(whole_row).alias(KEY_AGENCY),
             F.when(numbered, F.col("id")).alias(KEY_ID),
+            *within,
             *columns,
         )
-        .groupBy(KEY_AGENCY, KEY_ID)
+        .groupBy(*within, KEY_AGENCY, KEY_ID)
         .agg(F.min(F.struct(*ordered)).alias("first"))
-        .select(KEY_AGENCY, KEY_ID, *[F.col(f"first.{name}") for name in columns])
+        .select(*within, KEY_AGENCY, KEY_ID, *[F.col(f"first.{name}") for name in columns])
     )
 
 
@@ -159,7 +194,6 @@ def first_copies(messages: DataFrame) -> DataFrame:
     return keyed_copies(messages).drop(KEY_AGENCY, KEY_ID)
 
 
-def fresh_copies(copies: DataFrame, seen: DataFrame) -> DataFrame:
-    """Keyed copies that have not been seen; they already lie where this join needs them."""
-    keys = seen.select(F.col("agency").alias(KEY_AGENCY), F.col("id").alias(KEY_ID)).distinct()
-    return copies.join(keys, [KEY_AGENCY, KEY_ID], "left_anti").drop(KEY_AGENCY, KEY_ID)
+def fresh_copies(copies: DataFrame, seen: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Keyed copies that have not been seen (words)."""
+    return fresh(copies, seen, within, KEY_AGENCY, KEY_ID).drop(KEY_AGENCY, KEY_ID)

@@ -86,6 +86,21 @@ def agencies(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def polled(spark: SparkSession, folder: str) -> DataFrame:
+    """Agencies by the channels of their pages: those up to src4 are polled by both groups, others by one or none."""
+    sources = table(spark, folder, "documents").select("source").filter(F.col("source").isNotNull()).distinct()
+    n = F.substring("source", 4, 10).cast("int")
+    home = F.when((n <= 4) | (n % 3 == 0), True)
+    foreign = F.when((n <= 4) | (n % 3 == 1), False)
+    return sources.select(_channel(F.col("source")).alias("telegram"), F.explode(F.array(home, foreign)).alias("is_parsing")).select(
+        "telegram", F.lit(None).cast("string").alias("mono_category"), "is_parsing", F.lit("en").alias("language"), F.lit(1).alias("priority")
+    )
+
+
+def _channel(source: Column) -> Column:
+    return F.when(source == RULED_SOURCE, fv.LAST_CLAUSE_AGENCY).otherwise(source)
+
+
 def agency_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Agencies with one row per language, so that lookups have several rows to choose from."""
     rows = (
@@ -182,7 +197,7 @@ BODIES = (
 def channel_pages(docs: DataFrame) -> DataFrame:
     """Channel pages (channel, html) made of documents: at most 100 messages each."""
     doc_id, channel = F.col("doc_id"), F.col("channel")
-    named = docs.withColumn("channel", F.when(F.col("source") == RULED_SOURCE, fv.LAST_CLAUSE_AGENCY).otherwise(F.col("source")))
+    named = docs.withColumn("channel", _channel(F.col("source")))
     text = _escape(F.col("text"))
     word = _escape(F.substring_index("text", " ", 1))
 

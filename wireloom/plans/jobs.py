@@ -1,5 +1,7 @@
 """The jobs, each over one batch and safe to run again: a run that is done is not repeated, one that is not leaves no trace.
 
+Each job writes all its rows in one pass, whatever tables they go to, and counts them while they are written.
+
 pages:    channel pages → messages, for all groups
 
 collect:  messages → fresh, valid rows; rejects with reasons
@@ -11,7 +13,6 @@ backfill: missing summaries of a day's anniversaries
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -26,9 +27,8 @@ from wireloom.operators import enrich as en
 from wireloom.operators import ids, updates, validation
 from wireloom.operators import messages as messages_of
 from wireloom.operators.joins import lookup_join
-from wireloom.schemas import conform, table_schema
 from wireloom.session import checkpointed
-from wireloom.sources.store import BATCH, NewsStore
+from wireloom.sources.store import BATCH, Conflict, NewsStore, routed
 
 HOME_GROUP = "russian"
 PUBLISHED = ("published", "news")
@@ -37,6 +37,10 @@ ERRORS = ("error", "error_table")
 FINAL_REJECTS = ("error", "final_rejects")
 MODEL_REJECTS = ("error", "model_rejects")
 ARCHIVE = ("time_machine", "news")
+#: Digests of the messages that could not be read, so that each is kept once.
+DIGESTS = ("error", "digests")
+
+GROUP, SPACE = "target_group", "space"
 
 
 def group_of(language: Column, home_language: str) -> Column:
@@ -61,86 +65,109 @@ def batch_name(job: str, run: str, group: str = "") -> str:
     return "-".join(part for part in (job, group, run) if part)
 
 
-def seen_ids(store: NewsStore, group: str, batch: str) -> DataFrame:
-    """Known ids of a group: staged and final rows not yet handed over, rejects, and published rows.
+def seen_words(store: NewsStore, groups: Sequence[str], digests: bool = True) -> DataFrame:
+    """Words of known ids by group (as ``space``): staged and final rows not yet handed over, rejects, and published rows.
 
-    The batch at hand is left out, so a repeated run sees what the first one saw.  Only (agency, id) is read.
+    Messages without an id are known by digest, in a space of their own.  No texts or addresses are read.
     """
-    known = [store.known_ids(*source, pending=source in (news_table(HOME_GROUP), FINAL), but=batch) for source in id_sources(group)]
-    return reduce(DataFrame.unionByName, known).filter(F.col("agency") != fv.EXCLUDED_AGENCY)
+    known = []
+    for group in groups:
+        for source in id_sources(group):
+            words = store.known_words(*source, pending=source in (news_table(HOME_GROUP), FINAL))
+            known.append(words.filter(F.col("agency") != fv.EXCLUDED_AGENCY).withColumn(SPACE, F.lit(group)))
+    if digests:
+        known.append(store.known_words(*DIGESTS).withColumn(SPACE, F.lit("digests")))
+    return reduce(DataFrame.unionByName, known)
 
 
-def distinct_messages(messages: DataFrame) -> DataFrame:
+def distinct_messages(messages: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Messages (url, date, news, links, agency) with their id and keys, one per id."""
-    return ids.keyed_copies(messages.withColumn("id", url_part_id(F.col("url"))))
+    return ids.keyed_copies(messages.withColumn("id", url_part_id(F.col("url"))), within)
 
 
 def staged_news(copies: DataFrame, seen: DataFrame) -> DataFrame:
-    """Distinct messages that are new, with their broken rules."""
+    """Distinct messages that are new, with their broken rules; ``seen`` are words of known ids."""
     return validation.with_errors(ids.fresh_copies(copies, seen).drop("id"), validation.short_rules())
 
 
-def collect(
-    store: NewsStore, messages: DataFrame, group: str, batch_id: str, agencies: DataFrame | None = None, broken: DataFrame | None = None
-) -> tuple[int, int]:
-    """Stage the fresh messages of a group; returns how many were valid and how many were not.
+def polled_by(agencies: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """(agency, target_group) of the agencies that the groups poll; an agency may be polled by several."""
+    own = [ag.agencies_of_group(agencies, group).select(F.col("telegram").alias("agency"), F.lit(group).alias(GROUP)) for group in groups]
+    return reduce(DataFrame.unionByName, own).distinct()
 
-    Rejected ids count as known afterwards.  Without ``agencies`` all are polled.  ``broken`` are messages of the group
-    that could not be read, with their reasons; they go to the rejects.  A run that is done is not done again.  The
-    distinct messages are kept for the run, because they are read for their id ranges and then for themselves.
+
+def _staged(store: NewsStore, run: str, messages: DataFrame, groups: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """Stage fresh messages (with ``target_group`` and ``parse_error``) of all groups in one pass; returns valid and invalid ones by group.
+
+    The distinct messages are kept for the run, because they are read for their id ranges and then for themselves.
     """
-    run = batch_name("collect", batch_id, group)
-    done = store.committed(run)
-    if done is not None:
-        return tuple(json.loads(done))
-    if agencies is not None:
-        polled = ag.agencies_of_group(agencies, group).select(F.col("telegram").alias("agency")).distinct()
-        messages = lookup_join(messages, polled, "agency", "left_semi")
-        broken = None if broken is None else lookup_join(broken, polled, "agency", "left_semi")
-    unique = distinct_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    broken = F.col("parse_error").isNotNull()
+    digest = F.xxhash64("url", "news", "agency")
+    keyed = messages.withColumns({"id": F.when(broken, digest).otherwise(url_part_id(F.col("url"))), SPACE: F.when(broken, "digests").otherwise(F.col(GROUP))})
+    unique = ids.keyed_copies(keyed, (SPACE,)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        least, most = unique.agg(F.min("id"), F.max("id")).first()
-        seen = ids.in_range_of(seen_ids(store, group, run).filter(F.col("id").between(least, most)), unique)
-        checked = staged_news(unique, seen).persist(StorageLevel.MEMORY_AND_DISK)
-        counts = validation.validation_counts(checked).first()
-        rejected = validation.rejects(checked)
-        wrong = counts["len_errors"]
-        if broken is not None:
-            fitted = conform(broken, table_schema(*ERRORS)).distinct()
-            before = store.read(*ERRORS).select(*[F.col(name).alias(f"_{name}") for name in ("agency", "url", "news")]).distinct()
-            same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in ("agency", "url", "news")])
-            fitted = fitted.join(before, same, "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
-            wrong += fitted.count()
-            rejected = conform(rejected, table_schema(*ERRORS)).unionByName(fitted)
-        store.commit(
-            run, [(news_table(group), run, validation.valid_rows(checked)), (ERRORS, run, rejected)], note=json.dumps([counts["len_news"], wrong])
-        )
+        seen = ids.in_range_of(seen_words(store, groups), unique.filter("id is not null"))
+        fresh = ids.fresh_copies(unique, seen, (SPACE,))
+        checked = validation.with_errors(fresh, validation.short_rules())
+        checked = checked.withColumn("errors", F.when(broken, F.array("parse_error")).otherwise(F.col("errors")))
+        valid = F.size("errors") == 0
+        targets = {news_table(group): valid & (F.col(GROUP) == group) for group in groups} | {ERRORS: ~valid}
+        counts = {}
+        for group in groups:
+            counts |= {f"{group} valid": F.count_if(valid & (F.col(GROUP) == group)), f"{group} invalid": F.count_if(~valid & (F.col(GROUP) == group))}
+        told = store.commit(run, run, routed(checked, targets), list(targets), counts=counts, digests=F.when(broken, F.col("id")))
     finally:
         unique.unpersist()
-    checked.unpersist()
-    return counts["len_news"], wrong
+    store.tend([*(news_table(group) for group in groups if group != HOME_GROUP), ERRORS, DIGESTS])
+    return {group: (told[f"{group} valid"], told[f"{group} invalid"]) for group in groups}
+
+
+def collect(store: NewsStore, messages: DataFrame, group: str, batch_id: str, agencies: DataFrame | None = None) -> tuple[int, int]:
+    """Stage the fresh messages of a group; returns how many were valid and how many were not.
+
+    Rejected ids count as known afterwards.  Without ``agencies`` all are polled.
+    """
+    if agencies is not None:
+        messages = lookup_join(messages, polled_by(agencies, [group]).select("agency"), "agency", "left_semi")
+    tagged = messages.select("url", "date", "news", "links", "agency", F.lit(None).cast("string").alias("parse_error"), F.lit(group).alias(GROUP))
+    return _staged(store, batch_name("collect", batch_id, group), tagged, [group])[group]
 
 
 def collect_pages(
     store: NewsStore, pages: DataFrame, agencies: DataFrame, batch_id: str, groups: Sequence[str] = (HOME_GROUP, "foreign"), reader=None
 ) -> dict[str, tuple[int, int]]:
-    """Channel pages (channel, html) to staged news of every group: parse, clean, drop known ids, check, route.
+    """Channel pages (channel, html) to staged news of every group: parse, clean, drop known ids, check, route, in one pass.
 
-    Messages without a number or a readable time go to the rejects with the reason.  Returns the counts of each group.
+    A message of a channel that several groups poll goes to each of them.  Messages without a number or a readable time
+    go to the rejects with the reason, each once, even if its page is read again.  Returns the counts of each group.
     """
-    parsed = checkpointed(messages_of.parse_messages(pages, reader or messages_of.read_bubbles))  # pages are parsed once for all groups
-    sound = messages_of.well_formed(parsed).drop("id")
-    broken = messages_of.malformed(parsed).withColumn("errors", F.array("parse_error"))
-    return {group: collect(store, sound, group, batch_id, agencies, broken) for group in groups}
+    parsed = messages_of.parse_messages(pages, reader or messages_of.read_bubbles).drop("id")
+    polled = polled_by(agencies, groups)
+    wanted = checkpointed(parsed.join(polled, "agency"))  # pages are parsed once
+    return _staged(store, batch_name("collect", batch_id), wanted, groups)
 
 
-def _parted(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows without and with model errors; the latter name the model and what it said."""
-    failed = [F.when(F.col(name).isNotNull(), F.concat(F.lit(f"{name}: "), F.col(name))) for name in en.MODEL_ERRORS if name in checked.columns]
-    if not failed:
-        return checked, checked.limit(0).withColumn("errors", F.array().cast("array<string>"))
-    told = checked.withColumn("errors", F.array_compact(F.array(*failed))).drop(*en.MODEL_ERRORS)
-    return told.filter(F.size("errors") == 0).drop("errors"), told.filter(F.size("errors") > 0)
+def _model_errors(rows: DataFrame) -> Column:
+    """What each model that failed on a row said, with the model's name."""
+    failed = [F.when(F.col(name).isNotNull(), F.concat(F.lit(f"{name}: "), F.col(name))) for name in en.MODEL_ERRORS if name in rows.columns]
+    return F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+
+
+def handed_over(store: NewsStore, run: str, source: tuple[str, str], targets: Sequence[tuple[str, str]], work: Callable[[DataFrame], DataFrame]) -> list[str]:
+    """Make rows for ``targets`` of the batches that a run takes from ``source``, and use these up, once; returns them.
+
+    If another run has used some of them meanwhile, the run takes what is left and starts anew.
+    """
+    while taken := store.take(run, *source):
+        if store.committed(run) is not None:
+            break
+        try:
+            store.commit(run, run, work(store.batch_rows(*source, taken)), targets, [(source, batch) for batch in taken])
+        except Conflict:
+            continue
+        store.tend([target for target in targets if target not in (news_table(HOME_GROUP), FINAL)])
+        break
+    return taken
 
 
 def enrich(
@@ -155,16 +182,15 @@ def enrich(
 
     Rows that a model fails on go to the model rejects with the model's message.
     """
-    source, run = news_table(HOME_GROUP), batch_name("enrich", batch_id)
-    taken = store.take(run, *source)
-    if taken and store.committed(run) is None:
-        classified = classify(store.batch_rows(*source, taken))
-        final = en.enrich(classified, ag.mono_categories(agencies), title, resume)
+
+    def work(rows: DataFrame) -> DataFrame:
+        final = en.enrich(classify(rows), ag.mono_categories(agencies), title, resume)
         if title or resume:
             final = checkpointed(final)  # one pass of each model
-        sound, failed = _parted(final)
-        store.commit(run, [(FINAL, run, sound), (MODEL_REJECTS, run, failed)], [(source, batch) for batch in taken])
-    return taken
+        told = final.withColumn("errors", _model_errors(final))
+        return routed(told, {MODEL_REJECTS: F.size("errors") > 0, FINAL: F.lit(True)})
+
+    return handed_over(store, batch_name("enrich", batch_id), news_table(HOME_GROUP), [FINAL, MODEL_REJECTS], work)
 
 
 def publish(store: NewsStore, batch_id: str) -> list[str]:
@@ -172,19 +198,17 @@ def publish(store: NewsStore, batch_id: str) -> list[str]:
 
     The others are kept with their reasons, outside the tables whose ids count as known.
     """
-    run = batch_name("publish", batch_id)
-    taken = store.take(run, *FINAL)
-    if taken and store.committed(run) is None:
-        checked = validation.with_errors(store.batch_rows(*FINAL, taken), validation.final_rules())
-        store.commit(
-            run, [(PUBLISHED, run, validation.valid_rows(checked)), (FINAL_REJECTS, run, validation.rejects(checked))], [(FINAL, batch) for batch in taken]
-        )
-    return taken
 
+    def work(rows: DataFrame) -> DataFrame:
+        checked = validation.with_errors(rows, validation.final_rules())
+        return routed(checked, {FINAL_REJECTS: F.size("errors") > 0, PUBLISHED: F.lit(True)})
 
-def backfill(
-    store: NewsStore, as_of: dt.date, resume: Callable[[Column], Column] = en.summarize
-) -> list[str]:
-    """Fill in missing summaries in the archive; returns the rewritten batches."""
+    return handed_over(store, batch_name("publish", batch_id), FINAL, [PUBLISHED, FINAL_REJECTS], work)
+
+
+def backfill(store: NewsStore, as_of: dt.date, resume: Callable[[Column], Column] = en.summarize) -> int:
+    """Fill in missing summaries in the archive; returns how many addresses got one."""
     changes = updates.resume_updates(store.read(*ARCHIVE).drop(BATCH), as_of, resume)
-    return store.update(*ARCHIVE, changes, "url", "resume")
+    made = store.update(*ARCHIVE, changes, "url", "resume")
+    store.tend([ARCHIVE])
+    return made

@@ -634,7 +634,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC,
 SELECT doc_id, label AS category FROM ranked WHERE place = 1
 """,
 )
-for name in ("publish_roundtrip", "publish_retry"):
+for name in ("publish_roundtrip", "publish_retry", "handover_conflict"):
     register(name, ENRICHED)
 register(
     "collect_both_groups",
@@ -643,7 +643,27 @@ WITH {NEWS}
 SELECT url, CASE WHEN doc_id % 5 = 0 THEN 'error_table' WHEN doc_id % 2 = 0 THEN 'russian' ELSE 'foreign' END AS target FROM news_v
 """,
 )
-register("dead_letter", f"WITH {NEWS} SELECT url, news, agency FROM news_v WHERE doc_id % 4 = 0")
+register("dead_letter", f"WITH {NEWS} SELECT url, news, agency FROM news_v")
+register("query_with_parameter", f"WITH {NEWS} SELECT url, date, agency FROM news_v WHERE agency = 'src5'")
+_BROKEN_RULES = ", ".join(f"CASE WHEN NOT coalesce({rule}, false) THEN '{name}' END" for name, rule in SHORT_RULES.items())
+for name in ("collect_pages", "stream_pages"):
+    register(
+        name,
+        f"""
+WITH message AS ({MESSAGES}),
+polled AS (
+  SELECT CASE WHEN source = '{fx.RULED_SOURCE}' THEN 'briefsmi' ELSE source END AS agency, unnest([
+           CASE WHEN n <= 4 OR n % 3 = 0 THEN 'russian' END, CASE WHEN n <= 4 OR n % 3 = 1 THEN 'foreign' END]) AS target
+  FROM (SELECT DISTINCT source, CAST(source[4:] AS INT) AS n FROM documents WHERE source IS NOT NULL)),
+met AS (
+  SELECT message.*, target, array_to_string(list_filter([{_BROKEN_RULES}], lambda e: e IS NOT NULL), ',') AS broken
+  FROM message JOIN (SELECT * FROM polled WHERE target IS NOT NULL) USING (agency))
+SELECT url, date, news, links, agency, broken AS errors, CASE WHEN broken = '' THEN target ELSE 'error_table' END AS target
+FROM met WHERE parse_error IS NULL
+UNION ALL
+SELECT DISTINCT url, date, news, links, agency, parse_error AS errors, 'error_table' AS target FROM met WHERE parse_error IS NOT NULL
+""",
+    )
 register(
     "backfill_store",
     "SELECT * EXCLUDE (o_orderkey) FROM (" + ORACLES["resume_backfill"] + ")",

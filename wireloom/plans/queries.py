@@ -20,7 +20,7 @@ from wireloom.plans import jobs
 from wireloom.session import scratch_path
 from wireloom.sources import tables
 from wireloom.sources.store import NewsStore
-from wireloom.streaming.ingest import ingest
+from wireloom.streaming.ingest import ingest, ingest_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,7 +144,7 @@ def last_news_id(spark, folder):
 @query
 def fresh_anti_join(spark, folder):
     rows = _news(spark, folder).withColumn("id", links.url_part_id(F.col("url")))
-    seen = ids.known_ids(fx.quarter(rows, 3), fx.quarter(rows, 2))
+    seen = ids.words(ids.known_ids(fx.quarter(rows, 3), fx.quarter(rows, 2)))
     return ids.fresh(rows.select("agency", "id", "url", "date", "news"), seen)
 
 
@@ -451,18 +451,26 @@ def publish_roundtrip(spark, folder):
     return store.read(*jobs.PUBLISHED).drop("batch_id")
 
 
+def _no_service(rows):
+    raise InterruptedError
+
+
+def _breaks_off(store, agencies, run):
+    """A run that has taken its batches and then finds no classifier."""
+    try:
+        jobs.enrich(store, _no_service, agencies, run)
+    except InterruptedError:
+        return
+
+
 @query
 def publish_retry(spark, folder):
-    """A run breaks off between writing and commit, new rows arrive, and it is repeated under its name."""
+    """A run breaks off before its commit, new rows arrive, and it is repeated under its name."""
     store = NewsStore(spark, scratch_path(spark, "store"))
     rows = fx.news(fx.documents(spark, folder))
     agencies = fx.agencies(spark, folder)
     jobs.collect(store, rows.filter("doc_id % 3 = 0"), jobs.HOME_GROUP, "1")
-    record, store._record = store._record, _break_off
-    try:
-        jobs.enrich(store, _derived_label, agencies, "1")
-    except InterruptedError:
-        store._record = record
+    _breaks_off(store, agencies, "1")
     jobs.collect(store, rows.filter("doc_id % 3 = 1"), jobs.HOME_GROUP, "2")
     jobs.enrich(store, _derived_label, agencies, "1")
     jobs.collect(store, rows.filter("doc_id % 3 = 2"), jobs.HOME_GROUP, "3")
@@ -472,8 +480,21 @@ def publish_retry(spark, folder):
     return store.read(*jobs.PUBLISHED).drop("batch_id")
 
 
-def _break_off(*told):
-    raise InterruptedError
+@query
+def handover_conflict(spark, folder):
+    """A run breaks off, a second one takes its batches over, and the first one is repeated when new rows have come."""
+    store = NewsStore(spark, scratch_path(spark, "store"), lease=0)
+    rows = fx.news(fx.documents(spark, folder))
+    agencies = fx.agencies(spark, folder)
+    jobs.collect(store, rows.filter("doc_id % 2 = 0"), jobs.HOME_GROUP, "1")
+    _breaks_off(store, agencies, "1")
+    jobs.enrich(store, _derived_label, agencies, "2")
+    jobs.collect(store, rows.filter("doc_id % 2 = 1"), jobs.HOME_GROUP, "2")
+    for run in ("1", "2", "1"):
+        jobs.enrich(store, _derived_label, agencies, run)
+    for run in ("1", "1", "2"):
+        jobs.publish(store, run)
+    return store.read(*jobs.PUBLISHED).drop("batch_id")
 
 
 @query
@@ -490,21 +511,63 @@ def collect_both_groups(spark, folder):
 
 
 @query
-def dead_letter(spark, folder):
-    """A sink that fails: the rows are kept aside, the table stays as it was."""
+def collect_pages(spark, folder):
+    """Channel pages to the tables of both groups, with the rejects; agencies of src0 to src4 are polled by both."""
     store = NewsStore(spark, scratch_path(spark, "store"))
-    working, store.path = store.path, lambda *names: "no-such-scheme://nowhere"
+    pages = fx.channel_pages(fx.documents(spark, folder))
+    for _ in range(2):
+        jobs.collect_pages(store, pages, fx.polled(spark, folder), "hour-1")
+    jobs.collect_pages(store, pages, fx.polled(spark, folder), "hour-2")
+    return _collected(store)
+
+
+def _collected(store):
+    parts = {"russian": jobs.news_table(jobs.HOME_GROUP), "foreign": jobs.news_table("foreign"), "error_table": jobs.ERRORS}
+    columns = [field.name for field in schemas.STAGED]
+    rows = []
+    for name, place in parts.items():
+        own = store.read(*place)
+        reasons = F.array_join("errors", ",") if "errors" in own.columns else F.lit("")
+        rows.append(own.select(*columns, reasons.alias("errors"), F.lit(name).alias("target")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def stream_pages(spark, folder):
+    """The same pages as a stream of files, one per micro-batch, each file twice; the last micro-batch is replayed."""
+    store = NewsStore(spark, scratch_path(spark, "store"))
+    agencies, place = fx.polled(spark, folder), scratch_path(spark, "pages")
+    pages = fx.channel_pages(fx.documents(spark, folder))
+    for part in (0, 1, 2, 0):
+        pages.filter(F.pmod(F.hash("channel"), F.lit(3)) == part).coalesce(1).write.mode("append").parquet(f"{place}/pages.parquet")
+    arriving = tables.table_stream(spark, place, "pages", schemas.PAGES, maxFilesPerTrigger=1)
+    done = []
+    ingest_pages(arriving, store, agencies, scratch_path(spark, "stream"), on_batch=lambda name, counts: done.append(name)).awaitTermination()
+    jobs.collect_pages(store, pages, agencies, done[-1])
+    return _collected(store)
+
+
+@query
+def query_with_parameter(spark, folder):
+    """A SQL text with a parameter over a named frame."""
+    return tables.run_query(spark, "SELECT url, date, agency FROM {news} WHERE agency = :agency", {"news": _news(spark, folder)}, agency="src5")
+
+
+@query
+def dead_letter(spark, folder):
+    """The place of the rows cannot be reached: they are kept aside, the table stays as it was."""
+    store = NewsStore(spark, scratch_path(spark, "store"), data="no-such-scheme://nowhere")
     try:
-        store.append(*jobs.news_table(jobs.HOME_GROUP), fx.quarter(fx.news(fx.documents(spark, folder)), 0), "1")
+        store.append(*jobs.news_table(jobs.HOME_GROUP), fx.news(fx.documents(spark, folder)), "1")
     except Exception:  # noqa: BLE001 - whatever the sink raises
-        store.path = working
+        pass
     kept = store.dead_letters(*jobs.news_table(jobs.HOME_GROUP)).select("url", "news", "agency")
     return kept.unionByName(store.read(*jobs.news_table(jobs.HOME_GROUP)).select("url", "news", "agency"))
 
 
 @query
 def backfill_store(spark, folder):
-    """Missing summaries filled in through the store, in one write of the touched batches."""
+    """Missing summaries filled in through the store; only the changes are written."""
     store = NewsStore(spark, scratch_path(spark, "store"))
     store.append(*jobs.ARCHIVE, fx.history(spark, folder), "archive")
     jobs.backfill(store, AS_OF)
@@ -531,7 +594,7 @@ def collect_slice(spark, folder):
     text = tx.clean_text(F.col("news"), F.col("agency"))
     rows = fx.news(docs).drop("lang").withColumn("news", text)
     seen = ids.known_ids(*[fx.quarter(_news(spark, folder), number) for number in (1, 2, 3)])
-    checked = jobs.staged_news(jobs.distinct_messages(rows), seen)
+    checked = jobs.staged_news(jobs.distinct_messages(rows), ids.words(seen))
     return checked.groupBy("agency").agg(
         F.count_if(F.size("errors") == 0).alias("news_amount"), F.count_if(F.size("errors") > 0).alias("rejects")
     )

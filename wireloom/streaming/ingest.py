@@ -16,6 +16,17 @@ def run_name(stream: str, epoch: int) -> str:
     return f"{stream}-{epoch:010d}"
 
 
+def _drained(stream: DataFrame, collect: Callable[[DataFrame, str], object], checkpoint: str, name: str, on_batch) -> StreamingQuery:
+    """Start a query that collects every micro-batch under its own name, and ends with the input."""
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        counts = collect(batch, run_name(name, epoch))
+        if on_batch is not None:
+            on_batch(run_name(name, epoch), counts)
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).queryName(name).trigger(availableNow=True).start()
+
+
 def ingest(
     messages: DataFrame,
     store: NewsStore,
@@ -31,17 +42,16 @@ def ingest(
     state grows with the stream.  A message is taken however late it is, as long
     as its id is unseen.
     """
+    return _drained(messages, lambda batch, name: jobs.collect(store, batch, group, name, agencies), checkpoint, stream, on_batch)
 
-    def collect(batch: DataFrame, epoch: int) -> None:
-        name = run_name(stream, epoch)
-        counts = jobs.collect(store, batch, group, name, agencies)
-        if on_batch is not None:
-            on_batch(name, counts)
-
-    return (
-        messages.writeStream.foreachBatch(collect)
-        .option("checkpointLocation", checkpoint)
-        .queryName(stream)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+def ingest_pages(
+    pages: DataFrame,
+    store: NewsStore,
+    agencies: DataFrame,
+    checkpoint: str,
+    stream: str = "pages",
+    on_batch: Callable[[str, dict[str, tuple[int, int]]], None] | None = None,
+) -> StreamingQuery:
+    """The same for a stream of channel pages (channel, html), for all groups."""
+    return _drained(pages, lambda batch, name: jobs.collect_pages(store, batch, agencies, name), checkpoint, stream, on_batch)
