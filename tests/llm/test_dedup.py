@@ -128,3 +128,24 @@ def test_estimate_is_close(n, share):
     both = int(n * share)
     real = both / (2 * n - both)
     assert abs((m.min_max(x) == m.min_max(y)).mean() - real) < 0.2
+
+
+def test_one_of_each_by_row(spark):
+    rng = random.Random(5)
+    a, b, c = (" ".join(rng.choices([f"w{i}" for i in range(500)], k=80)) for _ in range(3))
+    rows = [(1, a), (1, a), (None, a), (None, a), (7, a), (7, b), (7, c), (None, c), (None, c + " more"), (8, c), (9, None), (9, ""), (None, " ")]
+    frame = spark.createDataFrame([(i, t, j, "x") for j, (i, t) in enumerate(rows)], "doc_id long, text string, row long, kept string").repartition(3)
+    got = m.one_of_each(frame)
+    assert got.columns == frame.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted([(1, a), (7, b), (7, c), (9, None), (9, ""), (None, " ")], key=repr)
+    assert m.one_of_each(frame.limit(0)).collect() == []
+    texts = {}
+    for n in range(60):
+        words = a.split()
+        words[n % 80] = "changed"
+        texts[n] = " ".join(words) if n % 3 else " ".join(rng.choices(words, k=80))
+    rows = [(n if n % 7 else None, t) for n, t in texts.items()]
+    got = m.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    named = {n if n % 7 else 1000 + n: t for n, t in texts.items()}  # null ids come last
+    root = brute(sorted(named.items()))
+    assert sorted(r["text"] for r in got) == sorted(t for n, t in named.items() if root[n] == n)

@@ -66,3 +66,11 @@ def test_stages_keep_odd_rows(spark):
             assert sorted(r["doc_id"] or 0 for r in left) == [0, 1, 1]
     assert corpus_pipeline.pack(spark, docs, "").count() > len(rows)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "near-duplicates", "secrets", "packing"]
+
+
+def test_one_row_of_each_group(spark):
+    good = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, good), (1, good), (None, good), (None, good), (7, good), (7, other)]
+    docs = spark.createDataFrame([(*r, "en", "a", 1, True) for r in rows], DOCS)
+    assert sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [(1, good), (7, other)]

@@ -25,8 +25,10 @@ import hashlib
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wireloom.llm.components import connected_components
+from wireloom.llm.ordering import numbered
 from wireloom.llm.storage import discard, stored
 
 SHINGLE = 5
@@ -83,6 +85,14 @@ def band_names(values: np.ndarray) -> np.ndarray:
     return mixed(total).view(np.int64)
 
 
+def signed_text(text: bytes | None) -> tuple[int, bytes, np.ndarray]:
+    """Number of shingles, digest of the word sequence, and names of bands (none without words) of a text."""
+    words = (text or b"").lower().split()
+    names = shingle_set(words)
+    bands = band_names(min_max(names)) if len(names) else np.zeros(0, np.int64)
+    return len(names), hashlib.blake2b(b" ".join(words), digest_size=16).digest(), bands
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, a digest of the word sequence, and the names of bands (none for documents without words)."""
 
@@ -90,19 +100,34 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         import pyarrow as pa
 
         for batch in batches:
-            sizes, digests, bands = [], [], []
-            for text in batch.column("text"):
-                words = (text.as_py() or b"").lower().split()
-                names = shingle_set(words)
-                sizes.append(len(names))
-                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
-                bands.append(band_names(min_max(names)) if len(names) else np.zeros(0, np.int64))
-            arrays = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            made = [signed_text(text.as_py()) for text in batch.column("text")]
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            arrays = [pa.array([own[i] for own in made], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", "n_shingles", "digest", "bands"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, SIGNATURE)
 
 
+def signed_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows of a table as ``kept`` (a struct of all columns), with a number ``row`` of their own, n_shingles, digest and bands."""
+    told = docs.select(F.struct(*docs.columns).alias("kept"), F.col(text_col).cast("binary").alias("text"))
+    schema = T.StructType([told.schema["kept"], *T._parse_datatype_string("row long, n_shingles long, digest binary, bands array<long>")])
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            made = [(row + i, *signed_text(text.as_py())) for i, text in enumerate(batch.column("text"))]
+            row += len(made)
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            arrays = [pa.array([own[i] for own in made], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("kept"), *arrays], ["kept", "row", "n_shingles", "digest", "bands"])
+
+    return told.mapInArrow(run, schema)
+
+
 def _sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs (a, b) with the shingle sets of both (left, right); texts move once for each end of a pair."""
 
@@ -236,3 +261,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     component = F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component_id")), F.col("doc_id"))
     rows = rows.select("doc_id", "n_shingles", component.alias("component_id"))
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+
+
+def one_of_each(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near-duplicates, with all columns of the table, whatever its ids are.
+
+    Rows are told apart by the row, not by their id: of a group stays a row with the least id (null ids last), of several
+    texts with that id one, and of equal rows one.  Rows without words are in no group and stay.
+    """
+    signed = stored(signed_rows(docs, text_col), "signed-rows")
+    place = F.struct(F.col(f"kept.{id_col}").isNull().alias("unnamed"), F.col(f"kept.{id_col}").alias("id"), "row")
+    classes = signed.filter("n_shingles > 0").groupBy("digest").agg(F.min(place).alias("first"))
+    classes = classes.select("first.unnamed", "first.id", F.col("first.row").alias("first"))
+    # Numbers in the order of ids stand for classes, so no two texts share one.
+    order = numbered(classes, ["unnamed", "id", "first"], ["first"])
+    firsts = stored(signed.join(order, F.col("row") == F.col("first")).select(F.col("place").alias("doc_id"), "row", "n_shingles", "digest", "bands", F.col(f"kept.{text_col}").alias("text")), "firsts")
+    found = components(firsts, firsts, percent, "doc_id", "text")
+    stays = firsts.join(found, F.col("digest") == F.col("own")).filter("doc_id = component_id").select(F.col("row").alias("stays"))
+    kept = signed.join(stays, F.col("row") == F.col("stays"), "left_semi").unionByName(signed.filter("n_shingles = 0"))
+    return kept.select("kept.*")
