@@ -22,12 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id.
-
-    Of rows with one id, all stay if it is the least of its group; documents without words have passed no stage before.
-    """
-    dropped = minmax_dedup.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("gone"), "left_anti").select(COLUMNS)
+    """One row of each group of near-duplicates: one with the least id, null ids last; rows without words stay."""
+    return minmax_dedup.one_of_each(docs.select(COLUMNS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
