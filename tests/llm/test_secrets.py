@@ -130,3 +130,56 @@ def test_training_on_no_rows(spark):
 def test_no_python(spark, model):
     text = plan(m.secret_scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), model))
     assert "Python" not in text and "Arrow" not in text
+
+
+ORDINARY = [
+    "123e4567-e89b-12d3-a456-426614174000", "4111-1111-1111-1111-1111", "+1-743-555-3824-0049-30-1234567", "09876543210987654321", "order_id=0000123456789012345",
+    "2023-11-14_2023-11-15_report", "HTTP_X_FORWARDED_FOR_HEADER_VALUE", "getElementByIdAndClassNameOrNull", "org/apache/maven/plugins/maven-core/3/maven-core-20230315-123456-1",
+    "AbstractSingletonProxyFactoryBean2Test", "MAX_NUMBER_OF_CONNECTIONS_PER_HOST_V2", "utf8_general_ci_0900_ai_ci_table", "com/example/service/UserRepositoryImplTest",
+    "IPv6AddressPrefixLength64Bits", "20231114T123456Z_backup_full_0001", "--------------------------------", "==========================",
+]
+
+
+def test_ordinary_tokens_stay(spark, model):
+    texts = [f"é {token}, {token}." for token in ORDINARY]
+    assert [token for token, text in zip(ORDINARY, texts) if text not in {r["text"] for r in m.redacted(rows_of(spark, texts), model).collect()}] == []
+
+
+def shapes(rng, words):
+    """Made ordinary tokens by shape."""
+    one, digit = lambda: rng.choice(words), lambda n: "".join(rng.choices(string.digits, k=n))
+    hexed = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    return {
+        "uuid": "-".join(hexed(n) for n in (8, 4, 4, 4, 12)),
+        "dates": f"{rng.randint(1990, 2030)}-{digit(2)}-{digit(2)}_{rng.randint(1990, 2030)}-{digit(2)}-{digit(2)}",
+        "counter": digit(rng.randint(20, 30)),
+        "groups": "-".join(digit(4) for _ in range(5)),
+        "phone": f"+{digit(2)}-{digit(3)}-{digit(3)}-{digit(4)}-{digit(4)}",
+        "assigned": f"{one()}_id={digit(18)}",
+        "camel": "".join(one().title() for _ in range(5)),
+        "capitals": "_".join(one().upper() for _ in range(5)),
+        "versioned": f"{one()}-{one()}-{one()}-{digit(1)}-{digit(2)}-{digit(8)}-{digit(6)}",
+        "numbered": f"{one()}{digit(2)}_{one()}{digit(3)}_{one()}_{digit(4)}",
+    }
+
+
+def test_held_out_shapes(spark, model):
+    rng = random.Random(41)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = [r[0].lower() for r in docs.selectExpr("explode(split(text, '[^A-Za-z]+')) w").distinct().filter("length(w) between 3 and 10").collect()]
+    made = [(name, token) for _ in range(200) for name, token in shapes(rng, words).items() if len(token) >= m.LEAST]
+    letters = string.ascii_letters + string.digits
+    keys = {f"key of {n}": ["".join(rng.choices(letters, k=n)) for _ in range(200)] for n in (20, 24, 32, 40)}
+    keys["hexadecimal"] = ["".join(rng.choices("0123456789abcdef", k=24)) for _ in range(200)]
+    made += [(name, token) for name, own in keys.items() for token in own]
+    got = {r["doc_id"]: bool(r["spans"]) for r in m.secret_scan(rows_of(spark, [f"a {token} b" for _, token in made]), model).collect()}
+    for name in {name for name, _ in made}:
+        own = [got[i] for i, (other, _) in enumerate(made) if other == name]
+        share = sum(own) / len(own)
+        assert share >= 0.95 if name in keys else share <= 0.01, (name, share)
+
+
+def test_clashing_names(spark, model):
+    rows = spark.createDataFrame([(1, "password=abcdefghij", 2, 3, "s", 4, 5)], "doc_id long, text string, _base int, _tokens int, _spans string, base int, spans int")
+    assert [tuple(r) for r in m.redacted(rows, model).collect()] == [(1, "[SECRET]", 2, 3, "s", 4, 5)]
+    assert m.secret_scan(rows, model).first()["spans"] == "assign:0:19"

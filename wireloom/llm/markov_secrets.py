@@ -4,8 +4,13 @@ Three kinds have fixed forms (assigned secrets, access keys, long hexadecimal ru
 fourth kind, ``markov``, is any token of ``LEAST`` characters or more in what is left whose log-likelihood ratio a
 character beats the threshold, or else each stretch of ``LEAST`` characters or more of it that does: transition
 probabilities of one model come from labelled random strings, those of the other from labelled ordinary identifiers.
-Both models are counts of character pairs with add-one smoothing, taken in one aggregate each; at most 128 x 128 pairs
-reach the driver, whatever the size of the samples.
+Both models are counts of character pairs, taken in one aggregate each; at most 128 x 128 pairs reach the driver, whatever
+the size of the samples.  A step from one character to the next has two parts: from one class (small letters, capitals,
+digits, separators) to the next, and, among letters, from one letter to the next in either case.  Digits are a class
+without inner order, so a run of them speaks for ordinary identifiers however its digits follow each other.
+
+Identifiers come in shapes that words have in names: as they stand, capitalised, in capitals, joined by case or underscores, with
+numbers, dates and counters.  UUIDs are random by design and no secrets; they are cut out like the fixed forms.
 
 All of it is built-in functions: matches and the gaps between them give positions in code points.  A text without a
 match of a kind costs one search and no more.
@@ -17,10 +22,13 @@ empty result.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wireloom.llm.storage import stored
+
 # Fixed forms; a match shorter than its least length is dropped, not shortened.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -31,13 +39,17 @@ KINDS = ["assign", "access", "hex", "markov"]
 TOKEN = "[A-Za-z0-9+/_=-]"
 LEAST = 20
 #: Log-likelihood ratio a character, in favour of random strings, from which a token is a secret.
-THRESHOLD = 1.0
+THRESHOLD = 0.9
 #: Characters between the words of a path or name; inside a stretch they speak for neither model.
 SEPARATORS = "/=_-+"
 #: Most that one character of a stretch counts for random strings: a date in a path is no secret.
 CLIP = 5.0
 #: Words at the edge of a stretch are left out if the ratios beyond the threshold of their characters add up to less than minus this.
 EDGE = 4.0
+#: Cut out before tokens are judged: random by design, but no secret.
+UUID = "(?<![0-9A-Za-z])[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}(?![0-9A-Za-z])"
+#: Part of the probability of a letter that does not depend on the one before: unknown words are no random strings.
+ANY_LETTER = 0.25
 #: Random strings that are made for training, half of them over letters and digits, half in hexadecimal.
 RANDOM_STRINGS = 20_000
 #: Ordinary identifiers that are taken for training at most: distinct words of as many documents.
@@ -58,18 +70,27 @@ def random_strings(spark: SparkSession, many: int = RANDOM_STRINGS) -> DataFrame
 
 
 def identifiers(docs: DataFrame, text_col: str = "text", most: int = IDENTIFIER_DOCUMENTS) -> DataFrame:
-    """Labelled ordinary identifiers (``token``): distinct words of a bounded sample of documents, alone and joined by underscores.
+    """Labelled ordinary identifiers (``token``): distinct words of a bounded sample of documents, in the shapes of names.
 
     The sample holds the texts with the least hashes (copies of a text count once towards the bound), so it does not
-    depend on how the table is split.
+    depend on how the table is split.  It is stored, so that whole texts are read twice and no more.
     """
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
     last = texts.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]  # hashes alone meet in one task
-    sample = texts.filter(F.col("h") <= F.lit(last).cast("bigint"))
-    words = sample.select(F.explode(F.split("t", r"[^A-Za-z0-9_]+")).alias("token")).filter("token rlike '^[A-Za-z_]+$'").distinct()
-    joined = words.select(F.concat("token", F.lit("_"), F.reverse("token"), F.lit("_"), F.lower("token")).alias("token"))
-    named = words.select(F.concat(F.initcap("token"), F.initcap(F.reverse("token"))).alias("token"))
-    return words.unionByName(joined).unionByName(named)
+    sample = texts.filter(F.col("h") <= F.lit(last).cast("bigint")).dropDuplicates(["h"])
+    words = sample.select(F.explode(F.split("t", r"[^A-Za-z]+")).alias("w")).filter("length(w) > 1").distinct()
+    words = stored(words.select(F.lower("w").alias("w")).distinct().withColumn("n", F.pmod(F.xxhash64("w"), F.lit(1_000_000))), "words")
+    w, title, n = F.col("w"), F.initcap("w"), F.col("n").cast("string")
+    day = F.date_add(F.lit("1990-01-01").cast("date"), (F.col("n") % 15_000).cast("int"))
+    shapes = [
+        w, w, title, F.upper("w"),
+        F.concat(w, title, title), F.concat(title, F.upper(F.substring("w", 1, 2)), title),
+        F.concat_ws("_", w, w, w), F.concat_ws("-", w, w, title), F.concat_ws("/", w, w), F.concat_ws("_", F.upper("w"), F.upper("w")),
+        F.concat_ws("_", w, n), F.concat(w, F.substring(n, 1, 2)), F.concat_ws("=", w, F.concat(n, n, n)), F.concat_ws("-", title, F.substring(n, 1, 1), F.substring(n, 2, 1)),
+        F.concat_ws("_", F.date_format(day, "yyyy-MM-dd"), w), F.concat_ws("-", w, F.date_format(day, "yyyyMMdd"), n), F.date_format(day, "yyyy/MM/dd"),
+        F.concat_ws("-", n, n, n), F.concat(n, n, n, n),
+    ]
+    return words.select(F.explode(F.array(*shapes)).alias("token"))
 
 
 def _code(text: Column) -> Column:
@@ -85,18 +106,44 @@ def pair_counts(tokens: DataFrame) -> dict[tuple[int, int], int]:
     return {(row["a"], row["b"]): row["n"] for row in counts.collect()}  # at most SYMBOLS * SYMBOLS rows
 
 
-def log_probabilities(counts: dict[tuple[int, int], int], letters: int) -> list[list[float]]:
-    """Add-one smoothed log probabilities of each character after each other one."""
-    totals = [0] * SYMBOLS
-    for (a, _), n in counts.items():
-        totals[a] += n
-    return [[math.log((counts.get((a, b), 0) + 1) / (totals[a] + letters)) for b in range(SYMBOLS)] for a in range(SYMBOLS)]
+def _class(code: int) -> str:
+    """The class of a character; what follows a separator begins anew."""
+    c = chr(code)
+    return "small" if c.islower() else "capital" if c.isupper() else "digit" if c.isdigit() else "start"
+
+
+def log_probabilities(counts: dict[tuple[int, int], int]) -> list[list[float]]:
+    """Log probabilities of each character after each other one: of its class after that class, and of its letter after that letter."""
+    classes, letters = Counter(), Counter()
+    after_class, after_letter = Counter(), Counter()
+
+    def letter(code: int) -> str:
+        return chr(code).lower() if _class(code) in ("small", "capital") else ""
+
+    for (a, b), n in counts.items():
+        if _class(b) == "start":
+            continue
+        classes[_class(a), _class(b)] += n
+        after_class[_class(a)] += n
+        if letter(b):
+            letters[letter(a), letter(b)] += n
+            after_letter[letter(a)] += n
+
+    def step(a: int, b: int) -> float:
+        if _class(b) == "start":  # separators speak for neither model
+            return 0.0
+        total = math.log((classes[_class(a), _class(b)] + 1) / (after_class[_class(a)] + 3))
+        if letter(b):
+            own = (letters[letter(a), letter(b)] + 1) / (after_letter[letter(a)] + 26)
+            total += math.log((1 - ANY_LETTER) * own + ANY_LETTER / 26)
+        return total
+
+    return [[step(a, b) for b in range(SYMBOLS)] for a in range(SYMBOLS)]
 
 
 def train(random: DataFrame, ordinary: DataFrame) -> list[float]:
     """Log-likelihood ratio of each pair of characters, row by row."""
-    letters = 66  # characters of TOKEN
-    yes, no = (log_probabilities(pair_counts(tokens), letters) for tokens in (random, ordinary))
+    yes, no = (log_probabilities(pair_counts(tokens)) for tokens in (random, ordinary))
     return [round(y - n, 4) for ys, ns in zip(yes, no, strict=True) for y, n in zip(ys, ns, strict=True)]
 
 
@@ -258,8 +305,16 @@ def _where(condition: Column, found: Column) -> Column:
     return F.when(condition, found).otherwise(_none())
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """A name that no column of the table has."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
 def with_spans(docs: DataFrame, model: list[float], text_col: str = "text", threshold: float = THRESHOLD, out: str = "spans") -> DataFrame:
     """The table with an array of spans (start, end, kind, match), ordered by start and kind."""
+    base_name, tokens_name = _free(docs, "base"), _free(docs, "tokens")
     text = F.coalesce(F.col(text_col), F.lit(""))
     # The searches that decide whether a text needs positions at all.
     has_assign = text.rlike(ASSIGN)
@@ -273,12 +328,13 @@ def with_spans(docs: DataFrame, model: list[float], text_col: str = "text", thre
         _where(has_access, spans(text, ACCESS, 1, lambda m: F.length(m) >= LEAST_ACCESS)),
         _where(has_hex, spans(text, HEX_LONG, 2, lambda m: F.length(m) >= LEAST_HEX)),
     )
-    judged = docs.withColumn("_base", F.array_sort(base))
-    left = F.when(F.size("_base") > 0, blanked(text, F.col("_base"))).otherwise(text)
-    judged = judged.withColumn("_tokens", _where(has_token, _let(left, lambda t: spans(t, TOKEN_LONG, 3, lambda m: F.length(m) >= LEAST))))
+    judged = docs.withColumn(base_name, F.array_sort(base))
+    left = F.when(F.size(base_name) > 0, blanked(text, F.col(base_name))).otherwise(text)
+    plain = F.when(text.rlike(UUID), F.regexp_replace(left, UUID, " " * 36)).otherwise(left)  # a UUID has 36 characters, so places stay
+    judged = judged.withColumn(tokens_name, _where(has_token, _let(plain, lambda t: spans(t, TOKEN_LONG, 3, lambda m: F.length(m) >= LEAST))))
     table = model_array(model)
-    added = F.when(F.size("_tokens") > 0, F.flatten(F.transform("_tokens", lambda t: likely(t, table, threshold)))).otherwise(_none())
-    return judged.withColumn(out, F.array_sort(F.concat("_base", added))).drop("_base", "_tokens")
+    added = F.when(F.size(tokens_name) > 0, F.flatten(F.transform(tokens_name, lambda t: likely(t, table, threshold)))).otherwise(_none())
+    return judged.withColumn(out, F.array_sort(F.concat(base_name, added))).drop(base_name, tokens_name)
 
 
 def written(spans_col: Column) -> Column:
@@ -302,9 +358,9 @@ def secret_scan(docs: DataFrame, model: list[float] | None = None, threshold: fl
 def redacted(docs: DataFrame, model: list[float] | None = None, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The table with every span of its texts replaced by a mark; overlapping spans are replaced as one."""
     model = model or train(random_strings(docs.sparkSession), identifiers(docs, text_col))
-    text = F.col(text_col)
+    text, own = F.col(text_col), _free(docs, "spans")
     done = F.aggregate(
-        "_spans",
+        own,
         F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
         lambda acc, s: F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
@@ -314,4 +370,4 @@ def redacted(docs: DataFrame, model: list[float] | None = None, text_col: str =
         ),
     )
     clean = F.concat(F.array_join(done["out"], ""), text.substr(done["at"] + 1, F.length(text)))
-    return with_spans(docs, model, text_col, out="_spans").withColumn(text_col, F.when(F.size("_spans") > 0, clean).otherwise(text)).drop("_spans")
+    return with_spans(docs, model, text_col, out=own).withColumn(text_col, F.when(F.size(own) > 0, clean).otherwise(text)).drop(own)
