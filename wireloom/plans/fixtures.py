@@ -35,6 +35,25 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "pages")
 
 
+# Named references as pages write them, by page_id % 6: with and without semicolon, with a rest that is no name, unknown.
+NAMED = ("&eacute;", "&laquo", "&hellip;", "&notit;", "&bogus;", "&Ouml;&amp;lt;")
+
+
+def referenced(rows: DataFrame) -> DataFrame:
+    """Pages with a line in front that holds character references of every kind, bold with attributes, and links in all quotes."""
+    n = F.col("page_id")
+    number = F.concat(F.lit("&#"), n + 161, F.lit("; &#x"), F.hex(n + 1024), F.lit("; &#150;&#0; "))
+    target = F.concat(F.lit("https://e.org/?p=1&amp;copy="), n, F.lit("&copy=2"))
+    anchor = (
+        F.when(n % 4 == 1, F.concat(F.lit("<a name=top><A class=k href='"), target, F.lit("'>")))
+        .when(n % 4 == 2, F.concat(F.lit("<a rel=x HREF="), target, F.lit(">")))
+        .when(n % 4 == 3, F.concat(F.lit('<a href = "'), target, F.lit('">')))
+        .otherwise("")
+    )
+    line = F.concat(anchor, F.lit('<B class="k">'), number, F.lit("</B><i>"), pick(n, NAMED), F.lit("</i></a><p>"))
+    return rows.withColumn("html", F.concat(line, "html"))
+
+
 def minute_of(number: Column) -> Column:
     """A time with ties: one of 500 minutes."""
     start = F.lit("2023-01-01").cast("timestamp_ntz")

@@ -256,17 +256,17 @@ def html_blocks(spark, folder):
 
 @query
 def html_first_link(spark, folder):
-    return fx.pages(spark, folder).select("page_id", markup.first_link(F.col("html")).alias("href"))
+    return fx.referenced(fx.pages(spark, folder)).select("page_id", markup.first_link(F.col("html")).alias("href"))
 
 
 @query
 def html_text(spark, folder):
-    return fx.pages(spark, folder).select("page_id", markup.visible_text(F.col("html")).alias("text"))
+    return fx.referenced(fx.pages(spark, folder)).select("page_id", markup.visible_text(F.col("html")).alias("text"))
 
 
 @query
 def html_bold(spark, folder):
-    return fx.pages(spark, folder).select(
+    return fx.referenced(fx.pages(spark, folder)).select(
         "page_id", F.array_join(markup.bold_fragments(F.col("html")), "|").alias("bold")
     )
 
@@ -275,7 +275,7 @@ def html_bold(spark, folder):
 def headline_split(spark, folder):
     title = tx.join_fragments(markup.bold_fragments(F.col("html")))
     text = markup.visible_text(F.col("html"))
-    return fx.pages(spark, folder).select("page_id", tx.split_headline(text, title).alias("news"))
+    return fx.referenced(fx.pages(spark, folder)).select("page_id", tx.split_headline(text, title).alias("news"))
 
 
 @query
