@@ -1,4 +1,6 @@
 import math
+import random
+import re
 from collections import Counter, defaultdict
 
 from helpers import NEWS, column, news_row, plan
@@ -18,9 +20,39 @@ def test_summary_and_headline(spark):
     assert column(spark, [text, "", None, "no stop"], en.summarize(F.col("x"))) == [
         "One here. Two! Three?", "", None, "no stop",
     ]
+    central = "Nothing in common. The cat sat here. Alone. A cat sat there. Where the cat was. Odd one out."
+    assert column(spark, [central], en.summarize(F.col("x"))) == ["The cat sat here. A cat sat there. Where the cat was."]
     assert column(spark, [text, "", None, "End..."], en.headline(F.col("x"))) == ["One here", "", None, "End"]
     long = " ".join(["w"] * 700) + ". Second."
-    assert column(spark, [long], en.summarize(F.col("x"))) == [" ".join(["w"] * 600)]
+    assert column(spark, [long], en.summarize(F.col("x"))) == ["w w w w"]
+
+
+def brute_rank(sentences, count):
+    words = [set(re.findall(r"[^\s.,;:!?…\"()]+", s)) for s in sentences]
+    shared = [[0 if i == j else len(a & b) for j, b in enumerate(words)] for i, a in enumerate(words)]
+    rank = [1000] * len(words)
+    for _ in range(3):
+        rank = [sum(w * r for w, r in zip(row, rank)) for row in shared]
+        rank = [r * 1000 // (max(rank) or 1) for r in rank]
+    return sorted(sorted(range(len(rank)), key=lambda i: (-rank[i], i))[:count])
+
+
+def test_ranks_equal_power_iterations_over_the_matrix():
+    rng = random.Random(2)
+    for _ in range(200):
+        sentences = [" ".join(rng.choices(["a", "b", "cat", "dog", "e,", "f"], k=rng.randint(0, 6))) + "." for _ in range(rng.randint(1, 20))]
+        assert en.ranked_sentences(sentences, 3) == brute_rank(sentences, 3)
+
+
+def test_no_run_of_four_words_twice(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(["a", "b", "c"], k=rng.randint(0, 60))) for _ in range(200)]
+    for text, got in zip(texts, column(spark, texts, en.without_repeats(F.col("x")))):
+        words, out = text.split(), got.split()
+        runs = [tuple(out[i : i + 4]) for i in range(len(out) - 3)]
+        assert len(set(runs)) == len(runs) and words[: len(out)] == out
+        if len(out) < len(words):
+            assert tuple(words[len(out) - 3 : len(out) + 1]) in runs
 
 
 def test_batch_inference_keeps_order_and_errors(spark):
@@ -98,7 +130,9 @@ def test_classifier_with_another_estimator(spark):
     assert {row["news"]: row["category"] for row in got.collect()} == {"goal": "sports", "rate": "economy"}
 
 
-def test_defaults_need_no_python(spark):
+def test_defaults_send_sentences_only(spark):
     frame = spark.createDataFrame([news_row("a", 1)], NEWS)
-    text = plan(frame.select(en.summarize(F.col("news")), en.headline(F.col("news"))))
+    text = plan(frame.select(en.headline(F.col("news"))))
     assert "EvalPython" not in text and "MapIn" not in text
+    text = plan(frame.select(en.summarize(F.col("news"))))
+    assert text.count("\n+- ArrowEvalPython") + text.count("- ArrowEvalPython") >= 1 and "BatchEvalPython" not in text

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -18,6 +20,12 @@ from wireloom.operators.compute import with_value
 from wireloom.operators.joins import lookup_join
 
 SUMMARY_SENTENCES = 3
+#: Power iterations over the graph of sentences, and the greatest rank after each.
+RANKING_ROUNDS, RANK_SCALE = 3, 1000
+#: Words of sentences, by which they are alike.
+WORD = re.compile(r"[^\s.,;:!?…\"()]+")
+#: Runs of so many words occur once in a headline or summary.
+NO_REPEAT_WORDS = 4
 
 MODEL_ERRORS = ("title_error", "resume_error")
 
@@ -118,22 +126,73 @@ def window_sentences(text: Column, window: int = fv.MODEL_INPUT_TOKENS) -> Colum
     return tx.sentences(tx.truncate_tokens(text, window))
 
 
+def ranked_sentences(sentences: Sequence[str], count: int, rounds: int = RANKING_ROUNDS) -> list[int]:
+    """Places of the sentences that share most words with others that do, in text order; earlier ones on ties.
+
+    Sentences are nodes of a graph, joined by as many edges as they have distinct words in common.  A few power iterations
+    in whole numbers give every sentence the sum of its neighbours' ranks; each costs as much as there are words.
+    """
+    words = [set(WORD.findall(sentence)) for sentence in sentences]
+    rank = [RANK_SCALE] * len(words)
+    for _ in range(rounds):
+        held: Counter[str] = Counter()
+        for own, value in zip(words, rank):
+            for word in own:
+                held[word] += value
+        rank = [sum(held[word] for word in own) - len(own) * value for own, value in zip(words, rank)]
+        most = max(rank, default=0) or 1
+        rank = [value * RANK_SCALE // most for value in rank]
+    return sorted(sorted(range(len(rank)), key=lambda i: (-rank[i], i))[:count])
+
+
+@F.pandas_udf(T.StringType())
+def _central(sentences: pd.Series, count: pd.Series) -> pd.Series:
+    """The central sentences of each text, joined; null for null."""
+    made = []
+    for own, most in zip(sentences, count):
+        made.append(None if own is None else " ".join(own[i] for i in ranked_sentences(list(own), int(most))))
+    return pd.Series(made, dtype=object)
+
+
 def _summary_of(sentences: Column, count: int = SUMMARY_SENTENCES) -> Column:
-    return F.array_join(F.slice(F.array_distinct(sentences), 1, count), " ")
+    """The most central sentences without repeated n-grams; few sentences are taken as they are, without leaving the JVM."""
+    distinct = F.array_distinct(sentences)
+    many = F.size(distinct) > count
+    chosen = F.when(many, _central(F.when(many, distinct), F.lit(count))).otherwise(F.array_join(distinct, " "))
+    return without_repeats(chosen)
 
 
 def _headline_of(sentences: Column) -> Column:
     first = F.coalesce(F.get(sentences, 0), F.lit(""))
-    return F.when(sentences.isNotNull(), F.rtrim(first, F.lit(".")))
+    return F.when(sentences.isNotNull(), without_repeats(F.rtrim(first, F.lit("."))))
+
+
+def without_repeats(text: Column, size: int = NO_REPEAT_WORDS) -> Column:
+    """A text that ends before the word which would complete a run of ``size`` words for the second time."""
+
+    def cut(words: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(words) - (size - 1)), lambda i: F.array_join(F.slice(words, i, size), " "))
+
+        def at_first(found: Column) -> Column:
+            again = F.filter(F.sequence(F.lit(1), F.size(found)), lambda i: F.array_position(found, F.element_at(found, i)) < i)
+            return F.array_join(F.slice(words, 1, F.get(again, 0) + (size - 2)), " ")
+
+        return F.when(F.size(F.array_distinct(runs)) < F.size(runs), tx.bind(runs, at_first))
+
+    words = F.filter(F.split(text, r"\s+"), lambda word: word != "")
+    return F.coalesce(F.when(F.size(words) > size, tx.bind(words, cut)), text)
 
 
 def summarize(text: Column, sentences: int = SUMMARY_SENTENCES, window: int = fv.MODEL_INPUT_TOKENS) -> Column:
-    """Default summary: the first distinct sentences within the model's input window."""
+    """Default summary: the most central sentences within the model's input window, in text order, without repeated n-grams.
+
+    Only the sentences of the window reach Python, so what travels is bounded however long a text is.
+    """
     return _summary_of(window_sentences(text, window), sentences)
 
 
 def headline(text: Column, window: int = fv.MODEL_INPUT_TOKENS) -> Column:
-    """Default headline: the first sentence within the input window, without its full stop."""
+    """Default headline: the first sentence within the input window, without its full stop and without repeated n-grams."""
     return tx.bind(window_sentences(text, window), _headline_of)
 
 

@@ -101,15 +101,34 @@ def sentences_of(text: str) -> str:
     return f"list_filter(string_split({marked}, chr(1)), lambda s: s <> '')"
 
 
+def bound(value: str, name: str, body: str) -> str:
+    """``body`` with a name for a value."""
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
+def cut_repeats(text: str) -> str:
+    """Ends before the word that completes a run of four words for the second time."""
+    again = "list_filter(range(1, len(runs) + 1), lambda i: list_position(runs, runs[i]) < i)"
+    ended = f"CASE WHEN len(list_distinct(runs)) < len(runs) THEN array_to_string(words[1:({again})[1] + 2], ' ') ELSE whole END"
+    runs = bound("list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))", "runs", ended)
+    return bound(text, "whole", bound("list_filter(string_split_regex(whole, '\\s+'), lambda w: w <> '')", "words", runs))
+
+
 def summary(text: str) -> str:
-    return (
-        f"array_to_string(list_filter({sentences_of(text)}, "
-        f"lambda s, i: list_position({sentences_of(text)}, s) = i)[1:3], ' ')"
-    )
+    distinct = f"list_filter({sentences_of(text)}, lambda s, i: list_position({sentences_of(text)}, s) = i)"
+    words = "list_transform(ss, lambda s: list_distinct(regexp_extract_all(s, '[^\\s.,;:!?…\"()]+')))"
+    rank = "list_transform(ss, lambda s: 1000::bigint)"
+    for name in ("r1", "r2", "r3"):
+        shared = f"CASE WHEN i = j THEN 0 ELSE len(list_intersect(w, v)) * {name}[j] END"
+        raised = f"list_transform(ws, lambda w, i: list_sum(list_transform(ws, lambda v, j: {shared}))::bigint)"
+        rank = bound(rank, name, bound(raised, f"{name}x", f"list_transform({name}x, lambda x: x * 1000 // greatest(list_max({name}x), 1))"))
+    first = "list_sort(list_transform(list_sort(list_transform(rank, lambda x, i: (1000 - x) * 1000 + i))[1:3], lambda x: x % 1000))"
+    chosen = bound(words, "ws", bound(rank, "rank", f"array_to_string(list_transform({first}, lambda i: ss[i]), ' ')"))
+    return bound(distinct, "ss", f"CASE WHEN len(ss) <= 3 THEN {cut_repeats("array_to_string(ss, ' ')")} ELSE {cut_repeats(chosen)} END")
 
 
 def title(text: str) -> str:
-    return f"rtrim(coalesce(({sentences_of(text)})[1], ''), '.')"
+    return cut_repeats(f"rtrim(coalesce(({sentences_of(text)})[1], ''), '.')")
 
 
 # --- views -----------------------------------------------------------------
