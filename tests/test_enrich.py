@@ -136,3 +136,14 @@ def test_defaults_send_sentences_only(spark):
     assert "EvalPython" not in text and "MapIn" not in text
     text = plan(frame.select(en.summarize(F.col("news"))))
     assert text.count("\n+- ArrowEvalPython") + text.count("- ArrowEvalPython") >= 1 and "BatchEvalPython" not in text
+
+
+def test_labels_do_not_depend_on_what_is_broadcast(spark):
+    rng = random.Random(6)
+    train = [(i, " ".join(rng.choices([f"{label}{n}" for n in range(40)] + ["the", "of"] * 20, k=20)), label) for i, label in enumerate("abc" * 20)]
+    train += [(100, None, "a"), (101, "", "b"), (102, "x", None), (103, "", "d")]
+    rows = spark.createDataFrame(train, "doc_id int, news string, label string")
+    found = [sorted(map(tuple, en.bayes_labels(rows, rows, frequent=most).collect())) for most in (1, 7, 100_000)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(train)
+    assert sum(dict(found[0])[i] == label for i, _, label in train[:60]) >= 58
+    assert en.bayes_labels(rows.limit(0), rows).filter("category is not null").count() == 0

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from wireloom import fixed_values as fv
 from wireloom.functions import text as tx
 from wireloom.operators.compute import with_value
-from wireloom.operators.joins import lookup_join
+from wireloom.operators.joins import fits_broadcast, lookup_join
+from wireloom.session import checkpointed
 
 SUMMARY_SENTENCES = 3
 #: Power iterations over the graph of sentences, and the greatest rank after each.
@@ -27,6 +28,9 @@ WORD = re.compile(r"[^\s.,;:!?…\"()]+")
 #: Runs of so many words occur once in a headline or summary.
 NO_REPEAT_WORDS = 4
 
+#: Words of a classifier that are broadcast at most.
+FREQUENT_WORDS = 100_000
+
 MODEL_ERRORS = ("title_error", "resume_error")
 
 BatchModel = Callable[[Sequence[str]], Sequence[str]]
@@ -80,10 +84,9 @@ def classify(df: DataFrame, model: PipelineModel) -> DataFrame:
     return scored.select(*df.columns, tx.label_name(F.col("category")).alias("category"))
 
 
-def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, n): how often each word stands in each text; reduced before anything is shuffled by term."""
-    words = F.explode(F.array_remove(F.split(text, r"[ \n]+"), "")).alias("term")
-    return df.select(key, words).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+def words_of(text: str) -> Column:
+    """The words of a text, as an array."""
+    return F.array_remove(F.split(text, r"[ \n]+"), "")
 
 
 def _micro(value: Column) -> Column:
@@ -91,34 +94,40 @@ def _micro(value: Column) -> Column:
     return F.round(F.log(value) * 1_000_000).cast("bigint")
 
 
-def bayes_labels(labelled: DataFrame, rows: DataFrame, key: str = "doc_id", text: str = "news", label: str = "label") -> DataFrame:
+def bayes_labels(labelled: DataFrame, rows: DataFrame, key: str = "doc_id", text: str = "news", label: str = "label", frequent: int = FREQUENT_WORDS) -> DataFrame:
     """(key, category): the label that naive Bayes over exact words finds for each row; the least one on ties.
 
-    Every word of every labelled text counts; there is no bound on the vocabulary.  Counts are smoothed by one.  The
-    model is joined by word as one row per word with its labels' weights, so a word that is everywhere is split like any
-    skewed join; the labels are few.
+    Every word of every labelled text counts; there is no bound on the vocabulary.  Counts are smoothed by one.  The model
+    has one row per word with a weight for each label; the labels are few.  Its most frequent words are broadcast
+    (``frequent`` of them at most, and only if they measure small), so most words of a text are weighed where the text is
+    and reach the shuffle as one sum per row.  Only rare words are joined by word, and those cannot be skewed.
     """
     known = labelled.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
-    counts = term_counts(known, label, text)
-    weights = F.collect_list(F.struct(F.col(label).alias("label"), _micro(F.col("n") + 1).alias("weight"))).alias("weights")
-    model = counts.groupBy("term").agg(weights)  # bounded by the number of labels
-    vocabulary = counts.select("term").distinct().count()
-    totals = counts.groupBy(F.col(label).alias("label")).agg(_micro(F.sum("n") + vocabulary).alias("total"))
-    priors = known.groupBy(F.col(label).alias("label")).agg(_micro(F.count(F.lit(1))).alias("prior"))
-    labels = [(r["label"], r["prior"], r["total"] or 0) for r in priors.join(totals, "label", "left").collect()]  # the labels are few
-    own = term_counts(rows, key, text)
-    met = own.join(model, "term").select(key, "n", F.explode("weights").alias("w")).groupBy(key, "w.label")
-    met = met.agg(F.sum(F.col("n") * F.col("w.weight")).alias("met"))
-    met = met.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("label", "met"))).alias("met"))
-    sizes = own.groupBy(key).agg(F.sum("n").alias("words"))
-    scored = rows.select(key).join(sizes, key, "left").join(met, key, "left")
-
-    def cost(name: str, prior: int, total: int) -> Column:
-        shared = F.coalesce(F.try_element_at("met", F.lit(name)), F.lit(0))
-        return F.struct((F.coalesce("words", F.lit(0)) * total - prior - shared).alias("cost"), F.lit(name).alias("label"))
-
-    found = F.array(*(cost(*row) for row in labels))
-    return scored.select(key, F.array_min(found)["label"].alias("category"))
+    priors = {r[0]: r[1] for r in known.groupBy(label).agg(_micro(F.count(F.lit(1)))).orderBy(label).collect()}  # the labels are few
+    if not priors:
+        return rows.select(key, F.lit(None).cast("string").alias("category"))
+    names = list(priors)
+    tokens = known.select(F.col(label).alias("_label"), F.explode(words_of(text)).alias("term"))
+    counted = [F.count_if(F.col("_label") == name).alias(f"n{i}") for i, name in enumerate(names)]
+    model = checkpointed(tokens.groupBy("term").agg(F.count(F.lit(1)).alias("n"), *counted))
+    vocabulary, *totals = model.agg(F.count(F.lit(1)), *[_micro(F.sum(f"n{i}") + F.count(F.lit(1))) for i in range(len(names))]).first()
+    weights = model.select("term", "n", *[_micro(F.col(f"n{i}") + 1).alias(f"w{i}") for i in range(len(names))])
+    summed = [F.sum(f"w{i}").alias(f"w{i}") for i in range(len(names))]
+    own = rows.select(key, F.explode(words_of(text)).alias("term"))
+    common = checkpointed(weights.orderBy(F.desc("n"), "term").limit(frequent).drop("n"))
+    if fits_broadcast(common, frequent):
+        hits = own.join(F.broadcast(common), "term").groupBy(key).agg(*summed)
+        others, rare = own.join(F.broadcast(common.select("term")), "term", "left_anti"), weights.join(F.broadcast(common.select("term")), "term", "left_anti")
+        met = hits.unionByName(others.join(rare.drop("n"), "term").groupBy(key).agg(*summed))
+    else:
+        met = own.join(weights.drop("n"), "term").groupBy(key).agg(*summed)
+    met = met.groupBy(key).agg(*summed)
+    scored = rows.select(key, F.size(words_of(text)).cast("long").alias("words")).join(met, key, "left")
+
+    def cost(i: int) -> Column:
+        return F.struct((F.coalesce("words", F.lit(0)) * (totals[i] or 0) - priors[names[i]] - F.coalesce(f"w{i}", F.lit(0))).alias("cost"), F.lit(names[i]).alias("label"))
+
+    return scored.select(key, F.array_min(F.array(*map(cost, range(len(names)))))["label"].alias("category"))
 
 
 def window_sentences(text: Column, window: int = fv.MODEL_INPUT_TOKENS) -> Column:
@@ -132,34 +141,32 @@ def ranked_sentences(sentences: Sequence[str], count: int, rounds: int = RANKING
     Sentences are nodes of a graph, joined by as many edges as they have distinct words in common.  A few power iterations
     in whole numbers give every sentence the sum of its neighbours' ranks; each costs as much as there are words.
     """
-    words = [set(WORD.findall(sentence)) for sentence in sentences]
-    rank = [RANK_SCALE] * len(words)
-    for _ in range(rounds):
-        held: Counter[str] = Counter()
-        for own, value in zip(words, rank):
-            for word in own:
-                held[word] += value
-        rank = [sum(held[word] for word in own) - len(own) * value for own, value in zip(words, rank)]
-        most = max(rank, default=0) or 1
-        rank = [value * RANK_SCALE // most for value in rank]
+    numbers: dict[str, int] = {}
+    held = [{numbers.setdefault(word, len(numbers)) for word in WORD.findall(sentence)} for sentence in sentences]
+    size = np.array([len(own) for own in held], np.int64)
+    place, word = np.repeat(np.arange(len(held)), size), np.fromiter((number for own in held for number in own), np.int64, int(size.sum()))
+    rank = np.full(len(held), RANK_SCALE, np.int64)
+    for _ in range(rounds):  # all sums are whole numbers far below 2**53
+        total = np.bincount(word, rank[place], len(numbers))
+        rank = np.bincount(place, total[word], len(held)).astype(np.int64) - size * rank
+        rank = rank * RANK_SCALE // max(1, rank.max(initial=0))
     return sorted(sorted(range(len(rank)), key=lambda i: (-rank[i], i))[:count])
 
 
 @F.pandas_udf(T.StringType())
 def _central(sentences: pd.Series, count: pd.Series) -> pd.Series:
-    """The central sentences of each text, joined; null for null."""
+    """The central ones of the distinct sentences of each text, joined; null for null."""
     made = []
     for own, most in zip(sentences, count):
-        made.append(None if own is None else " ".join(own[i] for i in ranked_sentences(list(own), int(most))))
+        distinct = None if own is None else list(dict.fromkeys(own))
+        chosen = distinct and (range(len(distinct)) if len(distinct) <= most else ranked_sentences(distinct, int(most)))
+        made.append(None if distinct is None else " ".join(distinct[i] for i in chosen))
     return pd.Series(made, dtype=object)
 
 
 def _summary_of(sentences: Column, count: int = SUMMARY_SENTENCES) -> Column:
-    """The most central sentences without repeated n-grams; few sentences are taken as they are, without leaving the JVM."""
-    distinct = F.array_distinct(sentences)
-    many = F.size(distinct) > count
-    chosen = F.when(many, _central(F.when(many, distinct), F.lit(count))).otherwise(F.array_join(distinct, " "))
-    return without_repeats(chosen)
+    """The most central sentences without repeated n-grams."""
+    return without_repeats(_central(sentences, F.lit(count)))
 
 
 def _headline_of(sentences: Column) -> Column:

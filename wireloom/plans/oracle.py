@@ -649,7 +649,7 @@ priors AS (SELECT lang AS label, CAST(round(ln(count(*)) * 1000000) AS BIGINT) A
 met AS (SELECT doc_id, label, sum(n * weight) AS met FROM own JOIN model USING (term) GROUP BY ALL),
 sizes AS (SELECT doc_id, count(*) AS words FROM words GROUP BY 1),
 scores AS (
-  SELECT d.doc_id, p.label, prior + coalesce(met, 0) - coalesce(words, 0) * coalesce(total, 0) AS score
+  SELECT d.doc_id, p.label, prior + coalesce(met, 0) - coalesce(words, 0) * coalesce(total, (SELECT CAST(round(ln(count(DISTINCT term)) * 1000000) AS BIGINT) FROM words WHERE lang IS NOT NULL)) AS score
   FROM documents d CROSS JOIN priors p LEFT JOIN totals t ON t.label = p.label
   LEFT JOIN met m ON m.doc_id = d.doc_id AND m.label = p.label LEFT JOIN sizes s ON s.doc_id = d.doc_id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS place FROM scores)
