@@ -112,3 +112,55 @@ def test_odd_rows_and_time(spark):
     for page in ("<a href=\"" * 50_000, "<!--" * 50_000, "<div>" * 50_000 + "</p>" * 50_000, "<" * 200_000, "<script>" * 50_000, "&" * 200_000):
         b.main_text(page)
     assert time.process_time() - started < 20
+
+
+FAULTS = {
+    f"<div class='content has-sidebar'><p>{PROSE}</p></div>": PROSE,
+    f"<div class='share-price'><p>{PROSE}</p></div><div class='share-buttons'><p>{PROSE}</p></div>": PROSE,
+    f"<div id='article-header'><p>{PROSE}</p></div><div id=ad-free><p>{PROSE}</div>": PROSE + PROSE,
+    f"<a name=top><p>{PROSE}</p><p>{PROSE}</p>": PROSE + PROSE,
+    f"<p><a href=x>unclosed<p>{PROSE}</p><p>{PROSE}</p>": PROSE + PROSE,
+    f"<ul><li><a href=https://x/>{PROSE}</a><li><a href=https://y/>{PROSE}</a></ul><p>{PROSE}</p>": PROSE,
+    f"<script src='a.js'/>var the = 'of and';</script><p>{PROSE}</p>": PROSE,
+    f"<form action=/><div><p>{PROSE}</p><input><p>{PROSE}</p></div></form>": PROSE + PROSE,
+    f"<form><p>{PROSE}</p><nav><p>{PROSE}</p></nav><div class=comments><p>{PROSE}</p></div></form>": "",
+    f"<form><p>{PROSE}{PROSE}</p><nav><p>{RARE}</p></nav><div class=comments><p>{PROSE}</p></div></form>": PROSE + PROSE,
+    f"<div class=sidebar><p>{PROSE}</p></div><p>{PROSE}</p>": PROSE,
+    f"<div class=comments><p>{PROSE}</p></div>": "",
+    f"<a href=/story><h2>{PROSE}</h2></a><p>{PROSE}</p>": PROSE,
+}
+
+
+@pytest.mark.parametrize("page", FAULTS)
+def test_wrappers_links_and_names(page):
+    assert b.main_text(page) == " ".join(FAULTS[page].split())
+
+
+LANGUAGES = {
+    "pl": "Rzeka w dolinie płynie na północ i znają ją wszyscy, którzy nad nią żyją od wielu lat w tej małej wsi.",
+    "ru": "Река в долине течёт на север, и её знают все, кто живёт на её берегах много лет в этой маленькой деревне.",
+    "ja": "谷の川は北に流れ、その岸辺の小さな村に長年住む人々は皆この川をよく知っている。" * 3,
+    "fi": "Laakson joki virtaa pohjoiseen ja kaikki sen rannalla pienessä kylässä vuosia asuneet tuntevat sen hyvin.",
+    "tr": "Vadideki nehir kuzeye akar ve kıyısındaki küçük köyde yıllardır yaşayan herkes onu iyi tanır.",
+    "en": "The river of the valley is in the north and it was known to all that lived by it for many years.",
+}
+
+
+@pytest.mark.parametrize("language", LANGUAGES)
+def test_generated_pages_without_article(language):
+    """Pages of a generator that knows their text: minified, with open elements, in languages with and without stop words."""
+    rng = random.Random(language)
+    sentence = LANGUAGES[language]
+    menu = "<nav><ul>" + "".join(f"<li><a href=/{i}/>menu {i}" for i in range(6)) + "</ul></nav>"
+    noise = ["<div class='cookie-notice'><p>" + sentence * 4 + "</p></div>", "<aside>" + sentence * 4 + "</aside>", "<div class=related-posts>" + f"<a href=/x/>{sentence}</a>" * 3 + "</div>",
+             "<script>var x='" + sentence + "'</script>", "<footer><p>" + sentence * 3 + "</footer>", "<div class=comments><p>" + sentence * 5 + "</div>"]
+    for _ in range(60):
+        paragraphs = [" ".join([sentence] * rng.randint(3, 6)) for _ in range(rng.randint(1, 6))]
+        closed = rng.choice(["", "</p>"])
+        body = "".join(f"<p>{html.escape(p)}{closed}" for p in paragraphs)
+        wrap = rng.choice(["<div class='content has-sidebar'>{}</div>", "<section>{}</section>", "<div id=article-header-main>{}</div>", "<div><a name=top></a>{}</div>", "<a name=top><div>{}</div>"])
+        parts = [menu, *rng.sample(noise, 3), wrap.format(body), *rng.sample(noise, 2)]
+        page = f"<!doctype html><html lang={language}><head><title>{sentence}</title></head><body>" + rng.choice(["", "\n"]).join(parts)
+        assert b.main_text(page) == " ".join(paragraphs), page
+    if language in ("pl", "ru", "ja", "tr"):  # their letters tell, without lang
+        assert b.main_text(f"<p>{sentence * 4}</p>") == sentence * 4

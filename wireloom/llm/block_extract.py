@@ -8,6 +8,10 @@ Where a block stands is part of both passes.  Inside elements that never hold ma
 and elements whose class or id says so) a block is boilerplate.  Inside an article no block is boilerplate for want of
 stop words, and neighbours are sought inside the article only; if none is decided there, the article decides.
 
+Stop words are known for four languages.  A page whose ``lang`` names another one, or without ``lang`` whose letters are
+foreign to them, is of unknown language: its blocks are decided by length and links alone.  A form, or an element whose name
+speaks of layout only, is taken for a mere wrapper if the page has no main text otherwise and most of its text lies inside.
+
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one space.
 
 Nulls: a null page has an empty text.  Repeated rows stay.  Pages of any length are read whole, in linear time.
@@ -67,6 +71,18 @@ STOP_WORDS = frozenset(
     "el los las y que se por con para del una su al lo es no como".split()
 )
 
+#: Last words of a name that begins with a mark: ``share-buttons`` is marked, ``share-price`` is not.
+PARTS = frozenset(
+    "area articles bar block box buttons consent container content form holder icons inner items left link links list main menu message modal nav news notice outer overlay "
+    "panel popup posts right row section slot stories thread top unit widget wrap wrapper".split()
+)
+#: Marks of layout: they may wrap a whole page.
+LAYOUT = frozenset("header masthead newsletter notice notices popup promo related share sharing sidebar social subscribe".split())
+LANGUAGES = frozenset("en de fr es".split())
+#: Letters beyond ASCII of these languages.
+LETTERS = frozenset("äöüßàâæçéèêëîïôœùûÿñáíóú")
+FOREIGN = 0.02  # share of other letters from which a text is in none of these languages
+
 LINKS_HIGH = 0.4  # link density from which a block is boilerplate
 SHORT = 70  # characters under which a block is ambiguous
 LONG = 200  # characters from which a block with many stop words is text
@@ -74,9 +90,21 @@ STOPS_LOW, STOPS_HIGH = 0.12, 0.25
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+|[^>]*)(?:>|\Z)""", re.S)
 MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+LANG = re.compile(r"""\blang\s*=\s*["']?\s*([a-zA-Z]+)""", re.I)
+HREF = re.compile(r"(?<![\w-])href\s*=", re.I)
 WORD = re.compile(r"[^\W_]+")
 
 
+def mark_of(attributes: str) -> str:
+    """The mark that a class or id of an element bears: as its whole name, or as the first word of a name of such a part."""
+    for found in MARKED.finditer(attributes):
+        for name in (found[1] or found[2] or found[3] or "").lower().split():
+            first, *rest = re.split("[_-]+", name.strip("_-"))
+            if first in MARKS and (not rest or rest[-1] in PARTS or rest[-1] in MARKS or rest[-1][:1].isdigit()):
+                return first
+    return ""
+
+
 @dataclass
 class Block:
     text: str
@@ -84,6 +112,16 @@ class Block:
     section: int  # blocks of one section are neighbours
     kind: str  # article, boilerplate or open
     label: str = ""
+    wrappers: tuple[int, ...] = ()  # elements around it that are boilerplate by layout only
+
+
+@dataclass
+class _Wrapper:
+    """An element that is boilerplate by layout only, and what it would be as a mere wrapper."""
+
+    kind: str
+    section: int
+    size: int = 0
 
 
 @dataclass
@@ -92,6 +130,7 @@ class _Open:
     kind: str
     section: int
     hidden: bool
+    wrappers: tuple[int, ...] = ()
 
 
 @dataclass
@@ -101,11 +140,15 @@ class _Reader:
     stack: list[_Open] = field(default_factory=lambda: [_Open("", "open", 0, False)])
     places: dict[str, list[int]] = field(default_factory=dict)  # where in the stack the elements of a tag stand
     sections: int = 0
-    anchors: int = 0
+    wrappers: list[_Wrapper] = field(default_factory=list)
+    link: int = 0  # height of the stack where the open link began, 0 if none is open
+    named: bool = False  # whether the open link has had text
+    language: str = ""
 
     def text(self, raw: str) -> None:
         if raw and not self.stack[-1].hidden:
-            self.parts.append((raw, self.anchors > 0))
+            self.parts.append((raw, self.link > 0))
+            self.named = self.named or self.link > 0 and not raw.isspace()
 
     def cut(self) -> None:
         """End a block."""
@@ -115,13 +158,17 @@ class _Reader:
         if whole:
             linked = sum(len(" ".join(html.unescape(raw).split())) for raw, link in self.parts if link)
             top = self.stack[-1]
-            self.blocks.append(Block(whole, min(1.0, linked / len(whole)), top.section, top.kind))
+            self.blocks.append(Block(whole, min(1.0, linked / len(whole)), top.section, top.kind, wrappers=top.wrappers))
+            for wrapper in top.wrappers:
+                self.wrappers[wrapper].size += len(whole)
         self.parts = []
 
     def leave(self, at: int) -> None:
         """Take the elements from this place on off the stack; each leaves it once."""
         while len(self.stack) > at:
             self.places[self.stack.pop().tag].pop()
+        if len(self.stack) < self.link:  # a link ends with the element that it began in
+            self.link = 0
 
     def last(self, tags: frozenset[str]) -> int:
         """The last place in the stack of an element with one of these tags, or -1."""
@@ -130,35 +177,48 @@ class _Reader:
     def open(self, tag: str, attributes: str) -> None:
         if tag in BLOCK:
             self.cut()
+            if self.named:  # a link may hold blocks, but one with text ends with the next block
+                self.link = 0
             if self.stack[-1].tag in IMPLIED:
                 self.leave(len(self.stack) - 1)
+        if tag == "html" and (found := LANG.search(attributes)):
+            self.language = found[1].lower()
         if tag in OWN_KIND:
             closed, bounds = OWN_KIND[tag]
             bound = self.last(bounds)
             while (at := self.last(closed)) > bound:
                 self.leave(at)
-        if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
+        if tag in VOID:
             return
-        if tag == "a":
-            self.anchors += 1
+        if tag == "a":  # ends the one before; without a target it is no link
+            self.link, self.named = len(self.stack) if HREF.search(attributes) else 0, False
             return
         if tag not in BLOCK and tag not in HIDDEN:
             return
         top = self.stack[-1]
         kind, section = top.kind, top.section
-        names = {w for m in MARKED.finditer(attributes) for w in re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower())} if attributes else set()
-        now = "boilerplate" if tag in BOILERPLATE or names & MARKS and tag not in ("html", "body") else "article" if tag in ARTICLE else ""
+        mark = mark_of(attributes) if attributes and tag not in ("html", "body") else ""
+        now = "boilerplate" if tag in BOILERPLATE or mark else "article" if tag in ARTICLE else ""
+        wrappers = top.wrappers if kind == "boilerplate" and top.wrappers else ()
         if now and now != kind:
             self.sections += 1
+            wrappers = ()
+            if now == "boilerplate" and (tag == "form" or tag not in BOILERPLATE and mark in LAYOUT):
+                self.wrappers.append(_Wrapper(kind, section))
+                wrappers = (len(self.wrappers) - 1,)
             kind, section = now, self.sections
+        elif now == "boilerplate" and not (tag == "form" or tag not in BOILERPLATE and mark in LAYOUT):
+            wrappers = ()  # what is boilerplate by itself stays so
+            self.sections += 1
+            section = self.sections
         self.places.setdefault(tag, []).append(len(self.stack))
-        self.stack.append(_Open(tag, kind, section, top.hidden or tag in HIDDEN))
+        self.stack.append(_Open(tag, kind, section, top.hidden or tag in HIDDEN, wrappers))
 
     def close(self, tag: str) -> None:
         if tag in BLOCK:
             self.cut()
         if tag == "a":
-            self.anchors = max(0, self.anchors - 1)
+            self.link = 0
             return
         if tag not in BLOCK and tag not in HIDDEN:
             return
@@ -166,8 +226,8 @@ class _Reader:
             self.leave(found[-1])
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page in its order."""
+def read(page: str) -> _Reader:
+    """The blocks of a page in its order, with its language and wrappers."""
     reader, at = _Reader(), 0
     lower = None
     while True:
@@ -184,15 +244,28 @@ def blocks_of(page: str) -> list[Block]:
             reader.close(tag)
             continue
         reader.open(tag, found[3])
-        if tag in RAW and not found[3].endswith("/"):
+        if tag in RAW:
             lower = lower or page.lower() if len(page.lower()) == len(page) else page
             end = lower.find(f"</{tag}", at)
             at = len(page) if end < 0 else end
     reader.cut()
-    return reader.blocks
+    return reader
 
 
-def first_pass(block: Block, stop_words: frozenset[str] = STOP_WORDS) -> str:
+def known_language(language: str, blocks: Sequence[Block]) -> bool:
+    """Whether stop words say something about a page: by its ``lang``, or else by its letters."""
+    if language:
+        return language in LANGUAGES
+    letters = other = 0
+    for block in blocks:
+        for c in block.text if not block.text.isascii() else "":
+            letters += c.isalpha()
+            other += c.isalpha() and not c.isascii() and c.lower() not in LETTERS
+        letters += len(block.text) if block.text.isascii() else 0
+    return other < FOREIGN * letters or not other
+
+
+def first_pass(block: Block, stop_words: frozenset[str] | None = STOP_WORDS) -> str:
     """text, boilerplate, or what the second pass decides: near (rather text) and short."""
     inside = block.kind == "article"
     if block.kind == "boilerplate":
@@ -201,6 +274,8 @@ def first_pass(block: Block, stop_words: frozenset[str] = STOP_WORDS) -> str:
         return "near" if inside else "boilerplate"
     if len(block.text) < SHORT:
         return "short"
+    if stop_words is None:
+        return "text" if len(block.text) >= LONG or inside else "near"
     words = WORD.findall(block.text.lower())
     stops = sum(w in stop_words for w in words) / len(words) if words else 0.0
     if stops >= STOPS_HIGH:
@@ -233,7 +308,22 @@ def second_pass(blocks: Sequence[Block]) -> None:
 
 
 def main_text(page: str | None, stop_words: frozenset[str] = STOP_WORDS) -> str:
-    blocks = blocks_of(page or "")
+    found = read(page or "")
+    words = stop_words if known_language(found.language, found.blocks) else None
+    text = _labelled(found.blocks, words)
+    whole = sum(len(block.text) for block in found.blocks)
+    wide = {i for i, wrapper in enumerate(found.wrappers) if 2 * wrapper.size > whole}
+    if text or not wide:
+        return text
+    for block in found.blocks:
+        if wide.intersection(block.wrappers):
+            wrapper = found.wrappers[block.wrappers[0]]
+            block.kind, block.section = wrapper.kind, wrapper.section
+    return _labelled(found.blocks, words)
+
+
+def _labelled(blocks: Sequence[Block], stop_words: frozenset[str] | None) -> str:
+    """The blocks that both passes take for text, joined."""
     for block in blocks:
         block.label = first_pass(block, stop_words)
     second_pass(blocks)
