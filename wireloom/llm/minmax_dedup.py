@@ -25,7 +25,6 @@ import hashlib
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wireloom.llm.components import connected_components
 from wireloom.llm.ordering import numbered
@@ -108,26 +107,6 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, SIGNATURE)
 
 
-def signed_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Rows of a table as ``kept`` (a struct of all columns), with a number ``row`` of their own, n_shingles, digest and bands."""
-    told = docs.select(F.struct(*docs.columns).alias("kept"), F.col(text_col).cast("binary").alias("text"))
-    schema = T.StructType([told.schema["kept"], *T._parse_datatype_string("row long, n_shingles long, digest binary, bands array<long>")])
-
-    def run(batches):
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            made = [(row + i, *signed_text(text.as_py())) for i, text in enumerate(batch.column("text"))]
-            row += len(made)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-            arrays = [pa.array([own[i] for own in made], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("kept"), *arrays], ["kept", "row", "n_shingles", "digest", "bands"])
-
-    return told.mapInArrow(run, schema)
-
-
 def _sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs (a, b) with the shingle sets of both (left, right); texts move once for each end of a pair."""
 
@@ -269,14 +248,19 @@ def one_of_each(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
     Rows are told apart by the row, not by their id: of a group stays a row with the least id (null ids last), of several
     texts with that id one, and of equal rows one.  Rows without words are in no group and stay.
     """
-    signed = stored(signed_rows(docs, text_col), "signed-rows")
-    place = F.struct(F.col(f"kept.{id_col}").isNull().alias("unnamed"), F.col(f"kept.{id_col}").alias("id"), "row")
-    classes = signed.filter("n_shingles > 0").groupBy("digest").agg(F.min(place).alias("first"))
-    classes = classes.select("first.unnamed", "first.id", F.col("first.row").alias("first"))
+    rows = stored(docs.select(F.struct(*docs.columns).alias("kept"), F.monotonically_increasing_id().alias("row")), "rows")
+    signed = signatures(rows.select("row", F.col(f"kept.{text_col}").alias("text")), "row", "text").withColumnRenamed("doc_id", "row")
+    signed = stored(signed, "signatures")  # texts go to Python and do not come back
+    named = rows.select(F.col("row").alias("_row"), F.col(f"kept.{id_col}").alias("id"))
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")
+    classes = signed.filter("n_shingles > 0").select("row", "digest").join(named, F.col("row") == F.col("_row"))
+    classes = classes.groupBy("digest").agg(F.min(place).alias("first")).select("first.unnamed", "first.id", F.col("first.row").alias("first"))
     # Numbers in the order of ids stand for classes, so no two texts share one.
-    order = numbered(classes, ["unnamed", "id", "first"], ["first"])
-    firsts = stored(signed.join(order, F.col("row") == F.col("first")).select(F.col("place").alias("doc_id"), "row", "n_shingles", "digest", "bands", F.col(f"kept.{text_col}").alias("text")), "firsts")
-    found = components(firsts, firsts, percent, "doc_id", "text")
-    stays = firsts.join(found, F.col("digest") == F.col("own")).filter("doc_id = component_id").select(F.col("row").alias("stays"))
-    kept = signed.join(stays, F.col("row") == F.col("stays"), "left_semi").unionByName(signed.filter("n_shingles = 0"))
-    return kept.select("kept.*")
+    order = stored(numbered(classes, ["unnamed", "id", "first"], ["first"]), "order")
+    firsts = signed.join(order, F.col("row") == F.col("first")).select(F.col("place").alias("doc_id"), "row", "n_shingles", "digest", "bands")
+    firsts = stored(firsts, "firsts")
+    texts = rows.join(order, F.col("row") == F.col("first")).select(F.col("place").alias("doc_id"), F.col(f"kept.{text_col}").alias("text"))
+    found = components(firsts, texts, percent, "doc_id", "text")
+    stays = firsts.join(found, F.col("digest") == F.col("own")).filter("doc_id = component_id").select("row")
+    stays = stays.unionByName(signed.filter("n_shingles = 0").select("row"))
+    return rows.join(stays, "row", "left_semi").select("kept.*")

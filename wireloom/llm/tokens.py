@@ -14,8 +14,8 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
-#: Bytes a generation of the cache holds, about (half a million words); a worker holds two generations.
-CACHED_BYTES = 96 << 20
+#: Bytes a generation of the cache holds, about (a quarter of a million words); a worker holds two generations.
+CACHED_BYTES = 48 << 20
 #: Bytes that an entry of the cache takes besides the word and its ids.
 ENTRY_BYTES = 170
 #: Longer texts are encoded in parts of about so many bytes that end at white space.
