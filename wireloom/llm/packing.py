@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from wireloom.llm.storage import stored
 from wireloom.llm.tokens import default_vocabulary, word_ids
 
+#: Bytes of a generation of the word cache: packing holds pieces beside it.
+CACHED_BYTES = 20 << 20
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, turn long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -135,7 +137,7 @@ def token_pieces(docs: DataFrame, end_id: int, size: int, *, id_col: str = "doc_
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder, end, part = word_ids(vocabulary), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
+        encoder, end, part = word_ids(vocabulary, CACHED_BYTES), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         turns: dict[int, int] = defaultdict(int)
         for batch in batches:
             rows = []

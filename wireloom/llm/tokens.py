@@ -105,6 +105,6 @@ def packed(ids: list[int]) -> bytes:
 
 
 @lru_cache(maxsize=2)
-def word_ids(vocabulary: str) -> WordIds:
+def word_ids(vocabulary: str, most: int = CACHED_BYTES) -> WordIds:
     """The worker's own cache for a vocabulary file."""
-    return WordIds(vocabulary)
+    return WordIds(vocabulary, most)
