@@ -56,7 +56,7 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize(
-    "name", ["clean_text", "strip_fixed_boilerplate", "validate_final", "summarize", "parse_message_regular", "last_news_id"]
+    "name", ["clean_text", "strip_fixed_boilerplate", "validate_final", "headline", "html_text", "parse_message_regular", "last_news_id"]
 )
 def test_no_python_in_the_plan(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
