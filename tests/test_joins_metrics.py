@@ -27,7 +27,7 @@ def test_broadcast_and_salted_joins_agree(spark, how):
     _, frame = facts(spark)
     lookup = spark.createDataFrame([("hot", 1), ("a", 2), ("zzz", 3)], "k string, w int")
     plain = joins.lookup_join(frame, lookup, "k", how)
-    salted = joins.lookup_join(frame, lookup, "k", how, max_rows=1, salts=7)
+    salted = joins.lookup_join(frame, lookup, "k", how, max_rows=1)
     assert plain.columns == salted.columns
     assert Counter(map(tuple, plain.collect())) == Counter(map(tuple, salted.collect()))
     assert "BroadcastHashJoin" in plan(plain)
@@ -39,6 +39,40 @@ def test_large_lookup_spreads_a_hot_key(spark):
     assert "_salt" in plan(joins.lookup_join(frame, lookup, "k", "inner", max_rows=1))
 
 
+def test_hot_keys(spark):
+    rows, frame = facts(spark)
+    got = {r["_key"]: r["_salts"] for r in joins.hot_keys(frame, ["k"], pieces=4).collect()}
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = {r["k"]: r["h"] for r in frame.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
+    counts = Counter(k for k, _ in rows)
+    assert got == {keys[k]: -(-n * parts * 4 // len(rows)) for k, n in counts.items() if n * 2 * parts > len(rows)}
+    many = spark.range(20_000).select((F.col("id") % 9000).alias("k"))
+    assert joins.hot_keys(many, ["k"]).collect() == [] and joins.hot_keys(many.limit(0), ["k"]).collect() == []
+
+
+def test_a_hot_key_fills_no_task(spark):
+    """Half of all facts have one key, a sixth another; no task gets beyond twice the median."""
+    number = F.col("id")
+    key = F.when(number % 2 == 0, -1).when(number % 3 == 0, -2).otherwise(number % 5000).cast("long")
+    frame = spark.range(0, 600_000, 1, 8).select(key.alias("k"), number.alias("v"))
+    lookup = spark.range(-2, 5000).select(number.alias("k"), (number * 2).alias("w"))
+    wanted = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        joined = joins.lookup_join(frame, lookup, "k", "inner", max_rows=1, by=["v"])
+        sizes = sorted(r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+        salted, repeated = joins.spread(frame, lookup, ["k"])
+        copies = repeated.groupBy("k").count().filter("count > 1").collect()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 600_000 and len(sizes) == 40
+    assert sizes[-1] <= 2 * sizes[20]
+    assert {r["k"] for r in copies} == {-1, -2}  # plain keys are not repeated
+
+
 def test_unknown_join_type(spark):
     with pytest.raises(ValueError):
         joins.lookup_join(spark.range(1), spark.range(1), "id", "full")
