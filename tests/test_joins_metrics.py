@@ -3,6 +3,8 @@ from collections import Counter, defaultdict
 
 import pytest
 from helpers import plan
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wireloom.operators import boilerplate, joins, metrics
@@ -116,3 +118,50 @@ def test_labels_from_a_table(spark):
     labels = spark.createDataFrame([("c", "ab"), ("c", "abc"), ("c", "ab"), ("c", "")], "channel string, phrase string")
     got = {row["agency"]: row["news"] for row in boilerplate.strip_by_labels(news, labels).collect()}
     assert got == {"c": "    x  ", "d": "abc  ", None: "abc"}
+
+
+def replaced(text, phrases):
+    for phrase in sorted({p for p in phrases if p}, key=lambda p: (-len(p), p)):
+        text = text.replace(phrase, " ")
+    return text
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text("ab é", max_size=4), max_size=8), st.text("ab é", max_size=30))
+def test_stripper_replaces_one_after_another(phrases, text):
+    assert boilerplate.PhraseStripper(phrases).strip(text) == replaced(text, phrases)
+
+
+@pytest.mark.parametrize("few, block, max_rows", [(50, 1000, 1000), (2, 1000, 1000), (2, 1000, 1), (2, 11, 1)])
+def test_many_phrases(spark, few, block, max_rows):
+    rng = random.Random(8)
+    listed = [("hot" if rng.random() < 0.5 else rng.choice("abcd"), "".join(rng.choices("xy z", k=rng.choice([0, 2, 3, 4])))) for _ in range(40)]
+    rows = [(rng.choice(["hot", "hot", "a", "b", "q", None]), i, "".join(rng.choices("xy z18+", k=40))) for i in range(600)]
+    rows += [("hot", -1, None), ("a", -2, ""), (None, -3, None)]
+    news = spark.createDataFrame(rows, "agency string, _salt int, news string").withColumnRenamed("_salt", "n").repartition(4)
+    labels = spark.createDataFrame([*listed, (None, "y"), ("a", None)], "channel string, phrase string")
+    how = {"common": ("18+", "x "), "few": few, "block": block, "max_rows": max_rows}
+    done = boilerplate.strip_by_labels(news, labels, **how)
+    assert done.columns == news.columns
+    got = {r["n"]: (r["agency"], r["news"]) for r in done.collect()}
+    own = defaultdict(set)
+    for channel, phrase in listed:
+        own[channel].add(phrase)
+    assert got == {n: (a, None if t is None else replaced(t, own[a] | {"18+", "x "})) for a, n, t in rows}
+    assert boilerplate.strip_by_labels(news.limit(0), labels, **how).collect() == []
+
+
+def test_many_phrases_cost_little_more(spark):
+    """10,000 phrases of a channel take at most three times as long as 10."""
+    import time
+
+    news = spark.range(0, 60_000, 1, 8).selectExpr("'c' agency", "id", "repeat(concat('some words of news ', id, ' '), 15) news")
+
+    def seconds(n):
+        labels = spark.range(n).selectExpr("'c' channel", "concat('words of news ', id + 59000, ' ') phrase")
+        start = time.perf_counter()
+        boilerplate.strip_by_labels(news, labels).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    seconds(10)
+    assert seconds(10_000) < 3 * max(seconds(10), 1)

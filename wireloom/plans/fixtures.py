@@ -139,6 +139,12 @@ def agency_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def beginnings(spark: SparkSession, folder: str) -> DataFrame:
+    """Many phrases per source: the first word, and the first two, of each of its texts."""
+    words = F.array(*[F.substring_index("text", " ", n) for n in (1, 2)])
+    return table(spark, folder, "documents").select(F.col("source").alias("channel"), F.explode(words).alias("phrase"))
+
+
 def labels(spark: SparkSession, folder: str) -> DataFrame:
     """Phrases per source, some inside others: one for each language it publishes in."""
     phrase = F.when(F.col("lang") == "en", "tion").when(F.col("lang") == "fr", "ation").when(F.col("lang") == "de", "sch")

@@ -396,6 +396,23 @@ SELECT doc_id, agency,
 FROM listed
 """,
 )
+register(
+    "strip_many_phrases",
+    f"""
+WITH {DECORATED},
+labels_v AS (
+  SELECT source AS channel, string_split(text, ' ')[1] AS phrase FROM documents
+  UNION SELECT source, array_to_string(string_split(text, ' ')[1:2], ' ') FROM documents),
+own AS (SELECT channel, list(phrase) AS phrases FROM labels_v WHERE phrase <> '' GROUP BY channel),
+ordered AS (
+  SELECT channel, list(phrase ORDER BY length(phrase) DESC, phrase) AS phrases
+  FROM (SELECT channel, unnest(list_distinct(list_concat(phrases, {COMMON_ARRAY}))) AS phrase FROM own) GROUP BY channel),
+others AS (SELECT list(phrase ORDER BY length(phrase) DESC, phrase) AS common FROM (SELECT unnest({COMMON_ARRAY}) AS phrase))
+SELECT doc_id, agency,
+       list_reduce(list_concat([news], coalesce(phrases, common)), lambda acc, phrase: replace(acc, phrase, ' ')) AS news
+FROM decorated LEFT JOIN ordered ON channel = agency, others
+""",
+)
 for _name, _sql in (
     ("strip_fixed_boilerplate", without_boilerplate("news", "agency")),
     ("strip_emoji", without_emoji("news")),
@@ -566,6 +583,13 @@ WITH {AGENCIES}, {NEWS}, {LABELLED}, mono AS ({MONO})
 SELECT doc_id, agency, coalesce(mono_category, category) AS category FROM labelled LEFT JOIN mono ON telegram = agency
 """,
 )
+register(
+    "spread_lookup",
+    """
+SELECT doc_id, d.source, of_source
+FROM documents d LEFT JOIN (SELECT source, count(doc_id) AS of_source FROM documents GROUP BY source) c ON d.source = c.source
+""",
+)
 register("truncate_tokens", f"SELECT doc_id, {window_of('text')} AS text FROM documents")
 register("summarize", f"SELECT doc_id, {summary('text')} AS resume FROM documents")
 register("headline", f"SELECT doc_id, {title('text')} AS title FROM documents")

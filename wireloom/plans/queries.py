@@ -15,6 +15,7 @@ from wireloom.functions import dates, links, markup
 from wireloom.functions import text as tx
 from wireloom.operators import agencies as ag
 from wireloom.operators import boilerplate, enrich, ids, messages, metrics, updates, validation
+from wireloom.operators.joins import lookup_join
 from wireloom.plans import fixtures as fx
 from wireloom.plans import jobs
 from wireloom.session import scratch_path
@@ -216,6 +217,12 @@ def strip_boilerplate(spark, folder):
     return boilerplate.strip_by_labels(_decorated(spark, folder), fx.labels(spark, folder))
 
 
+@query
+def strip_many_phrases(spark, folder):
+    """Every source lists the beginnings of all its texts."""
+    return boilerplate.strip_by_labels(_decorated(spark, folder), fx.beginnings(spark, folder))
+
+
 @query
 def strip_fixed_boilerplate(spark, folder):
     return _decorated(spark, folder).select(
@@ -361,6 +368,13 @@ def category_override(spark, folder):
     )
 
 
+@query
+def spread_lookup(spark, folder):
+    """A lookup that is not to be broadcast: sources with a large share of the facts are spread."""
+    news = tables.table(spark, folder, "documents").select("doc_id", "source")
+    return lookup_join(news, news.groupBy("source").agg(F.count("doc_id").alias("of_source")), "source", max_rows=-1, by=["doc_id"])
+
+
 @query
 def classify_text(spark, folder):
     docs = fx.documents(spark, folder).select("doc_id", F.col("text").alias("news"), F.col("lang").alias("label"))
