@@ -26,6 +26,7 @@ def corpus():
     texts = [" ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 2, 3, 40, 300]))) for _ in range(120)]
     texts[7] = "a b a b a b a b a b a b " * 30
     texts[8] = "\t é 😀 x\n"
+    texts[9] = "".join(rng.choices("天地玄黃宇宙洪荒😀", k=90)) + " and words " + "x" * 20 + " " + "y" * 21
     return [(i * 5 - 40, t) for i, t in enumerate(texts)]
 
 
@@ -44,6 +45,7 @@ def test_next_and_edited(spark):
 def numbered(text):
     """Names and places of k-mers, occurrence-numbered, by plain loops."""
     words = [w for w in text.replace("\t", " ").replace("\n", " ").split(" ") if w]
+    words = [t for w in words for t in (w if len(w) > 20 else [w])]
     runs = [tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
     seen, out = {}, []
     for i, run in enumerate(runs):
@@ -69,13 +71,44 @@ def test_order_and_equality_count(spark):
     texts = {0: base, 1: base, 2: base[100:] + base[:100], 3: [w + "x" for w in base], 4: base[:190] + ["z"] * 10}
     rows = [(i, " ".join(w)) for i, w in texts.items()]
     kmers = o.with_kmers(frame(spark, rows), "text", "kmers")
-    fps = {r["doc_id"]: r["fingerprint"] for r in o.fingerprints(kmers, ["doc_id"], "kmers").collect()}
+    fps = {r["doc_id"]: r["fingerprint"] for r in kmers.select("doc_id", o.fingerprint(o.F.col("kmers")).alias("fingerprint")).collect()}
     near = lambda a, b: sum(x == y for x, y in zip(fps[a], fps[b], strict=True)) / o.SKETCHES
     assert near(0, 1) == 1 and near(0, 3) == 0
     assert 0.2 < near(0, 2) < 0.8  # the same words in another order
     assert near(0, 4) > 0.6
 
 
+def test_sketches_are_the_least_of_one_order(spark):
+    """Equal sketches of one order, and only these, have the same least k-mers in the same order of the text."""
+    rows = corpus()[:40]
+    kmers = o.with_kmers(frame(spark, rows + [(999, rows[5][1] + " and more")]), "text", "kmers").cache()
+    orders = kmers.select("doc_id", o.F.explode("kmers").alias("k")).select("doc_id", "k.slot", *(o.F.xxhash64("k.name", o.F.lit(j)) for j in range(o.SKETCHES)))
+    values = {}
+    for doc_id, slot, *hashes in orders.collect():
+        for j, h in enumerate(hashes):
+            values.setdefault((doc_id, j), []).append((h >> o.PLACE_BITS, slot))
+    seen, back = {}, {}
+    for doc_id, sketches in kmers.select("doc_id", o.fingerprint(o.F.col("kmers"))).collect():
+        assert len(sketches) == (o.SKETCHES if (doc_id, 0) in values else 0)
+        for j, sketch in enumerate(sketches):
+            chosen = sorted(values[doc_id, j])[: o.CHOSEN]
+            told = tuple(h for h, _ in sorted(chosen, key=lambda x: x[1]))
+            assert seen.setdefault(told, sketch) == sketch and back.setdefault(sketch, told) == told
+    kmers.unpersist()
+    assert len(seen) > 300
+
+
+def test_texts_without_spaces(spark):
+    rng = random.Random(4)
+    signs = [chr(0x4E00 + i) for i in range(2000)]
+    one, two = ("".join(rng.choices(signs, k=400)) for _ in range(2))
+    got = {r["doc_id"]: r for r in o.order_minhash(frame(spark, [(1, one), (2, two), (3, one[:200] + "新" + one[200:])])).collect()}
+    assert 0.05 < got[1]["near_edited"] < 0.6 and got[1]["near_next"] == 0
+    kmers = o.with_kmers(frame(spark, [(1, one), (3, one[:200] + "新" + one[200:])]), "text", "kmers")
+    a, b = (r[0] for r in kmers.select(o.fingerprint(o.F.col("kmers"))).collect())
+    assert sum(x == y for x, y in zip(a, b, strict=True)) > 0.8 * o.SKETCHES  # one sign more
+
+
 def test_odd_rows(spark):
     rows = [(5, "same text here"), (5, "same text here"), (5, None), (None, "no id at all"), (None, None), (9, "the end of it"), (2**62, "x")]
     got = o.order_minhash(frame(spark, rows)).collect()

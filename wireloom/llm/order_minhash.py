@@ -1,8 +1,9 @@
 """Order MinHash fingerprints: sensitive to the order of a text, hence to edit distance.
 
-The k-mers of a text are runs of three words.  Each is numbered by how often it occurred before, so equal k-mers of a
-text count apart.  For each of ``SKETCHES`` sketches, ``CHOSEN`` k-mers are selected, each the least under its own hash;
-listed in the order of the text, they are hashed as a tuple.  Two texts agree in a sketch if the same k-mers were
+The k-mers of a text are runs of three tokens: words, and the characters of words longer than ``LONG`` (scripts without
+spaces, encoded runs), so every text has k-mers in proportion to its length.  Each is numbered by how often it occurred
+before, so equal k-mers of a text count apart.  Each of ``SKETCHES`` sketches has an order of k-mers, a hash; the
+``CHOSEN`` least are selected, listed in the order of the text and hashed as a tuple.  Two texts agree in a sketch if the same k-mers were
 selected and stand in the same order.  The likeness of fingerprints is the share of sketches that agree.
 
 The next document comes from ranges of the id: a document's range is found by binary search among the ranges' first
@@ -10,7 +11,7 @@ ids (one number per range), and each range gets a copy of the next range's first
 successor inside its range and texts move once.
 
 All of it is built-in functions.  Each value under a hash keeps its place in the low bits of the number that is
-minimised, so a fingerprint is an aggregate of plain numbers and needs no further shuffle.
+minimised, so a fingerprint is an expression over plain numbers of one row and needs neither aggregate nor shuffle.
 
 Nulls: a null text is an empty one; documents with a null id come last.  Rows with equal ids follow one another by text.
 A text without words has an empty fingerprint, which is like another empty one and nothing else.  The only document of
@@ -22,7 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wireloom.functions.text import bind
+
 KMER = 3
+#: Words of more characters than this are taken character by character.
+LONG = 20
 SKETCHES = 32
 CHOSEN = 2
 #: Low bits that hold a k-mer's place; places of longer texts are scaled down to fit.
@@ -33,8 +38,15 @@ RANGES = 8
 WHITE = r"[\x20\x09-\x0D]+"
 
 
-def words(text: Column) -> Column:
-    return F.array_remove(F.split(text, WHITE), "")
+def tokens(text: Column) -> Column:
+    """Words of a text, and the characters of long ones."""
+
+    def cut(words: Column) -> Column:
+        long = lambda w: F.char_length(w) > LONG
+        pieces = F.flatten(F.transform(words, lambda w: F.when(long(w), F.split(w, "")).otherwise(F.array(w))))
+        return F.when(F.exists(words, long), pieces).otherwise(words)
+
+    return bind(F.array_remove(F.split(text, WHITE), ""), cut)
 
 
 def with_kmers(rows: DataFrame, text_col: str, out: str, k: int = KMER) -> DataFrame:
@@ -42,7 +54,7 @@ def with_kmers(rows: DataFrame, text_col: str, out: str, k: int = KMER) -> DataF
 
     The slot is the place, scaled down in texts with more places than ``PLACE_BITS`` can tell apart.
     """
-    hashed = rows.withColumn("_words", F.transform(words(F.col(text_col)), lambda w: F.xxhash64(w)))
+    hashed = rows.withColumn("_words", F.transform(tokens(F.col(text_col)), lambda w: F.xxhash64(w)))
     number = F.size("_words") - k + 1
     starts = F.slice("_words", 1, F.greatest(number, F.lit(1)))
     names = F.transform(starts, lambda w, i: F.xxhash64(w, *(F.get("_words", i + j) for j in range(1, k))))
@@ -72,26 +84,26 @@ def with_kmers(rows: DataFrame, text_col: str, out: str, k: int = KMER) -> DataF
     return named.withColumn(out, F.when(F.col("_sorted").isNull(), plain).otherwise(numbered)).drop("_words", "_names", "_shift", "_sorted", "_first")
 
 
-def _least(j: int) -> Column:
-    """The least hash of a k-mer under hash ``j``, with its place in the low bits."""
+def _sketch(kmers: Column, j: Column) -> Column:
+    """The hash of the ``CHOSEN`` least k-mers under the ``j``-th order, in the order of the text."""
     low = (1 << PLACE_BITS) - 1
-    return F.min(F.xxhash64("kmer.name", F.lit(j)).bitwiseAND(F.lit(~low)).bitwiseOR(F.col("kmer.slot"))).alias(f"v{j}")
+    value = lambda x: F.xxhash64(x["name"], j).bitwiseAND(F.lit(~low)).bitwiseOR(x["slot"])
 
+    def choose(values: Column, chosen: tuple[Column, ...]) -> Column:
+        if len(chosen) < CHOSEN:
+            return bind(F.array_min(values), lambda least: choose(F.array_remove(values, least), (*chosen, least)))
+        # A place of its own in the low bits makes values distinct, so each step removes one k-mer; short texts have fewer.
+        found = F.filter(F.array(*chosen), lambda v: v.isNotNull())
+        ordered = F.array_sort(F.transform(found, lambda v: F.struct(v.bitwiseAND(F.lit(low)).alias("place"), v.bitwiseAND(F.lit(~low)).alias("name"))))
+        return F.xxhash64(F.transform(ordered, lambda x: x["name"]))
 
-def _sketch(i: int) -> Column:
-    """The hash of a sketch's k-mers in the order of the text."""
-    low = F.lit((1 << PLACE_BITS) - 1)
-    chosen = [F.col(f"v{i * CHOSEN + c}") for c in range(CHOSEN)]
-    tuples = F.sort_array(F.array(*(F.struct(v.bitwiseAND(low).alias("place"), v.bitwiseAND(F.lit(-1 << PLACE_BITS)).alias("name")) for v in chosen)))
-    return F.xxhash64(F.transform(tuples, lambda x: x["name"]))
+    return bind(F.transform(kmers, value), lambda values: choose(values, ()))
 
 
-def fingerprints(rows: DataFrame, keys: list[str], kmers_col: str) -> DataFrame:
-    """``keys`` and ``fingerprint``, an array of sketches, empty where there are no k-mers; ``keys`` tell rows apart."""
-    each = rows.select(*keys, F.explode_outer(kmers_col).alias("kmer"))
-    least = each.groupBy(*keys).agg(*(_least(j) for j in range(SKETCHES * CHOSEN)), F.count("kmer").alias("_n"))
-    sketches = F.array(*(_sketch(i) for i in range(SKETCHES)))
-    return least.select(*keys, F.when(F.col("_n") > 0, sketches).otherwise(F.array().cast("array<bigint>")).alias("fingerprint"))
+def fingerprint(kmers: Column) -> Column:
+    """An array of sketches, empty where there are no k-mers."""
+    sketches = bind(kmers, lambda held: F.transform(F.sequence(F.lit(0), F.when(F.size(held) > 0, F.lit(SKETCHES - 1))), lambda j: _sketch(held, j)))
+    return F.coalesce(sketches, F.array().cast("array<bigint>"))
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -145,7 +157,7 @@ def order_minhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     both = F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t")))).alias("x")
     keys = ["part", "idx", "copy", "doc_id", "n_chars", "edited_sha256"]
     each = rows.select(*keys, both).select(*keys, "x.which", "x.t")
-    found = fingerprints(with_kmers(each, "t", "kmers"), [*keys, "which"], "kmers")
+    found = with_kmers(each, "t", "kmers").select(*keys, "which", fingerprint(F.col("kmers")).alias("fingerprint"))
     order = Window.partitionBy("part").orderBy("idx", "which")  # a text, its edited text, the next text
     found = found.withColumns({"edited_fp": F.lead("fingerprint", 1).over(order), "next_fp": F.lead("fingerprint", 2).over(order)})
     return found.filter("which = 0 and not copy").select(
