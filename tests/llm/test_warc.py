@@ -89,10 +89,46 @@ def test_damage_is_told(spark, tmp_path):
     manifest = w.write_archives(frame, folder, segment=100, archive=1500)
     assert manifest.count() > 1
     records = w.read_records(manifest, folder)
-    lost = records.filter("not (segment = 2 and origin like '%:3>')")
-    again = lost.unionByName(records.filter("segment = 3 and origin like '%:5>'"))
+    lost = records.filter("not (segment = 2 and origin like '%page:3:%')")
+    again = lost.unionByName(records.filter("segment = 3 and origin like '%page:5:%'"))
     got = {r["page_id"]: r["error"] for r in w.reassemble(again).collect()}
-    page = {r["origin"].rsplit(":", 1)[1]: r["page_id"] for r in records.filter("segment = 1").select("origin", "page_id").collect()}
-    assert {i for i, error in got.items() if error} == {page["3>"], page["5>"]} and len(got) == 6
-    with pytest.raises(ValueError, match="ends inside"):
-        list(w.members(__import__("io").BytesIO(w.record([], b"abc")[:-9])))
+    assert {i for i, error in got.items() if error} == {3, 5} and len(got) == 6
+
+
+def test_references_name_records_of_the_archive(spark, tmp_path):
+    folder = str(tmp_path / "warc")
+    frame = spark.createDataFrame([(*r, "p", "s") for r in ROWS], PAGES).repartition(2)
+    rows = w.read_records(w.write_archives(frame, folder), folder).collect()
+    ids = [r["record"] for r in rows]
+    assert len(set(ids)) == len(ids)
+    assert {r["refers_to"] for r in rows if r["type"] == "revisit"} <= {r["record"] for r in rows if r["type"] == "response"}
+
+
+def http(payload):
+    return b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % len(payload) + payload
+
+
+def test_archives_of_others(spark, tmp_path):
+    """Other record types are passed over, references of any form resolved, and damage costs one record only."""
+    named = lambda kind, name, *more: [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{name}>"), *more]
+    told = ("WARC-Payload-Digest", "sha1:" + w.digest(b"one"))
+    whole = [
+        w.record(named("warcinfo", "i"), b"software: x"),
+        w.record(named("response", "a", ("WARC-Page-ID", "41"), told), http(b"one")),
+        w.record(named("request", "q"), b"GET / HTTP/1.1\r\n\r\n"),
+        w.record(named("response", "b", ("WARC-Target-URI", "http://b/")), http(b"two")),
+        w.record(named("revisit", "c", ("WARC-Page-ID", "43"), ("WARC-Refers-To", "<urn:uuid:a>")), http(b"")),
+        w.record(named("revisit", "d", ("WARC-Page-ID", "44"), ("WARC-Refers-To", "<urn:uuid:elsewhere>"), told), http(b"")),
+        w.record(named("revisit", "e", ("WARC-Page-ID", "45"), ("WARC-Refers-To", "<urn:uuid:elsewhere>")), http(b"")),
+        w.record(named("response", "f", ("WARC-Segment-Number", "many")), http(b"three")),
+        w.record([("WARC-Type", "response")], http(b"no id")),
+    ]
+    damaged = bytearray(w.record(named("response", "g"), http(b"lost " * 50)))
+    damaged[12:40] = b"\xff" * 28
+    last = w.record(named("response", "h", ("WARC-Page-ID", "48"), ("WARC-Payload-Digest", "md5:00")), http(b"four"))
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(whole) + bytes(damaged) + last + whole[1][:-9])
+    manifest = spark.createDataFrame([("x.warc.gz", 0, 0)], w.MANIFEST)
+    got = w.reassemble(w.read_records(manifest, str(tmp_path))).collect()
+    good = {r["page_id"]: (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in got if not r["error"]}
+    assert good == {41: ("response", None, 3), None: ("response", None, 3), 43: ("revisit", 41, 0), 44: ("revisit", 41, 0), 45: ("revisit", None, 0), 48: ("response", None, 4)}
+    assert len([r for r in got if r["error"]]) == 4 and any("ends inside" in (r["error"] or "") for r in got)

@@ -5,9 +5,14 @@ has one.  A response larger than ``SEGMENT`` bytes is cut: the first segment kee
 continuation records that name their origin, and the last one tells the total length.  Bodies are in chunked transfer
 framing.  A task starts another archive beyond ``ARCHIVE`` bytes; every record is a gzip member of its own, as usual.
 
+A response's record id is made of its page id and digest, so that revisits name it without having seen it.
+
 Reading: each archive is one task's work, record by record.  Whole records are decoded at once.  Segments are grouped by
 origin, put in order of their numbers and checked: none missing, none twice, total length as told.  Then the chunked
-framing is decoded.  A record that fails a check keeps its row with the reason in ``error``.
+framing is decoded.  Revisits find the page they refer to by a join on record ids; where they name none that is there, by the
+payload's digest.  A record that fails a check keeps its row with the reason in ``error``, a damaged one with nothing else; reading goes on with the
+next member.  Archives of others may lack page ids and digests; records that are no page (warcinfo, request, metadata,
+...) are passed over.
 
 Archives are named by task attempt and told by the manifest, so a repeated task never disturbs others.
 
@@ -26,6 +31,7 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wireloom.llm.storage import filesystem, make_folder, stored
 from wireloom.session import scratch_path
@@ -36,7 +42,12 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"
 
 MANIFEST = "name string, n_records long, n_bytes long"
-PAGE = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, segments int, error string"
+RECORD = "record string, origin string, type string, segment int, total long, page_id long, refers_to string, block binary, told string, url string, error string"
+RECORD_BLOCK = 7
+DECODED = "record string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to string, url string, segments int, error string"
+PAGE = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "segments", "error")
+#: The first bytes of a gzip member.
+MEMBER = b"\x1f\x8b\x08"
 
 
 def digest(payload: bytes) -> str:
@@ -79,6 +90,10 @@ def _uri(record_id: str) -> str:
     return f"<urn:wireloom:{record_id}>"
 
 
+def page_name(page_id: int, payload: bytes) -> str:
+    return f"page:{page_id}:{digest(payload)}"
+
+
 def page_records(record_id: str, page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, segment: int = SEGMENT) -> Iterator[bytes]:
     """The records of one page."""
     target = [("WARC-Target-URI", "".join(c for c in url if c not in "\r\n"))] if url else []
@@ -88,7 +103,7 @@ def page_records(record_id: str, page_id: int | None, url: str | None, payload:
     kind = ("Content-Type", "application/http; msgtype=response")
     if refers_to is not None:
         block = http + b"Content-Length: %d\r\n\r\n" % len(payload)
-        own = [("WARC-Type", "revisit"), ("WARC-Record-ID", _uri(record_id)), ("WARC-Profile", PROFILE), ("WARC-Refers-To", _uri(f"page:{refers_to}"))]
+        own = [("WARC-Type", "revisit"), ("WARC-Record-ID", _uri(record_id)), ("WARC-Profile", PROFILE), ("WARC-Refers-To", _uri(page_name(refers_to, payload)))]
         yield record([*own, *common, kind], block)
         return
     block = http + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(payload)
@@ -106,13 +121,18 @@ def page_records(record_id: str, page_id: int | None, url: str | None, payload:
 
 
 def with_first_copy(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, and refers_to: the smallest page_id with the same payload, if it is another one."""
+    """page_id, url, payload, refers_to (the smallest page_id with the same payload, if it is another one), and named.
+
+    Only one row may have the record id of its page and payload: rows that are ``named`` are the only ones.
+    """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
-    copies = rows.groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select(F.col("sha").alias("of"), "first")
+    alike = rows.groupBy("sha", "page_id").agg(F.count("*").alias("n"))
+    least = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "n"))).alias("least")
+    copies = alike.groupBy("sha").agg(least, F.sum("n").alias("n")).filter("n > 1").select(F.col("sha").alias("of"), F.col("least.page_id").alias("first"), F.col("least.n").alias("firsts"))
     joined = rows.join(copies, F.col("sha") == F.col("of"), "left")
-    other = ~F.col("page_id").eqNullSafe(F.col("first"))
-    return joined.select("page_id", "url", "payload", F.when(other, F.col("first")).alias("refers_to"))
+    other = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    return joined.select("page_id", "url", "payload", F.when(other, F.col("first")).alias("refers_to"), (~other & (F.coalesce("firsts", F.lit(1)) == 1)).alias("named"))
 
 
 def write_archives(pages: DataFrame, folder: str, segment: int = SEGMENT, archive: int = ARCHIVE) -> DataFrame:
@@ -126,13 +146,15 @@ def write_archives(pages: DataFrame, folder: str, segment: int = SEGMENT, archiv
         attempt, (place, path) = TaskContext.get().taskAttemptId(), filesystem(folder)
         done, out, name, size, count, seen = [], None, "", 0, 0, 0
         for batch in batches:
-            columns = (batch.column(c) for c in ("page_id", "url", "payload", "refers_to"))
-            for page_id, url, payload, refers_to in zip(*columns, strict=True):
+            columns = (batch.column(c) for c in ("page_id", "url", "payload", "refers_to", "named"))
+            for page_id, url, payload, refers_to, named in zip(*columns, strict=True):
                 if out is None:
                     name = f"pages-{attempt:09d}-{len(done):05d}.warc.gz"
                     out, size, count = place.open_output_stream(os.path.join(path, name), compression=None), 0, 0
                 seen += 1
-                for data in page_records(f"page:{attempt}:{seen}", page_id.as_py(), url.as_py(), payload.as_py(), refers_to.as_py(), segment):
+                own = page_id.as_py() is not None and named.as_py()
+                record_id = page_name(page_id.as_py(), payload.as_py()) if own else f"row:{attempt}:{seen}"
+                for data in page_records(record_id, page_id.as_py(), url.as_py(), payload.as_py(), refers_to.as_py(), segment):
                     out.write(data)
                     size, count = size + len(data), count + 1
                 if size >= archive:
@@ -149,20 +171,33 @@ def write_archives(pages: DataFrame, folder: str, segment: int = SEGMENT, archiv
     return stored(with_first_copy(pages).mapInArrow(write, MANIFEST), "warc-manifest")
 
 
-def members(source) -> Iterator[bytes]:
-    """The uncompressed members of a gzip stream, one at a time."""
-    unpack, parts = zlib.decompressobj(31), []
+def members(source) -> Iterator[bytes | ValueError]:
+    """The uncompressed members of a gzip stream, one at a time; for a damaged one, why it cannot be read."""
+    unpack, parts, lost = zlib.decompressobj(31), [], False
+    held = b""
     while data := source.read(1 << 20):
+        data, held = held + data, b""
         while data:
-            parts.append(unpack.decompress(data))
+            if lost:  # seek the head of the next member
+                at = data.find(MEMBER)
+                if at < 0:
+                    held = data[1 - len(MEMBER) :]
+                    break
+                data, lost = data[at:], False
+            try:
+                parts.append(unpack.decompress(data))
+            except zlib.error as problem:
+                yield ValueError(f"a damaged member: {problem}")
+                # What was fed before is gone; go on behind the head at which this piece begins.
+                data, unpack, parts, lost = data[1:], zlib.decompressobj(31), [], True
+                continue
             data = unpack.unused_data
-            if unpack.eof:
-                yield b"".join(parts)
-                unpack, parts = zlib.decompressobj(31), []
-            else:
+            if not unpack.eof:
                 break
+            yield b"".join(parts)
+            unpack, parts = zlib.decompressobj(31), []
     if any(parts):
-        raise ValueError("the archive ends inside a record")
+        yield ValueError("the archive ends inside a record")
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -172,52 +207,77 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     if not version.startswith("WARC/"):
         raise ValueError("not a WARC record")
     fields = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
+    for name in ("content-length", "warc-type", "warc-record-id"):
+        if name not in fields:
+            raise ValueError(f"a record without {name}")
     length = int(fields["content-length"])
     if len(rest) < length:
         raise ValueError("the block is shorter than told")
     return fields, rest[:length]
 
 
-def read_records(manifest: DataFrame, folder: str) -> DataFrame:
-    """One row per record of the archives: origin, type, segment number, total length and block."""
-
-    def row(fields: dict[str, str], block: bytes) -> tuple:
-        number = int(fields.get("warc-segment-number", 0))
-        origin = fields.get("warc-segment-origin-id") or fields["warc-record-id"]
-        page_id, refers = fields.get("warc-page-id"), fields.get("warc-refers-to")
-        total = fields.get("warc-segment-total-length")
+def record_row(data: bytes | ValueError) -> tuple | None:
+    """A row of ``RECORD`` for a member; nothing for records that are no page or part of one."""
+    try:
+        if isinstance(data, ValueError):
+            raise data
+        fields, block = parse_record(data)
+        kind = fields["warc-type"].lower()
+        if kind not in ("response", "revisit", "continuation"):
+            return None
+        page_id, total = fields.get("warc-page-id"), fields.get("warc-segment-total-length")
         return (
-            origin,
-            fields["warc-type"],
-            number,
+            fields["warc-record-id"],
+            fields.get("warc-segment-origin-id") or fields["warc-record-id"],
+            kind,
+            int(fields.get("warc-segment-number", 0)),
             int(total) if total else None,
             int(page_id) if page_id else None,
-            int(refers.strip("<>").rsplit(":", 1)[1]) if refers else None,
+            fields.get("warc-refers-to"),
             block,
-            fields.get("warc-payload-digest", "").removeprefix("sha1:"),
+            told_digest(fields.get("warc-payload-digest", "")),
             fields.get("warc-target-uri"),
+            None,
         )
+    except ValueError as problem:
+        return (None, None, None, 0, None, None, None, b"", None, None, str(problem))
+
+
+def told_digest(field: str) -> str | None:
+    """The SHA-1 of a digest field; none where another function was used."""
+    kind, _, value = field.partition(":")
+    return value.upper() if kind.lower() == "sha1" and value else None
+
+
+def read_records(manifest: DataFrame, folder: str) -> DataFrame:
+    """One row per record of the archives: ids, type, segment number, total length and block."""
+    schema = T.StructType.fromDDL(RECORD)
 
     def read(batches):
         import pyarrow as pa
 
-        kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.string()]
-        names = ["origin", "type", "segment", "total", "page_id", "refers_to", "block", "told", "url"]
+        arrow = pa.schema([(n, k) for n, k in zip(schema.names, (*[pa.string()] * 3, pa.int32(), *[pa.int64()] * 2, pa.string(), pa.binary(), *[pa.string()] * 3), strict=True)])
+
+        def table(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
+
         place, path = filesystem(folder)
         for batch in batches:
             for name in batch.column("name").to_pylist():
                 rows, size = [], 0
                 with place.open_input_stream(os.path.join(path, name), compression=None) as source:
                     for data in members(source):
-                        rows.append(row(*parse_record(data)))
-                        size += len(data)
+                        row = record_row(data)
+                        if row is None:
+                            continue
+                        rows.append(row)
+                        size += len(row[RECORD_BLOCK])
                         if size > 1 << 22:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                            yield table(rows)
                             rows, size = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                    yield table(rows)
 
-    schema = "origin string, type string, segment int, total long, page_id long, refers_to long, block binary, told string, url string"
     archives = max(1, manifest.count())
     return manifest.select("name").repartition(archives, "name").mapInArrow(read, schema)
 
@@ -251,35 +311,52 @@ def joined(segments: Iterable[tuple[int, int | None, bytes]]) -> bytes:
 
 def reassemble(records: DataFrame) -> DataFrame:
     """One row per page of the archives, from whole records and from segments grouped by origin."""
-    whole = records.filter("segment = 0").select("page_id", "refers_to", "type", "told", "url", F.array(F.struct("segment", "total", "block")).alias("segments"))
+    own = ("record", "page_id", "refers_to", "type", "told", "url", "error")
+    whole = records.filter("segment = 0").select(*own, F.array(F.struct("segment", "total", "block")).alias("segments"))
     first = lambda name: F.max(F.when(F.col("segment") == 1, F.col(name))).alias(name)
     parts = F.collect_list(F.struct("segment", "total", "block")).alias("segments")  # bounded by one record's size
-    split = records.filter("segment > 0").groupBy("origin").agg(*map(first, ("page_id", "refers_to", "type", "told", "url")), parts).drop("origin")
+    split = records.filter("segment > 0").groupBy("origin").agg(*map(first, own), parts).drop("origin")
 
     def decode(batches):
         import pyarrow as pa
 
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string())
-        names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "segments", "error"]
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string())
+        names = ["record", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "segments", "error"]
         for batch in batches:
             rows = []
-            for page_id, refers_to, kind, told, url, segments in zip(*(batch.column(c) for c in ("page_id", "refers_to", "type", "told", "url", "segments")), strict=True):
-                own, size, found, error = segments.as_py(), None, told.as_py(), None
+            for record_id, page_id, refers_to, kind, told, url, known, segments in zip(*(batch.column(c) for c in (*own, "segments")), strict=True):
+                pieces, size, found, error = segments.as_py(), None, told.as_py(), known.as_py()
                 try:
-                    block = own[0]["block"] if own[0]["segment"] == 0 else joined((s["segment"], s["total"], s["block"]) for s in own)
-                    payload, size = payload_of(block)
-                    if payload is not None:
-                        found = digest(payload)
-                        if found != told.as_py():
-                            raise ValueError("the payload has another digest than told")
+                    if error is None:
+                        block = pieces[0]["block"] if pieces[0]["segment"] == 0 else joined((s["segment"], s["total"], s["block"]) for s in pieces)
+                        payload, size = payload_of(block)
+                        if payload is not None and kind.as_py() != "revisit":
+                            found = digest(payload)
+                            if told.as_py() not in (None, found):
+                                raise ValueError("the payload has another digest than told")
                 except ValueError as problem:
                     error = str(problem)
-                rows.append((page_id.as_py(), size, found, kind.as_py(), refers_to.as_py(), url.as_py(), len(own), error))
+                rows.append((record_id.as_py(), page_id.as_py(), size, found, kind.as_py(), refers_to.as_py(), url.as_py(), len(pieces), error))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    columns = ["page_id", "refers_to", "type", "told", "url", "segments"]
-    return whole.select(columns).unionByName(split.select(columns)).mapInArrow(decode, PAGE)
+    return resolved(stored(whole.unionByName(split).mapInArrow(decode, DECODED), "warc-pages"))
+
+
+def resolved(pages: DataFrame) -> DataFrame:
+    """Pages whose ``refers_to`` is the page id of what their reference names: a record, else a payload by its digest.
+
+    A record id or digest that stands for several pages means the least of them, so a row stays one row.
+    """
+    responses = pages.filter("record_type = 'response' and page_id is not null")
+    targets = responses.select(F.explode(F.array("record", F.concat(F.lit("sha1:"), "payload_digest"))).alias("target"), F.col("page_id").alias("referred"))
+    targets = targets.groupBy("target").agg(F.min("referred").alias("referred"))
+    revisits = pages.filter("record_type = 'revisit'")
+    by_record = revisits.join(targets, F.col("refers_to") == F.col("target"), "left").select(*pages.columns, F.col("referred").alias("named"))
+    by_digest = by_record.join(targets, F.when(F.col("named").isNull(), F.concat(F.lit("sha1:"), "payload_digest")) == F.col("target"), "left")
+    found = by_digest.withColumn("refers_to", F.coalesce("named", "referred"))
+    others = pages.filter("record_type is distinct from 'revisit'").withColumn("refers_to", F.lit(None).cast("long"))
+    return others.select(*PAGE).unionByName(found.select(*PAGE))
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
