@@ -10,8 +10,8 @@ The next document comes from ranges of the id: a document's range is found by bi
 ids (one number per range), and each range gets a copy of the next range's first document, so every document meets its
 successor inside its range and texts move once.
 
-All of it is built-in functions.  Each value under a hash keeps its place in the low bits of the number that is
-minimised, so a fingerprint is an expression over plain numbers of one row and needs neither aggregate nor shuffle.
+All of it is built-in functions.  A fingerprint is an expression over plain numbers of one row and needs neither
+aggregate nor shuffle.
 
 Nulls: a null text is an empty one; documents with a null id come last.  Rows with equal ids follow one another by text.
 A text without words has an empty fingerprint, which is like another empty one and nothing else.  The only document of
@@ -30,8 +30,6 @@ KMER = 3
 LONG = 20
 SKETCHES = 32
 CHOSEN = 2
-#: Low bits that hold a k-mer's place; places of longer texts are scaled down to fit.
-PLACE_BITS = 20
 #: Ranges of ids for each shuffle partition, so that hashing ranges to partitions is even.
 RANGES = 8
 
@@ -50,19 +48,15 @@ def tokens(text: Column) -> Column:
 
 
 def with_kmers(rows: DataFrame, text_col: str, out: str, k: int = KMER) -> DataFrame:
-    """Add an array of (slot, name) of the occurrence-numbered k-mers of a text; a shorter text is one k-mer.
-
-    The slot is the place, scaled down in texts with more places than ``PLACE_BITS`` can tell apart.
-    """
+    """Add an array of (slot, name) of the occurrence-numbered k-mers of a text, in order; a shorter text is one k-mer."""
     hashed = rows.withColumn("_words", F.transform(tokens(F.col(text_col)), lambda w: F.xxhash64(w)))
     number = F.size("_words") - k + 1
     starts = F.slice("_words", 1, F.greatest(number, F.lit(1)))
     names = F.transform(starts, lambda w, i: F.xxhash64(w, *(F.get("_words", i + j) for j in range(1, k))))
-    shift = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.size("_words"), F.lit(1)))).cast("int") - PLACE_BITS)
-    named = hashed.withColumns({"_names": F.when(F.size("_words") > 0, names).otherwise(F.array().cast("array<bigint>")), "_shift": shift})
+    named = hashed.withColumns({"_names": F.when(F.size("_words") > 0, names).otherwise(F.array().cast("array<bigint>"))})
 
     def kmer(place: Column, name: Column, number: Column) -> Column:
-        return F.struct(F.call_function("shiftright", place.cast("long"), F.col("_shift")).alias("slot"), F.xxhash64(name, number).alias("name"))
+        return F.struct(place.alias("slot"), F.xxhash64(name, number).alias("name"))
 
     plain = F.transform("_names", lambda h, i: kmer(i, h, F.lit(0)))
     # Equal names stand together once sorted; a run's first place in that order gives each its number.
@@ -81,28 +75,25 @@ def with_kmers(rows: DataFrame, text_col: str, out: str, k: int = KMER) -> DataF
             ),
         )
     )
-    return named.withColumn(out, F.when(F.col("_sorted").isNull(), plain).otherwise(numbered)).drop("_words", "_names", "_shift", "_sorted", "_first")
+    return named.withColumn(out, F.when(F.col("_sorted").isNull(), plain).otherwise(F.sort_array(numbered))).drop("_words", "_names", "_sorted", "_first")
 
 
-def _sketch(kmers: Column, j: Column) -> Column:
+def _sketch(names: Column, j: Column) -> Column:
     """The hash of the ``CHOSEN`` least k-mers under the ``j``-th order, in the order of the text."""
-    low = (1 << PLACE_BITS) - 1
-    value = lambda x: F.xxhash64(x["name"], j).bitwiseAND(F.lit(~low)).bitwiseOR(x["slot"])
 
-    def choose(values: Column, chosen: tuple[Column, ...]) -> Column:
+    def choose(values: Column, left: Column, chosen: tuple[Column, ...]) -> Column:
         if len(chosen) < CHOSEN:
-            return bind(F.array_min(values), lambda least: choose(F.array_remove(values, least), (*chosen, least)))
-        # A place of its own in the low bits makes values distinct, so each step removes one k-mer; short texts have fewer.
-        found = F.filter(F.array(*chosen), lambda v: v.isNotNull())
-        ordered = F.array_sort(F.transform(found, lambda v: F.struct(v.bitwiseAND(F.lit(low)).alias("place"), v.bitwiseAND(F.lit(~low)).alias("name"))))
-        return F.xxhash64(F.transform(ordered, lambda x: x["name"]))
+            return bind(F.array_min(left), lambda least: choose(values, F.array_remove(left, least) if len(chosen) + 1 < CHOSEN else left, (*chosen, least)))
+        found = F.filter(F.array(*chosen), lambda v: v.isNotNull())  # short texts have fewer
+        ordered = F.array_sort(F.transform(found, lambda v: F.struct(F.array_position(values, v).alias("place"), v.alias("value"))))
+        return F.xxhash64(F.transform(ordered, lambda x: x["value"]))
 
-    return bind(F.transform(kmers, value), lambda values: choose(values, ()))
+    return bind(F.transform(names, lambda name: F.xxhash64(name, j)), lambda values: choose(values, values, ()))
 
 
 def fingerprint(kmers: Column) -> Column:
-    """An array of sketches, empty where there are no k-mers."""
-    sketches = bind(kmers, lambda held: F.transform(F.sequence(F.lit(0), F.when(F.size(held) > 0, F.lit(SKETCHES - 1))), lambda j: _sketch(held, j)))
+    """An array of sketches, empty where there are no k-mers; those are in the order of the text."""
+    sketches = bind(kmers["name"], lambda held: F.transform(F.sequence(F.lit(0), F.when(F.size(held) > 0, F.lit(SKETCHES - 1))), lambda j: _sketch(held, j)))
     return F.coalesce(sketches, F.array().cast("array<bigint>"))
 
 
