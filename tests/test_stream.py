@@ -56,3 +56,18 @@ def test_a_replayed_micro_batch_changes_nothing(spark, store):
     for _ in range(2):
         assert jobs.collect(store, rows, "russian", run_name("feed", 0)) == (1, 1)
     assert store.read("russian", "news").count() == 1 and store.read(*jobs.ERRORS).count() == 1
+
+
+def test_pages_of_a_stream_are_written_side_by_side(spark, monkeypatch, tmp_path):
+    """A part of the pages is not one task's work, and is one micro-batch."""
+    from wireloom.plans import queries
+
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    done, start = [], queries.ingest_pages
+    monkeypatch.setattr(queries, "ingest_pages", lambda *args, on_batch, **own: start(*args, on_batch=lambda name, counts: (done.append(name), on_batch(name, counts)), **own))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = queries.stream_pages(spark, "/root/testdata/sf0.001").count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert rows > 0 and len(done) == 4 and len(list((tmp_path / "pages").rglob("part-*.parquet"))) > 8

@@ -548,15 +548,18 @@ def _collected(store):
 
 @query
 def stream_pages(spark, folder):
-    """The same pages as a stream of files, one per micro-batch, each file twice; the last micro-batch is replayed."""
+    """The same pages as a stream of files that arrive in four parts, one of them twice, a micro-batch each; the last one is replayed.
+
+    The files of a part are written side by side, and the stream goes on from its checkpoint when a part has arrived.
+    """
     store = NewsStore(spark, scratch_path(spark, "store"))
     agencies, place = fx.polled(spark, folder), scratch_path(spark, "pages")
     pages = fx.channel_pages(fx.documents(spark, folder))
+    checkpoint, done = scratch_path(spark, "stream"), []
     for part in (0, 1, 2, 0):
-        pages.filter(F.pmod(F.hash("channel"), F.lit(3)) == part).coalesce(1).write.mode("append").parquet(f"{place}/pages.parquet")
-    arriving = tables.table_stream(spark, place, "pages", schemas.PAGES, maxFilesPerTrigger=1)
-    done = []
-    ingest_pages(arriving, store, agencies, scratch_path(spark, "stream"), on_batch=lambda name, counts: done.append(name)).awaitTermination()
+        pages.filter(F.pmod(F.hash("channel"), F.lit(3)) == part).write.mode("append").parquet(f"{place}/pages.parquet")
+        arriving = tables.table_stream(spark, place, "pages", schemas.PAGES)
+        ingest_pages(arriving, store, agencies, checkpoint, on_batch=lambda name, counts: done.append(name)).awaitTermination()
     jobs.collect_pages(store, pages, agencies, done[-1])
     return _collected(store)
 
