@@ -147,3 +147,21 @@ def test_labels_do_not_depend_on_what_is_broadcast(spark):
     assert found[0] == found[1] == found[2] and len(found[0]) == len(train)
     assert sum(dict(found[0])[i] == label for i, _, label in train[:60]) >= 58
     assert en.bayes_labels(rows.limit(0), rows).filter("category is not null").count() == 0
+
+
+def test_summaries_hold_few_texts_at_once():
+    """A batch of many texts is ranked in slices, so a worker's memory does not follow the size of its batches."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    own = [f"sentence {i} of words {'long ' * 30}" for i in range(30)]
+    one = pa.array([own, None, [], own[:2]] * 2, pa.list_(pa.string()))
+    many = pa.concat_arrays([pa.array([own[:3] * 10], pa.list_(pa.string()))] * 10_000)
+    told = en.central_sentences(one, pa.array([3] * 8, pa.int32())).to_pylist()
+    assert told == [" ".join(own[i] for i in en.ranked_sentences(own, 3)), None, "", " ".join(own[:2])] * 2
+    tracemalloc.start()
+    found = en.central_sentences(many, pa.array([3] * 10_000, pa.int32()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 10_000 and peak < 16_000_000  # all texts together are 60 MB and more

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
@@ -28,6 +29,9 @@ WORD = re.compile(r"[^\s.,;:!?…\"()]+")
 #: Runs of so many words occur once in a headline or summary.
 NO_REPEAT_WORDS = 4
 
+#: Texts whose sentences a worker holds as Python objects.
+TEXTS_AT_ONCE = 256
+
 #: Words of a classifier that are broadcast at most.
 FREQUENT_WORDS = 100_000
 
@@ -153,15 +157,29 @@ def ranked_sentences(sentences: Sequence[str], count: int, rounds: int = RANKING
     return sorted(sorted(range(len(rank)), key=lambda i: (-rank[i], i))[:count])
 
 
-@F.pandas_udf(T.StringType())
-def _central(sentences: pd.Series, count: pd.Series) -> pd.Series:
-    """The central ones of the distinct sentences of each text, joined; null for null."""
-    made = []
-    for own, most in zip(sentences, count):
-        distinct = None if own is None else list(dict.fromkeys(own))
-        chosen = distinct and (range(len(distinct)) if len(distinct) <= most else ranked_sentences(distinct, int(most)))
-        made.append(None if distinct is None else " ".join(distinct[i] for i in chosen))
-    return pd.Series(made, dtype=object)
+def central_sentences(sentences: pa.Array, count: pa.Array) -> pa.Array:
+    """The central ones of the distinct sentences of each text, joined; null for null.
+
+    Only ``TEXTS_AT_ONCE`` texts of a batch are Python objects at a time.
+    """
+
+    def joined(own: list[str] | None, most: int) -> str | None:
+        if own is None:
+            return None
+        distinct = list(dict.fromkeys(own))
+        chosen = range(len(distinct)) if len(distinct) <= most else ranked_sentences(distinct, most)
+        return " ".join(distinct[i] for i in chosen)
+
+    made = [pa.array([], pa.string())]
+    for start in range(0, len(sentences), TEXTS_AT_ONCE):
+        part = (column.slice(start, TEXTS_AT_ONCE).to_pylist() for column in (sentences, count))
+        made.append(pa.array(map(joined, *part), pa.string()))
+    return pa.concat_arrays(made)
+
+
+@F.arrow_udf(T.StringType())
+def _central(sentences: pa.Array, count: pa.Array) -> pa.Array:
+    return central_sentences(sentences, count)
 
 
 def _summary_of(sentences: Column, count: int = SUMMARY_SENTENCES) -> Column:
