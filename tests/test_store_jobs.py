@@ -335,6 +335,28 @@ def test_a_channel_that_both_groups_poll(spark, store):
     assert store.read(*jobs.ERRORS).count() == 1
 
 
+def test_pages_are_parsed_for_polled_channels_and_once(spark, store):
+    from test_messages import bubble, page
+
+    from wireloom.operators.messages import read_bubbles
+
+    html = page(bubble("text one", "1"), bubble("odd", "x?single"))
+    pages = spark.createDataFrame([("a", html), ("f", html), ("off", html), (None, html)], "channel string, html string")
+    read = []
+
+    def reader(own):
+        read.append(sorted(row["channel"] for row in own.collect()))
+        return read_bubbles(own)
+
+    told = jobs.collect_pages(store, pages, agencies(spark), "p1", reader=reader)
+    assert told == {"russian": (1, 1), "foreign": (1, 1)} and read == [["a", "f"]]
+    assert jobs.collect_pages(store, pages, agencies(spark), "p1", reader=reader) == told
+    assert len(read) == 1
+    assert jobs.collect(store, frame(spark, news_row("a", 7)), "russian", "c1") == (1, 0)
+    gone = frame(spark, news_row("a", 8)).withColumn("news", F.raise_error(F.lit("read again")).cast("string"))
+    assert jobs.collect(store, gone, "russian", "c1") == (1, 0)
+
+
 def test_update_can_set_null(spark):
     target = spark.createDataFrame([("u", "old"), ("v", "old")], "url string, resume string")
     changes = spark.createDataFrame([("u", None)], "url string, resume string")

@@ -13,6 +13,7 @@ backfill: missing summaries of a day's anniversaries
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -96,8 +97,19 @@ def polled_by(agencies: DataFrame, groups: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, own).distinct()
 
 
-def _staged(store: NewsStore, run: str, messages: DataFrame, groups: Sequence[str]) -> dict[str, tuple[int, int]]:
-    """Stage fresh messages (with ``target_group`` and ``parse_error``) of all groups in one pass; returns valid and invalid ones by group.
+def _staged(store: NewsStore, run: str, messages: Callable[[], DataFrame], groups: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """Stage fresh messages of all groups, unless the run is done; returns valid and invalid ones by group.
+
+    ``messages`` is not called for a run that is done, so nothing is read or parsed again.
+    """
+    note = store.committed(run)
+    told = _stage_new(store, run, messages(), groups) if note is None else json.loads(note or "{}")
+    store.tend([*(news_table(group) for group in groups if group != HOME_GROUP), ERRORS, DIGESTS])
+    return {group: (told[f"{group} valid"], told[f"{group} invalid"]) for group in groups}
+
+
+def _stage_new(store: NewsStore, run: str, messages: DataFrame, groups: Sequence[str]) -> dict[str, int]:
+    """Stage fresh messages (with ``target_group`` and ``parse_error``) of all groups in one pass; returns the counts of the commit.
 
     The distinct messages are kept for the run, because they are read for their id ranges and then for themselves.
     """
@@ -115,11 +127,9 @@ def _staged(store: NewsStore, run: str, messages: DataFrame, groups: Sequence[st
         counts = {}
         for group in groups:
             counts |= {f"{group} valid": F.count_if(valid & (F.col(GROUP) == group)), f"{group} invalid": F.count_if(~valid & (F.col(GROUP) == group))}
-        told = store.commit(run, run, routed(checked, targets), list(targets), counts=counts, digests=F.when(broken, F.col("id")))
+        return store.commit(run, run, routed(checked, targets), list(targets), counts=counts, digests=F.when(broken, F.col("id")))
     finally:
         unique.unpersist()
-    store.tend([*(news_table(group) for group in groups if group != HOME_GROUP), ERRORS, DIGESTS])
-    return {group: (told[f"{group} valid"], told[f"{group} invalid"]) for group in groups}
 
 
 def collect(store: NewsStore, messages: DataFrame, group: str, batch_id: str, agencies: DataFrame | None = None) -> tuple[int, int]:
@@ -127,9 +137,11 @@ def collect(store: NewsStore, messages: DataFrame, group: str, batch_id: str, ag
 
     Rejected ids count as known afterwards.  Without ``agencies`` all are polled.
     """
-    if agencies is not None:
-        messages = lookup_join(messages, polled_by(agencies, [group]).select("agency"), "agency", "left_semi")
-    tagged = messages.select("url", "date", "news", "links", "agency", F.lit(None).cast("string").alias("parse_error"), F.lit(group).alias(GROUP))
+
+    def tagged() -> DataFrame:
+        own = messages if agencies is None else lookup_join(messages, polled_by(agencies, [group]).select("agency"), "agency", "left_semi")
+        return own.select("url", "date", "news", "links", "agency", F.lit(None).cast("string").alias("parse_error"), F.lit(group).alias(GROUP))
+
     return _staged(store, batch_name("collect", batch_id, group), tagged, [group])[group]
 
 
@@ -141,9 +153,14 @@ def collect_pages(
     A message of a channel that several groups poll goes to each of them.  Messages without a number or a readable time
     go to the rejects with the reason, each once, even if its page is read again.  Returns the counts of each group.
     """
-    parsed = messages_of.parse_messages(pages, reader or messages_of.read_bubbles).drop("id")
-    polled = polled_by(agencies, groups)
-    wanted = checkpointed(parsed.join(polled, "agency"))  # pages are parsed once
+
+    def wanted() -> DataFrame:
+        polled = checkpointed(polled_by(agencies, groups).groupBy("agency").agg(F.collect_set(GROUP).alias("_groups")))
+        read = lookup_join(pages, polled.select(F.col("agency").alias("channel")), "channel", "left_semi")  # no page is parsed in vain
+        parsed = messages_of.parse_messages(read, reader or messages_of.read_bubbles).drop("id")
+        met = lookup_join(parsed, polled, "agency", "inner").withColumn(GROUP, F.explode("_groups")).drop("_groups")
+        return checkpointed(met)  # pages are parsed once
+
     return _staged(store, batch_name("collect", batch_id), wanted, groups)
 
 
