@@ -137,3 +137,15 @@ def test_plan(spark):
     text = plan(o.order_minhash(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")))
     assert "Python" not in text and "Arrow" not in text
     assert text.count("Exchange (") + text.count("Exchange\n") <= 6
+
+
+def test_common_beginnings_are_hashed_once(spark):
+    """Fingerprints of two texts made together are those of each alone, whatever they have in common."""
+    texts = [t for _, t in corpus()]
+    pairs = [(i, a, b) for i, (a, b) in enumerate(zip(texts, [*texts[1:], texts[0]], strict=True))]
+    pairs += [(1000 + i, a, edited(a, b)) for i, a, b in pairs] + [(2000, texts[5], texts[5]), (2001, "", ""), (2002, "a", "a b c d"), (2003, "x " * 70, "x " * 33)]
+    rows = spark.createDataFrame(pairs, "doc_id long, one string, other string").repartition(4)
+    both = o.with_kmers(o.with_kmers(rows, "one", "a"), "other", "b")
+    got = o.with_fingerprints(both, "a", "b", "fa", "fb").select("doc_id", "fa", "fb", o.fingerprint(o.F.col("a")).alias("wa"), o.fingerprint(o.F.col("b")).alias("wb")).collect()
+    assert len(got) == len(pairs)
+    assert all(r["fa"] == r["wa"] and r["fb"] == r["wb"] for r in got)

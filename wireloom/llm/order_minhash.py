@@ -20,6 +20,8 @@ a table is its own successor.  Further columns are ignored; an empty table gives
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ KMER = 3
 LONG = 20
 SKETCHES = 32
 CHOSEN = 2
+#: K-mers of a text are compared in pieces of so many.
+PIECE = 32
 #: Ranges of ids for each shuffle partition, so that hashing ranges to partitions is even.
 RANGES = 8
 
@@ -78,23 +82,75 @@ def with_kmers(rows: DataFrame, text_col: str, out: str, k: int = KMER) -> DataF
     return named.withColumn(out, F.when(F.col("_sorted").isNull(), plain).otherwise(F.sort_array(numbered))).drop("_words", "_names", "_sorted", "_first")
 
 
-def _sketch(names: Column, j: Column) -> Column:
-    """The hash of the ``CHOSEN`` least k-mers under the ``j``-th order, in the order of the text."""
+def _pieces(names: Column) -> Column:
+    """Names in order, as an array of pieces; one empty piece of none."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(names), F.lit(1)), F.lit(PIECE)), lambda start: F.slice(names, start, PIECE))
+
+
+def _last_chosen(values: Column) -> Column:
+    """The greatest of the ``CHOSEN`` least of a few values; null of none."""
+    return F.array_max(F.slice(F.sort_array(values), 1, CHOSEN))
+
+
+def _least(values: Column) -> Column:
+    """The ``CHOSEN`` least of a few values, as they stand."""
+    return bind(_last_chosen(values), lambda bound: F.filter(values, lambda v: v <= bound))
+
+
+def _chosen(pieces: Column, j: Column) -> Column:
+    """The hashes of the ``CHOSEN`` least k-mers under the ``j``-th order, in the order of the text; fewer in short texts.
+
+    They lie in those pieces whose own least ones are the ``CHOSEN`` least, so only a few pieces are searched for more.
+    """
+
+    def near(values: Column, least: Column) -> Column:
+        return bind(_last_chosen(least), lambda bound: F.flatten(F.filter(values, lambda own, i: F.get(least, i) <= bound)))
+
+    def choose(values: Column) -> Column:
+        return bind(F.transform(values, lambda own: F.array_min(own)), lambda least: near(values, least), _least)
+
+    return bind(F.transform(pieces, lambda own: F.transform(own, lambda name: F.xxhash64(name, j))), choose)
 
-    def choose(values: Column, left: Column, chosen: tuple[Column, ...]) -> Column:
-        if len(chosen) < CHOSEN:
-            return bind(F.array_min(left), lambda least: choose(values, F.array_remove(left, least) if len(chosen) + 1 < CHOSEN else left, (*chosen, least)))
-        found = F.filter(F.array(*chosen), lambda v: v.isNotNull())  # short texts have fewer
-        ordered = F.array_sort(F.transform(found, lambda v: F.struct(F.array_position(values, v).alias("place"), v.alias("value"))))
-        return F.xxhash64(F.transform(ordered, lambda x: x["value"]))
 
-    return bind(F.transform(names, lambda name: F.xxhash64(name, j)), lambda values: choose(values, values, ()))
+def _merged(one: Column, other: Column) -> Column:
+    """The sketch of a text from the hashes chosen of two parts of it."""
+    return bind(F.concat(one, other), lambda values: F.xxhash64(_least(values)))
+
+
+def _of_each(work: Callable[[Column], Column]) -> Column:
+    """An array of what is made for each order."""
+    return F.transform(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), work)
+
+
+def _unless_empty(kmers: Column, sketches: Column) -> Column:
+    return F.coalesce(F.when(F.size(kmers) > 0, sketches), F.array().cast("array<bigint>"))
 
 
 def fingerprint(kmers: Column) -> Column:
     """An array of sketches, empty where there are no k-mers; those are in the order of the text."""
-    sketches = bind(kmers["name"], lambda held: F.transform(F.sequence(F.lit(0), F.when(F.size(held) > 0, F.lit(SKETCHES - 1))), lambda j: _sketch(held, j)))
-    return F.coalesce(sketches, F.array().cast("array<bigint>"))
+    return _unless_empty(kmers, bind(kmers["name"], _pieces, lambda held: _of_each(lambda j: F.xxhash64(_chosen(held, j)))))
+
+
+def with_fingerprints(rows: DataFrame, kmers: str, edited: str, out: str, edited_out: str) -> DataFrame:
+    """Add the fingerprints of two texts that may begin alike; what their k-mers have in common at the beginning is hashed once."""
+
+    def alike(names: Column) -> Column:
+        differs = F.array_position(F.zip_with(names["one"], names["other"], lambda a, b: a.eqNullSafe(b)), F.lit(False)).cast("int")
+        return F.struct(names["one"].alias("one"), names["other"].alias("other"), F.when(differs > 0, differs - 1).otherwise(F.size(names["one"])).alias("alike"))
+
+    def parts(names: Column) -> Column:
+        rest = lambda of: F.slice(of, names["alike"] + 1, F.size(of))
+        return F.transform(F.array(F.slice(names["one"], 1, names["alike"]), rest(names["one"]), rest(names["other"])), _pieces)
+
+    def sketches(held: Column) -> Column:
+        def of_order(j: Column) -> Column:
+            return bind(F.transform(held, lambda pieces: _chosen(pieces, j)), lambda x: F.struct(_merged(x[0], x[1]).alias("one"), _merged(x[0], x[2]).alias("other")))
+
+        return _of_each(of_order)
+
+    both = bind(F.struct(F.col(kmers)["name"].alias("one"), F.col(edited)["name"].alias("other")), alike, parts, sketches)
+    made = rows.withColumn("_both", both)
+    return made.withColumns({out: _unless_empty(F.col(kmers), F.col("_both.one")), edited_out: _unless_empty(F.col(edited), F.col("_both.other"))}).drop("_both")
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -145,13 +201,11 @@ def order_minhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), F.col("n_chars").cast("int") - half), F.coalesce(F.col("next"), F.lit("")).substr(F.lit(1), half))
     rows = rows.withColumn("edited", edited).withColumn("edited_sha256", F.sha2("edited", 256))
-    both = F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t")))).alias("x")
+    rows = with_kmers(with_kmers(rows, "text", "kmers"), "edited", "edited_kmers")
     keys = ["part", "idx", "copy", "doc_id", "n_chars", "edited_sha256"]
-    each = rows.select(*keys, both).select(*keys, "x.which", "x.t")
-    found = with_kmers(each, "t", "kmers").select(*keys, "which", fingerprint(F.col("kmers")).alias("fingerprint"))
-    order = Window.partitionBy("part").orderBy("idx", "which")  # a text, its edited text, the next text
-    found = found.withColumns({"edited_fp": F.lead("fingerprint", 1).over(order), "next_fp": F.lead("fingerprint", 2).over(order)})
-    return found.filter("which = 0 and not copy").select(
+    found = with_fingerprints(rows, "kmers", "edited_kmers", "fingerprint", "edited_fp").select(*keys, "fingerprint", "edited_fp")
+    found = found.withColumn("next_fp", F.lead("fingerprint").over(Window.partitionBy("part").orderBy("idx")))
+    return found.filter("not copy").select(
         "doc_id",
         "n_chars",
         "edited_sha256",
