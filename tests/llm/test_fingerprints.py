@@ -149,3 +149,22 @@ def test_common_beginnings_are_hashed_once(spark):
     got = o.with_fingerprints(both, "a", "b", "fa", "fb").select("doc_id", "fa", "fb", o.fingerprint(o.F.col("a")).alias("wa"), o.fingerprint(o.F.col("b")).alias("wb")).collect()
     assert len(got) == len(pairs)
     assert all(r["fa"] == r["wa"] and r["fb"] == r["wb"] for r in got)
+
+
+def test_pieces_suit_texts_of_usual_length():
+    """Comparisons beside one for each k-mer: the least of each piece, and the k-mers of the pieces that hold the least."""
+    cost = lambda piece: 200 / piece + o.CHOSEN * piece  # noqa: E731  half a text of 400 words
+    assert cost(o.PIECE) < 1.1 * min(map(cost, range(1, 100)))
+
+
+def test_texts_of_any_number_of_pieces(spark):
+    """The least k-mers are found wherever pieces begin and end."""
+    sizes = [1, 2, 3, 4, *(n * o.PIECE + 2 + d for n in (1, 2, 5) for d in (-1, 0, 1))]
+    rows = [(i, " ".join(f"a{x}" for x in range(n))) for i, n in enumerate(sizes)]
+    kmers = o.with_kmers(frame(spark, rows), "text", "kmers")
+    plain = o.F.transform(o.F.sequence(o.F.lit(0), o.F.lit(o.SKETCHES - 1)), lambda j: o.F.transform("kmers", lambda k: o.F.xxhash64(k["name"], j)))
+    told = kmers.select("doc_id", plain.alias("values"), *(o._chosen(o._pieces(o.F.col("kmers")["name"]), o.F.lit(j)).alias(f"c{j}") for j in (0, 7)))
+    for doc_id, values, *chosen in told.collect():
+        for j, found in zip((0, 7), chosen, strict=True):
+            least = sorted(values[j])[: o.CHOSEN]
+            assert found == [v for v in values[j] if v in least], sizes[doc_id]

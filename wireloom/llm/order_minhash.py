@@ -32,8 +32,8 @@ KMER = 3
 LONG = 20
 SKETCHES = 32
 CHOSEN = 2
-#: K-mers of a text are compared in pieces of so many.
-PIECE = 32
+#: K-mers of a text are compared in pieces of so many: n of them cost n / PIECE + CHOSEN * PIECE further comparisons, least near the root of n / CHOSEN.
+PIECE = 12
 #: Ranges of ids for each shuffle partition, so that hashing ranges to partitions is even.
 RANGES = 8
 
